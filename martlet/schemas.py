@@ -89,6 +89,16 @@ SEGMENTS = (
     (4, "Individual", "0", "9999.0", "0.0"),
 )
 
+# Product categories and their ids; products of no known category get 9999.
+CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+NO_CATEGORY = 9999
+
+# Market segments of the customer file, with ids and discount rates.
+MARKETS = (
+    (1, "AUTOMOBILE", "0.15"), (2, "BUILDING", "0.1"), (3, "FURNITURE", "0.05"),
+    (4, "HOUSEHOLD", "0.0"), (5, "MACHINERY", "0.2"),
+)
+
 # Positions used for the payroll and rep jobs: (id, code, department, low, high).
 POSITIONS = (
     (1, "SALES_REP", "SALES", 45000, 75000),

@@ -220,6 +220,104 @@ class Mart:
             F.when(F.col("s_suppkey") % 10 == 0, 8).otherwise(5).alias("commission_pct"),
         )
 
+    # ---- master data behind the dimensions --------------------------------------
+
+    @cached_property
+    def segments(self) -> DataFrame:
+        return self.spark.createDataFrame(
+            list(schemas.MARKETS), "segment_id bigint, segment_name string, discount_rate string"
+        ).withColumn("discount_rate", F.col("discount_rate").cast("decimal(5,4)"))
+
+    @cached_property
+    def categories(self) -> DataFrame:
+        rows = list(enumerate(schemas.CATEGORIES, start=1))
+        return self.spark.createDataFrame(rows, "category_id bigint, category_name string")
+
+    @cached_property
+    def suppliers(self) -> DataFrame:
+        """Product suppliers: one per brand."""
+        return (
+            self.table("part")
+            .select(F.col("p_brand").alias("supplier_name"))
+            .distinct()
+            .select(
+                F.split_part("supplier_name", F.lit("#"), F.lit(2)).cast("bigint").alias(
+                    "supplier_id"
+                ),
+                "supplier_name",
+                F.concat(F.lit("Land of "), "supplier_name").alias("supplier_country"),
+            )
+        )
+
+    @cached_property
+    def addresses(self) -> DataFrame:
+        return self.places.select(
+            F.col("n_nationkey").cast("bigint").alias("address_id"),
+            F.col("nation_name").alias("city"),
+            F.concat(F.col("region_name"), F.lit("-"), F.col("nation_name")).alias(
+                "state_province"
+            ),
+            F.col("region_name").alias("country"),
+        )
+
+    @cached_property
+    def customer_master(self) -> DataFrame:
+        """Customers as the ETL sees them: nullable parts, foreign keys, no names joined."""
+        key = F.col("c_custkey")
+        text = key.cast("string")
+        business = key % 10 < 3
+        market = F.create_map(
+            *[F.lit(x) for i, name, _ in schemas.MARKETS for x in (name, i)]
+        )
+        return self.table("customer").select(
+            key.alias("customer_id"),
+            F.concat(F.lit("C"), F.lpad(text, 8, "0")).alias("customer_number"),
+            F.when(business, "BUSINESS").otherwise("INDIVIDUAL").alias("customer_type"),
+            F.when(business, F.concat(F.lit("Company "), text)).alias("company_name"),
+            F.when(~business, F.concat(F.lit("First"), text)).alias("first_name"),
+            F.when(~business & (key % 50 != 7), F.concat(F.lit("Last"), text)).alias("last_name"),
+            F.concat(F.lit("user"), text, F.lit("@example.com")).alias("email"),
+            F.concat(F.lit("555"), F.lpad((key % 10000000).cast("string"), 7, "0")).alias("phone"),
+            F.when(
+                key % 25 != 8,
+                F.date_add(F.lit("1930-01-01").cast("date"), (key * 37 % 20000).cast("int")),
+            ).alias("birth_date"),
+            F.when(key % 2 == 0, "M").otherwise("F").alias("gender"),
+            F.when(key % 20 != 9, cents("c_acctbal")).alias("annual_income"),
+            F.when(key % 40 != 11, market[F.col("c_mktsegment")].cast("bigint")).alias(
+                "segment_id"
+            ),
+            F.col("c_nationkey").cast("bigint").alias("billing_address_id"),
+            ((F.col("c_nationkey") + key % 3) % 25).cast("bigint").alias("shipping_address_id"),
+            F.date_add(F.lit("1994-01-01").cast("date"), (key % 365).cast("int")).alias(
+                "registration_date"
+            ),
+            F.when(key % 13 == 0, "INACTIVE").otherwise("ACTIVE").alias("status"),
+        )
+
+    @cached_property
+    def product_master(self) -> DataFrame:
+        """Products with foreign keys; every thirtieth has no valid category."""
+        key = F.col("product_id")
+        category = F.create_map(
+            *[F.lit(x) for i, name in enumerate(schemas.CATEGORIES, 1) for x in (name, i)]
+        )
+        return self.products.select(
+            "product_id",
+            "product_number",
+            "product_name",
+            F.when(key % 30 == 0, schemas.NO_CATEGORY)
+            .otherwise(category[F.col("category_name")])
+            .cast("bigint")
+            .alias("category_id"),
+            F.split_part("supplier_name", F.lit("#"), F.lit(2)).cast("bigint").alias("supplier_id"),
+            as_decimal("price_c", 10).alias("unit_price"),
+            as_decimal("unit_cost_c", 10).alias("cost"),
+            "discontinued",
+            (F.lit(100) + key % 400).alias("units_in_stock"),
+            (F.lit(10) + key % 40).alias("reorder_level"),
+        )
+
     # ---- stock and staff -------------------------------------------------------
 
     @cached_property

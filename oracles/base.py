@@ -123,3 +123,66 @@ SELECT CAST(x AS DATE) AS d FROM (SELECT min(order_date) AS lo, max(order_date)
   generate_series(CAST(date_trunc('year', lo) AS DATE), CAST(date_trunc('year', hi) + INTERVAL 1 YEAR - INTERVAL 1 DAY AS DATE), INTERVAL 1 DAY) AS t(x)"""
 CTES["span_raw"] = _CALENDAR + " FROM span_list"
 CTES["span_cal"] = "SELECT *, holiday_name IS NOT NULL AS is_holiday FROM span_raw"
+
+CTES["market"] = """
+SELECT * FROM (VALUES (1, 'AUTOMOBILE', 0.15), (2, 'BUILDING', 0.1), (3, 'FURNITURE', 0.05),
+  (4, 'HOUSEHOLD', 0.0), (5, 'MACHINERY', 0.2)) AS t(segment_id, segment_name, discount_rate)"""
+CTES["category"] = """
+SELECT * FROM (VALUES (1, 'ECONOMY'), (2, 'LARGE'), (3, 'MEDIUM'), (4, 'PROMO'), (5, 'SMALL'), (6, 'STANDARD'))
+  AS t(category_id, category_name)"""
+CTES["brand"] = """
+SELECT DISTINCT CAST(split_part(p_brand, '#', 2) AS BIGINT) AS supplier_id, p_brand AS supplier_name,
+  'Land of ' || p_brand AS supplier_country FROM part"""
+CTES["address"] = """
+SELECT CAST(n_nationkey AS BIGINT) AS address_id, n_name AS city, r_name || '-' || n_name AS state_province,
+  r_name AS country FROM place"""
+CTES["cmaster"] = """
+SELECT c_custkey AS customer_id, 'C' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS customer_number,
+  CASE WHEN c_custkey % 10 < 3 THEN 'BUSINESS' ELSE 'INDIVIDUAL' END AS customer_type,
+  CASE WHEN c_custkey % 10 < 3 THEN 'Company ' || c_custkey END AS company_name,
+  CASE WHEN c_custkey % 10 >= 3 THEN 'First' || c_custkey END AS first_name,
+  CASE WHEN c_custkey % 10 >= 3 AND c_custkey % 50 <> 7 THEN 'Last' || c_custkey END AS last_name,
+  'user' || c_custkey || '@example.com' AS email,
+  '555' || lpad(CAST(c_custkey % 10000000 AS VARCHAR), 7, '0') AS phone,
+  CASE WHEN c_custkey % 25 <> 8 THEN DATE '1930-01-01' + CAST(c_custkey * 37 % 20000 AS INTEGER) END AS birth_date,
+  CASE WHEN c_custkey % 2 = 0 THEN 'M' ELSE 'F' END AS gender,
+  CASE WHEN c_custkey % 20 <> 9 THEN CAST(round(c_acctbal * 100) AS BIGINT) END AS annual_income,
+  CASE WHEN c_custkey % 40 <> 11 THEN CAST(market.segment_id AS BIGINT) END AS segment_id,
+  CAST(c_nationkey AS BIGINT) AS billing_address_id, CAST((c_nationkey + c_custkey % 3) % 25 AS BIGINT) AS shipping_address_id,
+  DATE '1994-01-01' + CAST(c_custkey % 365 AS INTEGER) AS registration_date,
+  CASE WHEN c_custkey % 13 = 0 THEN 'INACTIVE' ELSE 'ACTIVE' END AS status
+FROM customer JOIN market ON segment_name = c_mktsegment"""
+CTES["pmaster"] = """
+SELECT product_key AS product_id, product_number, product_name,
+  CASE WHEN product_key % 30 = 0 THEN 9999 ELSE CAST(category.category_id AS BIGINT) END AS category_id,
+  CAST(split_part(supplier_name, '#', 2) AS BIGINT) AS supplier_id,
+  list_price AS unit_price, unit_cost AS cost, discontinued,
+  100 + product_key % 400 AS units_in_stock, 10 + product_key % 40 AS reorder_level
+FROM pdim JOIN category USING (category_name)"""
+CTES["posn"] = """
+SELECT * FROM (VALUES (1, 'SALES_REP', 'SALES', 45000, 75000), (2, 'SR_SALES_REP', 'SALES', 60000, 90000),
+  (3, 'SALES_MGR', 'SALES', 80000, 120000), (4, 'MKT_SPEC', 'MKT', 50000, 70000))
+  AS t(position_id, position_code, department_code, min_salary, max_salary)"""
+CTES["emp"] = """
+SELECT s_suppkey AS employee_id, 'EMP' || lpad(CAST(s_suppkey AS VARCHAR), 6, '0') AS employee_number,
+  s_name AS full_name, s_suppkey % 4 + 1 AS position_id,
+  DATE '1990-01-01' + CAST(s_suppkey * 53 % 4000 AS INTEGER) AS hire_date,
+  CASE WHEN s_suppkey % 11 = 5 THEN 'TERMINATED' ELSE 'ACTIVE' END AS status,
+  CASE WHEN s_suppkey > 0 THEN s_suppkey // 10 END AS manager_id, s_nationkey AS territory_id
+FROM supplier"""
+CTES["rep"] = """
+SELECT employee_id AS sales_rep_id, employee_id, full_name, territory_id, hire_date,
+  CASE position_code WHEN 'SR_SALES_REP' THEN 0.08::DOUBLE WHEN 'SALES_REP' THEN 0.05::DOUBLE ELSE 0.10::DOUBLE END AS commission_rate,
+  status FROM emp JOIN posn USING (position_id) WHERE department_code = 'SALES'"""
+CTES["ordertotal"] = f"""
+SELECT heads.*, COALESCE(t.c, 0) AS subtotal_c, {{tax}} AS tax_c, {{total}} AS total_c
+FROM heads LEFT JOIN (SELECT order_id, {s('line_total')} AS c FROM item GROUP BY 1) AS t USING (order_id)""".format(
+    tax="CAST((COALESCE(t.c, 0) * 8 * 2 + 100) // 200 AS BIGINT)",
+    total="CAST((COALESCE(t.c, 0) * 108 * 2 + 100) // 200 AS BIGINT)",
+)
+CTES["alloc"] = """
+SELECT x.*, x.line_c + tax_part + freight_part AS net_c FROM (
+  SELECT f.*, CAST(f.line_total * 100 AS HUGEINT) AS line_c,
+    CAST((2 * CAST(f.line_total * 100 AS HUGEINT) * o.tax_c + o.subtotal_c) // (2 * o.subtotal_c) AS HUGEINT) AS tax_part,
+    CAST((2 * CAST(f.line_total * 100 AS HUGEINT) * f.freight * 100 + o.subtotal_c) // (2 * o.subtotal_c) AS HUGEINT) AS freight_part
+  FROM fact AS f JOIN ordertotal AS o USING (order_id) WHERE f.status = 'SHIPPED') AS x"""
