@@ -14,7 +14,7 @@ def days(spark: SparkSession, first, last) -> DataFrame:
     """One row per day in [first, last]; bounds are dates or column expressions."""
     first = day(first) if isinstance(first, date) else first
     last = day(last) if isinstance(last, date) else last
-    return spark.range(1).select(F.explode(F.sequence(first, last)).alias("date_actual"))
+    return spark.range(0, 1, 1, 1).select(F.explode(F.sequence(first, last)).alias("date_actual"))
 
 
 def holiday() -> Column:

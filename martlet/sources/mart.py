@@ -12,13 +12,14 @@ from __future__ import annotations
 from datetime import date
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlet import schemas
 from martlet.functions.dates import date_key
 from martlet.functions.money import as_decimal, cents
 from martlet.plans.calendar import calendar
+from martlet.sources.inline import inline_rows
 
 AS_OF = date(2001, 8, 1)
 
@@ -41,6 +42,10 @@ class Mart:
         """35 years of days: 12,784 rows whatever the data."""
         return calendar(self.spark, date(1995, 1, 1), date(2029, 12, 31))
 
+    def row_count(self, name: str) -> Column:
+        """Number of rows of an input table, as a scalar subquery."""
+        return self.table(name).agg(F.count(F.lit(1))).scalar()
+
     @cached_property
     def places(self) -> DataFrame:
         nation, region = self.table("nation"), self.table("region")
@@ -224,14 +229,16 @@ class Mart:
 
     @cached_property
     def segments(self) -> DataFrame:
-        return self.spark.createDataFrame(
-            list(schemas.MARKETS), "segment_id bigint, segment_name string, discount_rate string"
-        ).withColumn("discount_rate", F.col("discount_rate").cast("decimal(5,4)"))
+        return inline_rows(
+            self.spark,
+            list(schemas.MARKETS),
+            "segment_id bigint, segment_name string, discount_rate decimal(5,4)",
+        )
 
     @cached_property
     def categories(self) -> DataFrame:
         rows = list(enumerate(schemas.CATEGORIES, start=1))
-        return self.spark.createDataFrame(rows, "category_id bigint, category_name string")
+        return inline_rows(self.spark, rows, "category_id bigint, category_name string")
 
     @cached_property
     def suppliers(self) -> DataFrame:
@@ -335,7 +342,8 @@ class Mart:
 
     @cached_property
     def positions(self) -> DataFrame:
-        return self.spark.createDataFrame(
+        return inline_rows(
+            self.spark,
             list(schemas.POSITIONS),
             "position_id bigint, position_code string, department_code string, "
             "min_salary bigint, max_salary bigint",

@@ -11,7 +11,7 @@ from importlib import import_module
 
 from oracles.base import CTES
 
-_MODULES = ("views", "reports", "builds", "jobs", "quality", "features", "files", "basics")
+_MODULES = ("views", "reports", "builds", "jobs", "synth", "quality", "features", "files", "basics")
 
 
 def compose(body: str) -> str:
