@@ -35,7 +35,12 @@ def digits(x) -> Column:
 
 
 def to_type(x, data_type: str) -> Column:
-    """Cast that yields NULL, not an error, for text that does not parse."""
+    """Cast that yields NULL, not an error, for text that does not parse.
+
+    Whole numbers may be written with decimals ("3.0"), which are rounded away.
+    """
+    if data_type == "bigint":
+        return _col(x).try_cast("decimal(38,0)").try_cast("bigint")
     return _col(x).try_cast(data_type)
 
 
@@ -57,18 +62,40 @@ def cut(x, n: int) -> Column:
     return F.substring(_col(x), 1, n)
 
 
+def one_place(x: Column) -> Column:
+    """A double as text with one decimal, rounded from its exact binary value.
+
+    20 * y = 16 * y + 4 * y is carried with its rounding error, so the comparison
+    with the midpoint between two tenths is exact; true ties go to the even digit.
+    """
+    y = F.abs(x)
+    high, low = y * 16.0, y * 4.0
+    total = high + low
+    error = low - (total - high)
+    tenths = F.floor(total / 2)
+    beyond = (total - (tenths * 2 + 1)) + error
+    up = (beyond > 0) | ((beyond == 0) & (tenths % 2 == 1))
+    rounded = tenths + up.cast("bigint")
+    return F.concat(
+        F.when(x < 0, "-").otherwise(""),
+        F.floor(rounded / 10).cast("string"),
+        F.lit("."),
+        (rounded % 10).cast("string"),
+    )
+
+
 def _suffixed(x: Column, prefix: str) -> Column:
     size = F.abs(x)
 
     def scaled(unit: float, suffix: str) -> Column:
-        return F.format_string(f"{prefix}%.1f{suffix}", x / F.lit(unit))
+        return F.concat(F.lit(prefix), one_place(x / F.lit(unit)), F.lit(suffix))
 
     return (
         F.when(x.isNull(), F.lit(f"{prefix}0"))
         .when(size >= 1e9, scaled(1e9, "B"))
         .when(size >= 1e6, scaled(1e6, "M"))
         .when(size >= 1e3, scaled(1e3, "K"))
-        .otherwise(F.concat(F.lit(prefix), F.format_string("%,.0f", x)))
+        .otherwise(F.concat(F.lit(prefix), F.format_string("%,.0f", F.rint(x))))
     )
 
 
@@ -81,6 +108,6 @@ def number_text(x) -> Column:
     return _suffixed(_col(x).cast("double"), "")
 
 
-def percent_text(x, places: int = 1) -> Column:
+def percent_text(x) -> Column:
     c = _col(x).cast("double")
-    return F.when(c.isNull(), F.lit("0.0%")).otherwise(F.format_string(f"%.{places}f%%", c))
+    return F.when(c.isNull(), F.lit("0.0%")).otherwise(F.concat(one_place(c), F.lit("%")))
