@@ -62,41 +62,51 @@ def cut(x, n: int) -> Column:
     return F.substring(_col(x), 1, n)
 
 
+def _bind(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def one_place(x: Column) -> Column:
     """A double as text with one decimal, rounded from its exact binary value.
 
     20 * y = 16 * y + 4 * y is carried with its rounding error, so the comparison
     with the midpoint between two tenths is exact; true ties go to the even digit.
     """
-    y = F.abs(x)
-    high, low = y * 16.0, y * 4.0
-    total = high + low
-    error = low - (total - high)
-    tenths = F.floor(total / 2)
-    beyond = (total - (tenths * 2 + 1)) + error
-    up = (beyond > 0) | ((beyond == 0) & (tenths % 2 == 1))
-    rounded = tenths + up.cast("bigint")
-    return F.concat(
-        F.when(x < 0, "-").otherwise(""),
-        F.floor(rounded / 10).cast("string"),
-        F.lit("."),
-        (rounded % 10).cast("string"),
-    )
 
+    def tenths(v: Column) -> Column:
+        def rounded(total: Column) -> Column:
+            low = F.floor(total / 2)
+            error = F.abs(v) * 4.0 - (total - F.abs(v) * 16.0)
+            beyond = (total - (low * 2 + 1)) + error
+            return low + F.when((beyond > 0) | ((beyond == 0) & (low % 2 == 1)), 1).otherwise(0)
 
-def _suffixed(x: Column, prefix: str) -> Column:
-    size = F.abs(x)
+        return _bind(F.abs(v) * 16.0 + F.abs(v) * 4.0, rounded)
 
-    def scaled(unit: float, suffix: str) -> Column:
-        return F.concat(F.lit(prefix), one_place(x / F.lit(unit)), F.lit(suffix))
+    def text(v: Column) -> Column:
+        sign = F.when(v < 0, "-").otherwise("")
+        return _bind(
+            tenths(v),
+            lambda n: F.concat(
+                sign, F.floor(n / 10).cast("string"), F.lit("."), (n % 10).cast("string")
+            ),
+        )
 
-    return (
-        F.when(x.isNull(), F.lit(f"{prefix}0"))
-        .when(size >= 1e9, scaled(1e9, "B"))
-        .when(size >= 1e6, scaled(1e6, "M"))
-        .when(size >= 1e3, scaled(1e3, "K"))
-        .otherwise(F.concat(F.lit(prefix), F.format_string("%,.0f", F.rint(x))))
-    )
+    return _bind(x, text)
+
+
+def _suffixed(x: Column, prefix: str) -> Column:
+    def text(v: Column) -> Column:
+        size = F.abs(v)
+        unit = F.when(size >= 1e9, 1e9).when(size >= 1e6, 1e6).otherwise(1e3)
+        suffix = F.when(size >= 1e9, "B").when(size >= 1e6, "M").otherwise("K")
+        return (
+            F.when(v.isNull(), F.lit(f"{prefix}0"))
+            .when(size >= 1e3, F.concat(F.lit(prefix), one_place(v / unit), suffix))
+            .otherwise(F.concat(F.lit(prefix), F.format_string("%,.0f", F.rint(v))))
+        )
+
+    return _bind(x, text)
 
 
 def currency_text(x) -> Column:
