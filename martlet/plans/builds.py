@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +15,7 @@ from martlet.operators.lookup import paths
 from martlet.operators.mutate import update_from
 from martlet.plans import calendar
 from martlet.plans.views import money
-from martlet.sources.mart import Mart
+from martlet.sources.mart import Mart, Span
 
 
 # ---- calendar ----------------------------------------------------------------
@@ -184,12 +184,12 @@ def sales_reps(m: Mart) -> DataFrame:
 
 # ---- orders and facts ----------------------------------------------------------
 
-def order_totals_c(m: Mart, orders: DataFrame | None = None) -> DataFrame:
+def order_totals_c(m: Mart) -> DataFrame:
     """Subtotal, tax and total of every order in cents; zero without lines."""
     sums = m.lines.groupBy("order_id").agg(F.sum("line_c").alias("sum_c"))
     subtotal = F.coalesce("sum_c", F.lit(0))
     return update_from(
-        m.orders if orders is None else orders,
+        m.orders,
         sums,
         "order_id",
         subtotal_c=subtotal,
@@ -229,10 +229,7 @@ def allocated_lines(m: Mart) -> DataFrame:
     The order subtotal comes from an aggregate joined back on the order, not from a
     window, so an order of any size is split over tasks.
     """
-    shipped = m.orders.filter(F.col("status") == "SHIPPED").select(
-        "order_id", "customer_id", "order_date", "freight"
-    )
-    rows = m.sales(shipped)
+    rows = m.sales().filter(F.col("status") == "SHIPPED")
     subtotals = rows.groupBy("order_id").agg(F.sum("line_c").alias("subtotal_c"))
     order_tax = half_up(F.col("subtotal_c") * 8, F.lit(100))
     share = lambda total: F.coalesce(
@@ -320,12 +317,9 @@ def product_month_grid(m: Mart) -> DataFrame:
 
 
 def product_performance(m: Mart) -> DataFrame:
-    now = day(m.as_of)
-    recent = m.orders.filter(
-        F.col("order_date").between(F.trunc(F.add_months(now, -12), "month"), now)
-    )
+    first = (m.as_of.replace(day=1) - timedelta(days=365)).replace(day=1)
     sold = (
-        m.sales(recent)
+        m.sales(Span(first, m.as_of))
         .groupBy("product_key", F.last_day("order_date").alias("month_end"))
         .agg(F.sum("quantity").alias("units"), F.sum("line_c").alias("revenue_c"))
     )

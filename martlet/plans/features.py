@@ -13,8 +13,9 @@ from martlet.functions.money import mean_amount, ratio
 from martlet.operators import quantiles
 from martlet.operators.series import full_window_sum, lag_of, ordinal
 from martlet.plans import calendar
-from martlet.plans.views import add_up, money, totals
-from martlet.sources.mart import Mart
+from martlet.plans.views import add_up, money
+from martlet.session import written
+from martlet.sources.mart import Mart, line_totals
 
 
 def label_codes(df: DataFrame, column: str) -> DataFrame:
@@ -68,7 +69,7 @@ def _categories(m: Mart) -> DataFrame:
 def _purchases(m: Mart) -> DataFrame:
     """Measures, orders, active months and the spread of line totals per customer."""
     per_order = m.lines.groupBy("order_id").agg(
-        *totals(),
+        *line_totals(),
         F.sum(F.col("line_c").cast("decimal(20,0)") * F.col("line_c")).alias("square_c"),
     )
     months = (
@@ -92,10 +93,11 @@ def _purchases(m: Mart) -> DataFrame:
 def clv_features(m: Mart) -> DataFrame:
     """Lifetime-value features of every customer with at least one order."""
     profile = _profile(m)
-    base = (
-        _purchases(m)
-        .join(_categories(m), "customer_id")
-        .join(profile, "customer_id")
+    # One row per customer, written once: the median reads it several times, and
+    # must not run the joins over the lines again each time.
+    base = written(
+        _purchases(m).join(_categories(m), "customer_id").join(profile, "customer_id"),
+        "clv-base",
     )
     lifespan = F.datediff("last_order_date", "first_order_date")
     out = base.select(

@@ -6,6 +6,7 @@ as a source system would deliver them, and then reads them the way under test.
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -16,11 +17,13 @@ from martlet.functions.dates import day
 from martlet.functions.text import cut, flag, to_type
 from martlet.operators import mutate
 from martlet.operators.lookup import lookup
-from martlet.plans import builds, etl
+from martlet.plans import builds, etl, reports, views
 from martlet.session import fresh_path
 from martlet.sources import files, raw
 from martlet.sources.mart import Mart
+from martlet.sources.stored import StoredMart, store_fact
 from martlet.sources.tables import Tables
+from martlet.streaming.staging import copy_new_files, read_copied
 
 
 def _stage(m: Mart, df: DataFrame, label: str) -> str:
@@ -113,6 +116,20 @@ def inline_values(m: Mart) -> DataFrame:
     )
 
 
+def incremental_copy(m: Mart) -> DataFrame:
+    """A stage folder copied twice: the second run takes only the files added since."""
+    stage, target = fresh_path(m.spark, "stage"), fresh_path(m.spark, "copied")
+    state = fresh_path(m.spark, "copied-state")
+    rows = raw.customers(m).drop("file_name")
+    early = F.col("registration_date") < "1994-07-01"
+    for part in (rows.filter(early), rows.filter(~early)):
+        files.write_csv(part, f"{stage}/{uuid.uuid4().hex}")
+        copy_new_files(m.spark, f"{stage}/*", target, state, rows.columns, etl.transform_customers)
+    return read_copied(m.spark, target).groupBy("validation_status").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
 # ---- bulk copy --------------------------------------------------------------------
 
 def bulk_copy(m: Mart) -> DataFrame:
@@ -563,6 +580,22 @@ def restored_snapshot(m: Mart) -> DataFrame:
     )
 
 
+def _stored(m: Mart) -> StoredMart:
+    tables = Tables(m.spark, fresh_path(m.spark, "warehouse"))
+    store_fact(m, tables)
+    return StoredMart(m, tables)
+
+
+def stored_fact_months(m: Mart) -> DataFrame:
+    """One year's monthly comparison from the stored fact: twelve months are read."""
+    return reports.monthly_comparison(_stored(m))
+
+
+def stored_fact_territories(m: Mart) -> DataFrame:
+    """The territory view from the stored fact."""
+    return views.territory_sales_analysis(_stored(m))
+
+
 def exported_csv(m: Mart) -> DataFrame:
     """Product export as CSV with header, read back typed."""
     out = m.products.select("product_number", "product_name", "category_name", "price_c")
@@ -576,6 +609,7 @@ ALL = {
     "s02_json_duplicate_keys": json_duplicate_keys,
     "s03_parquet_scan": parquet_scan,
     "s05_stage_scan": stage_scan,
+    "s05_incremental_copy": incremental_copy,
     "s06_bulk_copy": bulk_copy,
     "s06a_copy_segments": copy_segments,
     "s06b_copy_categories": copy_categories,
@@ -614,4 +648,6 @@ ALL = {
     "m10_lineage_rows": lineage_rows,
     "m11_restored_snapshot": restored_snapshot,
     "m12_exported_csv": exported_csv,
+    "b09_stored_fact_months": stored_fact_months,
+    "b09_stored_fact_territories": stored_fact_territories,
 }

@@ -127,6 +127,9 @@ def train_churn(churn: DataFrame) -> Trained:
             ),
         ]
     ).fit(train.withColumn("weight", weight))
+    # A fitted regression keeps its training summary and with it the session, which
+    # cannot always be shipped to tasks; a loaded one is the bare model.
+    model = load(Trained(model, {}).save(fresh_path(rows.sparkSession, "churn-model")))
     scored = model.transform(test)
     metrics = features.confusion_metrics(scored, "is_churned", "prediction").first().asDict()
     metrics["auc_score"] = BinaryClassificationEvaluator(

@@ -267,6 +267,28 @@ def calendar_coverage(m: Mart) -> DataFrame:
     )
 
 
+def rule_checks(m: Mart) -> DataFrame:
+    """Rows that keep and that break each row rule of the load."""
+    by_customer = customers(m).select(
+        F.inline(
+            F.array(
+                F.struct(F.lit("email format").alias("rule_name"), is_email("email").alias("ok")),
+                F.struct(
+                    F.lit("customer type").alias("rule_name"),
+                    F.col("customer_type").isin("INDIVIDUAL", "BUSINESS").alias("ok"),
+                ),
+            )
+        )
+    )
+    by_product = products(m).select(
+        F.lit("price").alias("rule_name"),
+        F.coalesce(F.col("unit_price") >= 0, F.lit(False)).alias("ok"),
+    )
+    return by_customer.unionByName(by_product).groupBy("rule_name", "ok").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
 def expectations(m: Mart) -> DataFrame:
     return expect(
         customers(m),
@@ -307,5 +329,6 @@ ALL = {
     "c14_load_status": load_status,
     "c15_conformance": conformance,
     "c16_calendar_coverage": calendar_coverage,
+    "c17_rule_checks": rule_checks,
     "c18_expectations": expectations,
 }

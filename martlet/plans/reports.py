@@ -12,21 +12,15 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martlet.functions.dates import day
 from martlet.functions.money import amount, half_up, mean_amount, percent
 from martlet.functions.text import currency_text, number_text, percent_text
 from martlet.operators.series import first_step, total_over, waterfall
 from martlet.plans import views
 from martlet.plans.views import add_up, avg_line, margin, money
-from martlet.sources.mart import Mart
+from martlet.sources.mart import Mart, Span
 
 START, END = date(2000, 1, 1), date(2000, 12, 31)
-
-
-def in_range(m: Mart, start: date, end: date) -> DataFrame:
-    if start > end:
-        raise ValueError("start date is after end date")
-    return m.orders.filter(F.col("order_date").between(day(start), day(end)))
+LATEST = date(9999, 12, 31)
 
 
 def kpi(m: Mart, period_type: str = "Current Month") -> DataFrame:
@@ -35,8 +29,8 @@ def kpi(m: Mart, period_type: str = "Current Month") -> DataFrame:
 
 def sales_trend(m: Mart, days: int = 30) -> DataFrame:
     """Daily trend since ``as_of - days``; the filter sits on the order scan."""
-    orders = m.orders.filter(F.col("order_date") >= day(m.as_of - timedelta(days=days)))
-    return views.sales_trend_analysis(m, orders).select(
+    span = Span(m.as_of - timedelta(days=days), LATEST)
+    return views.sales_trend_analysis(m, span).select(
         "date_actual", "daily_revenue", "daily_orders", "avg_order_value", "is_weekend",
         "is_holiday",
     )
@@ -81,13 +75,13 @@ def territory_rollup(m: Mart) -> DataFrame:
 
 def sales_overview(m: Mart, start: date = START, end: date = END) -> DataFrame:
     """Eight global KPIs of a date range, as one row."""
-    orders = in_range(m, start, end)
-    by_customer = views.by_customer(m, orders)
+    span = Span(start, end)
+    by_customer = views.by_customer(m, span)
     overall = by_customer.agg(*add_up("n_orders"), F.count(F.lit(1)).alias("n_customers"))
     # Distinct products as a two-step aggregate that meets the totals in a union of
     # two one-row frames, folded back into one row.
     products = (
-        m.items.join(orders.select("order_id"), "order_id", "left_semi")
+        m.items_in(span)
         .select("product_key")
         .distinct()
         .agg(F.count(F.lit(1)).alias("products_sold"))
@@ -106,7 +100,7 @@ def sales_overview(m: Mart, start: date = START, end: date = END) -> DataFrame:
 
 
 def daily_sales(m: Mart, start: date = START, end: date = END) -> DataFrame:
-    return views.with_calendar(m, views.per_day(m, in_range(m, start, end))).select(
+    return views.with_calendar(m, views.per_day(m, Span(start, end))).select(
         "date_actual",
         "day_of_week_name",
         "is_weekend",
@@ -120,7 +114,7 @@ def daily_sales(m: Mart, start: date = START, end: date = END) -> DataFrame:
 
 
 def rep_performance(m: Mart, start: date = START, end: date = END) -> DataFrame:
-    return views.by_rep(m, in_range(m, start, end)).join(m.reps, "sales_rep_key").select(
+    return views.by_rep(m, Span(start, end)).join(m.reps, "sales_rep_key").select(
         "sales_rep_name",
         "territory_name",
         "region",
@@ -135,7 +129,7 @@ def rep_performance(m: Mart, start: date = START, end: date = END) -> DataFrame:
 
 def _products(m: Mart, start: date, end: date) -> DataFrame:
     keys = ["product_name", "category_name", "supplier_name"]
-    return views.by_product_group(m, keys, in_range(m, start, end)).select(
+    return views.by_product_group(m, keys, Span(start, end)).select(
         *keys,
         F.col("units").alias("total_units_sold"),
         money("revenue_c", "total_revenue"),
@@ -163,7 +157,7 @@ def product_performance(
 def customer_analysis(m: Mart, start: date = START, end: date = END) -> DataFrame:
     customers = m.customer_dim.select("customer_id", "segment_name", "customer_type")
     return (
-        views.by_customer(m, in_range(m, start, end))
+        views.by_customer(m, Span(start, end))
         .join(customers, "customer_id")
         .groupBy("segment_name", "customer_type")
         .agg(*add_up("n_orders"), F.count(F.lit(1)).alias("n_customers"))
@@ -180,9 +174,9 @@ def customer_analysis(m: Mart, start: date = START, end: date = END) -> DataFram
 
 
 def monthly_comparison(m: Mart, year: int = 2000) -> DataFrame:
-    orders = in_range(m, date(year, 1, 1), date(year, 12, 31))
+    span = Span(date(year, 1, 1), date(year, 12, 31))
     return (
-        views.with_calendar(m, views.per_day(m, orders))
+        views.with_calendar(m, views.per_day(m, span))
         .groupBy("month_number", "month_name")
         .agg(*add_up("n_orders"))
         .select(
@@ -197,7 +191,7 @@ def monthly_comparison(m: Mart, year: int = 2000) -> DataFrame:
 
 
 def _daily(m: Mart) -> DataFrame:
-    return views.with_calendar(m, views.per_day(m, in_range(m, START, END)))
+    return views.with_calendar(m, views.per_day(m, Span(START, END)))
 
 
 def _means(df: DataFrame, key: Column) -> DataFrame:
@@ -278,12 +272,12 @@ def _shares(df: DataFrame, key: str) -> DataFrame:
 
 
 def category_share(m: Mart) -> DataFrame:
-    sums = views.by_product_group(m, ["category_name"], in_range(m, START, END))
+    sums = views.by_product_group(m, ["category_name"], Span(START, END))
     return _shares(sums, "category_name")
 
 
 def segment_share(m: Mart) -> DataFrame:
-    by_customer = views.by_customer(m, in_range(m, START, END))
+    by_customer = views.by_customer(m, Span(START, END))
     sums = (
         by_customer.join(m.customer_dim.select("customer_id", "segment_name"), "customer_id")
         .groupBy("segment_name")

@@ -10,12 +10,14 @@ Views carry no ORDER BY; the caller sorts what it shows.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlet.functions.dates import day
 from martlet.functions.money import amount, mean_amount, percent
-from martlet.sources.mart import Mart
+from martlet.sources.mart import Mart, Span, line_totals
 
 MEASURES = ("units", "revenue_c", "cost_c", "profit_c", "n_lines")
 
@@ -24,17 +26,6 @@ def add_up(*more: str) -> list[Column]:
     return [F.sum(c).alias(c) for c in (*MEASURES, *more)]
 
 
-def totals() -> list[Column]:
-    """Aggregates of a line-level frame into the shared measures."""
-    return [
-        F.sum("quantity").alias("units"),
-        F.sum("line_c").alias("revenue_c"),
-        F.sum("cost_c").alias("cost_c"),
-        F.sum("profit_c").alias("profit_c"),
-        F.count(F.lit(1)).alias("n_lines"),
-    ]
-
-
 def money(column: str, name: str) -> Column:
     return amount(column).alias(name)
 
@@ -47,9 +38,9 @@ def margin() -> Column:
     return percent("profit_c", "revenue_c").alias("profit_margin_percent")
 
 
-def per_day(m: Mart, orders: DataFrame | None = None) -> DataFrame:
+def per_day(m: Mart, span: Span | None = None) -> DataFrame:
     """Measures and order count by order date."""
-    return m.order_sales(orders).groupBy("order_date").agg(
+    return m.order_sales(span).groupBy("order_date").agg(
         *add_up(), F.count(F.lit(1)).alias("n_orders")
     )
 
@@ -100,15 +91,10 @@ def quarterly_sales_performance(m: Mart) -> DataFrame:
     )
 
 
-def by_rep(m: Mart, orders: DataFrame | None = None) -> DataFrame:
+def by_rep(m: Mart, span: Span | None = None) -> DataFrame:
     """Measures, orders and distinct customers per sales rep key."""
-    heads = (m.orders if orders is None else orders).select("order_id", "customer_id")
-    items = m.items if orders is None else m.items.join(
-        heads.select("order_id"), "order_id", "left_semi"
-    )
-    per_order = m.priced(items).groupBy("order_id", "sales_rep_key").agg(*totals())
     return (
-        per_order.join(heads, "order_id")
+        m.rep_sales(span)
         .groupBy("sales_rep_key", "customer_id")
         .agg(*add_up(), F.count(F.lit(1)).alias("n_orders"))
         .groupBy("sales_rep_key")
@@ -134,15 +120,11 @@ def sales_rep_performance(m: Mart) -> DataFrame:
 def territory_sales_analysis(m: Mart) -> DataFrame:
     place = ["territory_name", "region", "country"]
     reps = m.reps.select("sales_rep_key", *place)
-    per_order = (
-        m.lines.groupBy("order_id", "sales_rep_key")
-        .agg(*totals())
+    measures = (
+        m.rep_sales()
         .join(reps, "sales_rep_key")
-        .groupBy("order_id", *place)
+        .groupBy(*place, "order_id", "customer_id")
         .agg(*add_up())
-    )
-    measures = (
-        per_order.join(m.orders.select("order_id", "customer_id"), "order_id")
         .groupBy(*place, "customer_id")
         .agg(*add_up(), F.count(F.lit(1)).alias("n_orders"))
         .groupBy(*place)
@@ -166,20 +148,15 @@ def territory_sales_analysis(m: Mart) -> DataFrame:
     )
 
 
-def by_product_group(m: Mart, keys: list[str], orders: DataFrame | None = None) -> DataFrame:
+def by_product_group(m: Mart, keys: list[str], span: Span | None = None) -> DataFrame:
     """Measures, distinct orders and price sum per group of product attributes.
 
-    Lines join the product table once, for price and attributes together, and are
-    added up per (group, order) before the group itself.
+    Lines are added up per (group, order) before the group itself.
     """
-    items = m.items if orders is None else m.items.join(
-        orders.select("order_id"), "order_id", "left_semi"
-    )
-    attributes = m.products.select("product_key", "price_c", *keys)
     return (
-        m.priced(items, attributes)
+        m.lines_with(keys, span)
         .groupBy(*keys, "order_id")
-        .agg(*totals(), F.sum("price_c").alias("price_c"))
+        .agg(*line_totals(), F.sum("price_c").alias("price_c"))
         .groupBy(*keys)
         .agg(*add_up("price_c"), F.count(F.lit(1)).alias("n_orders"))
     )
@@ -198,9 +175,9 @@ def top_products_by_revenue(m: Mart) -> DataFrame:
     )
 
 
-def by_customer(m: Mart, orders: DataFrame | None = None) -> DataFrame:
+def by_customer(m: Mart, span: Span | None = None) -> DataFrame:
     """Measures, order count and first/last order date per customer."""
-    return m.order_sales(orders).groupBy("customer_id").agg(
+    return m.order_sales(span).groupBy("customer_id").agg(
         *add_up(),
         F.count(F.lit(1)).alias("n_orders"),
         F.min("order_date").alias("first_order_date"),
@@ -225,8 +202,8 @@ def customer_sales_summary(m: Mart) -> DataFrame:
     )
 
 
-def sales_trend_analysis(m: Mart, orders: DataFrame | None = None) -> DataFrame:
-    return with_calendar(m, per_day(m, orders)).select(
+def sales_trend_analysis(m: Mart, span: Span | None = None) -> DataFrame:
+    return with_calendar(m, per_day(m, span)).select(
         "date_actual",
         "day_of_week_name",
         "month_name",
@@ -263,52 +240,47 @@ def category_performance(m: Mart) -> DataFrame:
 def executive_kpi_dashboard(m: Mart) -> DataFrame:
     """Current month, quarter and year to date in one pass.
 
-    Orders are filtered to the year before any join, tagged with the one to three
-    periods they fall in, and each period is one group of the same aggregates.
+    Only orders of the year are read on. Each row is tagged with the one to three
+    periods it falls in, and each period is one group of the same aggregates.
     """
     now = day(m.as_of)
     d = F.col("order_date")
     year = F.date_format(now, "yyyy")
-    periods = F.array(
-        F.when(
-            F.trunc(d, "month") == F.trunc(now, "month"),
-            F.struct(
-                F.lit("Current Month").alias("type"), F.date_format(now, "yyyy-MM").alias("name")
+
+    def period(kind: str, name: Column) -> Column:
+        return F.struct(F.lit(kind).alias("type"), name.alias("name"))
+
+    quarter = F.concat(year, F.lit("-Q"), F.quarter(now).cast("string"))
+    periods = F.array_compact(
+        F.array(
+            F.when(
+                F.trunc(d, "month") == F.trunc(now, "month"),
+                period("Current Month", F.date_format(now, "yyyy-MM")),
             ),
-        ),
-        F.when(
-            F.trunc(d, "quarter") == F.trunc(now, "quarter"),
-            F.struct(
-                F.lit("Current Quarter").alias("type"),
-                F.concat(year, F.lit("-Q"), F.quarter(now).cast("string")).alias("name"),
+            F.when(
+                F.trunc(d, "quarter") == F.trunc(now, "quarter"),
+                period("Current Quarter", quarter),
             ),
-        ),
-        F.struct(F.lit("Year to Date").alias("type"), year.alias("name")),
-    )
-    this_year = d.between(
-        F.trunc(now, "year"), F.date_sub(F.add_months(F.trunc(now, "year"), 12), 1)
-    )
-    orders = m.orders.filter(this_year).withColumn(
-        "period", F.explode(F.array_compact(periods))
+            period("Year to Date", year),
+        )
     )
-    rows = m.sales(orders)
-    by_customer = (
-        rows.groupBy("period", "order_id", "customer_id")
-        .agg(*totals())
+    span = Span(date(m.as_of.year, 1, 1), date(m.as_of.year, 12, 31))
+    measures = (
+        m.order_sales(span)
+        .withColumn("period", F.explode(periods))
         .groupBy("period", "customer_id")
         .agg(*add_up(), F.count(F.lit(1)).alias("n_orders"))
         .groupBy("period")
         .agg(*add_up("n_orders"), F.count(F.lit(1)).alias("n_customers"))
     )
     products = (
-        m.items.select("order_id", "product_key")
-        .join(orders.select("order_id", "period"), "order_id")
-        .groupBy("period", "product_key")
-        .agg(F.lit(1))
+        m.sales(span)
+        .select("product_key", F.explode(periods).alias("period"))
+        .distinct()
         .groupBy("period")
         .agg(F.count(F.lit(1)).alias("products_sold"))
     )
-    return by_customer.join(products, "period").select(
+    return measures.join(products, "period").select(
         F.col("period.type").alias("period_type"),
         F.col("period.name").alias("period_name"),
         F.col("n_orders").alias("total_orders"),

@@ -9,6 +9,7 @@ measured size is below the threshold, and otherwise sort-merges with skew splits
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date
 from functools import cached_property
 
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlet import schemas
-from martlet.functions.dates import date_key
+from martlet.functions.dates import date_key, day
 from martlet.functions.money import as_decimal, cents
 from martlet.plans.calendar import calendar
 from martlet.sources.inline import inline_rows
@@ -24,6 +25,32 @@ from martlet.sources.inline import inline_rows
 AS_OF = date(2001, 8, 1)
 
 
+@dataclass(frozen=True)
+class Span:
+    """A closed range of order dates."""
+
+    start: date
+    end: date
+
+    def __post_init__(self):
+        if self.start > self.end:
+            raise ValueError("start date is after end date")
+
+    def holds(self, column: str = "order_date") -> Column:
+        return F.col(column).between(day(self.start), day(self.end))
+
+
+def line_totals() -> list[Column]:
+    """Aggregates of priced lines into the measures every report starts from."""
+    return [
+        F.sum("quantity").alias("units"),
+        F.sum("line_c").alias("revenue_c"),
+        F.sum("cost_c").alias("cost_c"),
+        F.sum("profit_c").alias("profit_c"),
+        F.count(F.lit(1)).alias("n_lines"),
+    ]
+
+
 class Mart:
     def __init__(self, spark: SparkSession, path: str, as_of: date = AS_OF):
         self.spark, self.path, self.as_of = spark, path.rstrip("/"), as_of
@@ -106,35 +133,45 @@ class Mart:
             .withColumn("profit_c", F.col("line_c") - F.col("cost_c"))
         )
 
+    def orders_in(self, span: Span | None) -> DataFrame:
+        return self.orders if span is None else self.orders.filter(span.holds())
+
+    def items_in(self, span: Span | None) -> DataFrame:
+        """Lines of the span's orders; the others are gone before prices are joined."""
+        if span is None:
+            return self.items
+        return self.items.join(self.orders_in(span).select("order_id"), "order_id", "left_semi")
+
     @cached_property
     def lines(self) -> DataFrame:
         return self.priced(self.items)
 
-    def sales(self, orders: DataFrame | None = None) -> DataFrame:
-        """Lines with their order's customer, date and status.
+    def lines_with(self, attributes: list[str], span: Span | None = None) -> DataFrame:
+        """Priced lines with product attributes, by the one join that brings prices."""
+        products = self.products.select("product_key", "price_c", *attributes)
+        return self.priced(self.items_in(span), products)
 
-        Filtered ``orders`` are joined before prices, so lines outside the filter
-        never reach the second join.
-        """
-        return self.priced(self.items.join(self.orders if orders is None else orders, "order_id"))
+    def sales(self, span: Span | None = None) -> DataFrame:
+        """Lines with their order's customer, date and status."""
+        return self.priced(self.items.join(self.orders_in(span), "order_id"))
 
-    def order_sales(self, orders: DataFrame | None = None) -> DataFrame:
+    def order_sales(self, span: Span | None = None) -> DataFrame:
         """One row per order that has lines: measures added up, header attached.
 
         Summing per order first makes every later ``count(distinct order)`` a plain
         count, and turns a hot customer or day into map-side sums.
         """
-        lines = self.lines
-        if orders is not None:
-            lines = self.priced(self.items.join(orders.select("order_id"), "order_id", "left_semi"))
-        per_order = lines.groupBy("order_id").agg(
-            F.sum("quantity").alias("units"),
-            F.sum("line_c").alias("revenue_c"),
-            F.sum("cost_c").alias("cost_c"),
-            F.sum("profit_c").alias("profit_c"),
-            F.count(F.lit(1)).alias("n_lines"),
+        per_order = self.priced(self.items_in(span)).groupBy("order_id").agg(*line_totals())
+        return per_order.join(self.orders_in(span), "order_id")
+
+    def rep_sales(self, span: Span | None = None) -> DataFrame:
+        """One row per order and sales rep: measures added up, header attached."""
+        per_rep = (
+            self.priced(self.items_in(span))
+            .groupBy("order_id", "sales_rep_key")
+            .agg(*line_totals())
         )
-        return per_order.join(self.orders if orders is None else orders, "order_id")
+        return per_rep.join(self.orders_in(span), "order_id")
 
     @cached_property
     def sales_fact(self) -> DataFrame:

@@ -1,4 +1,6 @@
 from oracles.base import CTES, big
+from oracles.reports import SQL as REPORTS
+from oracles.views import SQL as VIEWS
 
 SQL: dict[str, str] = {}
 EMAIL = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
@@ -211,6 +213,8 @@ SELECT 'ETL_CUSTOMERS' AS process_name, 'SUCCESS' AS status, {big('n')} AS recor
   {big('0')} AS records_updated, {big('n - v')} AS records_rejected FROM c
 UNION ALL SELECT 'ETL_PRODUCTS', 'SUCCESS', {big('n')}, {big('v')}, 0, {big('n - v')} FROM p
 UNION ALL SELECT 'FULL_ETL_PIPELINE', 'SUCCESS', {big('c.n + p.n')}, {big('c.v + p.v')}, 0, 0 FROM c, p"""
+SQL["s05_incremental_copy"] = f"""
+SELECT CASE WHEN reject_reason IS NULL THEN 'VALID' ELSE 'REJECTED' END AS validation_status, {big('COUNT(*)')} AS n FROM tc GROUP BY 1"""
 SQL["m01_truncate_and_load"] = f"""
 SELECT customer_type, {big('COUNT(*)')} AS loaded_count FROM tc WHERE reject_reason IS NULL GROUP BY 1"""
 SQL["m02_overwrite_load"] = "SELECT order_id, status FROM heads WHERE status = 'SHIPPED'"
@@ -235,3 +239,5 @@ FROM (VALUES ('STG_CUSTOMERS_RAW', 'CUSTOMER_NUMBER', 'CUSTOMERS', 'CUSTOMER_NUM
 SQL["m11_restored_snapshot"] = f"SELECT status, {big('COUNT(*)')} AS n, {big('0')} AS n_while_truncated FROM heads GROUP BY 1"
 SQL["m12_exported_csv"] = """
 SELECT product_number, product_name, category_name, CAST(list_price * 100 AS BIGINT) AS price_c FROM pdim"""
+SQL["b09_stored_fact_months"] = REPORTS["q11_monthly_comparison"]
+SQL["b09_stored_fact_territories"] = VIEWS["v04_territory_sales_analysis"]

@@ -92,3 +92,8 @@ SQL["c18_expectations"] = " UNION ALL ".join([
     _x("PRODUCTS", "unit_price", "at_least", "COUNT(*) FILTER (unit_price < 0)", "qp"),
     _x("PRODUCTS", "cost", "at_most", "COUNT(*) FILTER (cost > 700)", "qp"),
 ])
+
+SQL["c17_rule_checks"] = f"""
+SELECT 'email format' AS rule_name, regexp_matches(email, '{EMAIL}') AS ok, {big('COUNT(*)')} AS n FROM rawc GROUP BY 2
+UNION ALL SELECT 'customer type', customer_type IN ('INDIVIDUAL', 'BUSINESS'), {big('COUNT(*)')} FROM rawc GROUP BY 2
+UNION ALL SELECT 'price', COALESCE(unit_price >= 0, FALSE), {big('COUNT(*)')} FROM qp GROUP BY 2"""
