@@ -238,10 +238,14 @@ def onboarded_addresses(m: Mart) -> DataFrame:
 # ---- stock movements ----------------------------------------------------------------
 
 def item_ids(m: Mart) -> DataFrame:
-    """Order lines with a gap-free item id in line order."""
-    order = ["order_id", "line_number", "product_key", "sales_rep_key"]
-    return number_rows(
-        m.items.select(*order, "quantity"), order, 1, "order_item_id"
+    """Order lines with a gap-free item id in line order. Every column takes part in
+    the order, so only identical lines are interchangeable."""
+    order = [
+        "order_id", "line_number", "product_key", "sales_rep_key", "quantity", "discount_pct",
+        "tax_pct", "shipped_date",
+    ]
+    return number_rows(m.items.select(*order), order, 1, "order_item_id").select(
+        *order[:5], "order_item_id"
     )
 
 

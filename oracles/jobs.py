@@ -47,7 +47,7 @@ SELECT row_number() OVER (ORDER BY customer_id) AS address_id, customer_id || '
   'BILLING' AS address_type FROM cmaster JOIN address ON billing_address_id = address_id"""
 
 MOVES = f"""
-ids AS (SELECT row_number() OVER (ORDER BY order_id, line_number, product_key, sales_rep_key) AS seq, * FROM item),
+ids AS (SELECT row_number() OVER (ORDER BY order_id, line_number, product_key, sales_rep_key, quantity, discount, tax_rate, shipped_date) AS seq, * FROM item),
 mv AS (SELECT seq, product_key AS product_id, CASE WHEN seq % 103 = 0 THEN 'NORTH' ELSE 'MAIN' END AS location_code,
     {big('quantity')} AS quantity, CASE WHEN seq % 101 = 0 THEN 'SCRAP' WHEN seq % 5 = 0 THEN 'ADJUSTMENT'
       WHEN seq % 5 = 1 THEN 'RETURN' ELSE 'RECEIPT' END AS kind FROM ids),
@@ -57,7 +57,7 @@ seg AS (SELECT *, SUM(CASE WHEN kind = 'ADJUSTMENT' THEN 1 ELSE 0 END) OVER (PAR
 bal AS (SELECT *, {big('SUM(quantity) OVER (PARTITION BY product_id, sg ORDER BY seq) + CASE WHEN sg = 0 THEN opening ELSE 0 END')} AS balance FROM seg)"""
 SQL["w06_item_ids"] = f"""
 SELECT order_id, line_number, product_key, sales_rep_key, {big('quantity')} AS quantity,
-  row_number() OVER (ORDER BY order_id, line_number, product_key, sales_rep_key) AS order_item_id FROM item"""
+  row_number() OVER (ORDER BY order_id, line_number, product_key, sales_rep_key, quantity, discount, tax_rate, shipped_date) AS order_item_id FROM item"""
 SQL["e09_stock_after_moves"] = f"""
 WITH {MOVES}, e AS (SELECT product_id, max_by(balance, seq) AS q, bool_or(kind IN ('RECEIPT', 'RETURN')) AS got FROM bal GROUP BY 1)
 SELECT pmaster.product_id, 'MAIN' AS location_code, COALESCE(q, units_in_stock) AS quantity_on_hand,
