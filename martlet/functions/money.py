@@ -28,9 +28,9 @@ def amount(x) -> Column:
 def half_up(n, d) -> Column:
     """``n / d`` rounded half away from zero to an integer; NULL when d = 0."""
     wide = "decimal(34,0)"
-    n, d = _col(n).cast(wide), F.nullif(_col(d).cast(wide), F.lit(0).cast(wide))
+    n, d = _col(n).cast(wide), F.nullif(_col(d), F.lit(0)).cast(wide)
     size = F.call_function("div", F.abs(n) * 2 + d, d * 2)
-    return F.when(n < 0, -size).otherwise(size)
+    return F.sign(n).cast("bigint") * size
 
 
 def mean_amount(total_cents, count) -> Column:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlet.functions.dates import date_key, day, quarter_end, quarter_start, year_end
+from martlet.functions.dates import day, quarter_end, quarter_start, year_end
 
 
 def days(spark: SparkSession, first, last) -> DataFrame:
@@ -17,51 +17,44 @@ def days(spark: SparkSession, first, last) -> DataFrame:
     return spark.range(0, 1, 1, 1).select(F.explode(F.sequence(first, last)).alias("date_actual"))
 
 
-def holiday() -> Column:
-    """Holiday name of a row with the calendar columns, or NULL."""
-    month, dom, dow = F.col("month_number"), F.col("day_of_month"), F.col("day_of_week")
-    return (
-        F.when((month == 1) & (dom == 1), "New Year's Day")
-        .when((month == 7) & (dom == 4), "Independence Day")
-        .when((month == 12) & (dom == 25), "Christmas Day")
-        .when((month == 11) & (dow == 5) & dom.between(22, 28), "Thanksgiving")
-        .when((month == 5) & (dow == 2) & (dom > 24), "Memorial Day")
-        .when((month == 9) & (dow == 2) & (dom <= 7), "Labor Day")
-    )
+# Rules in order; the first that holds names the holiday.
+HOLIDAY = """CASE
+  WHEN month_number = 1 AND day_of_month = 1 THEN "New Year's Day"
+  WHEN month_number = 7 AND day_of_month = 4 THEN 'Independence Day'
+  WHEN month_number = 12 AND day_of_month = 25 THEN 'Christmas Day'
+  WHEN month_number = 11 AND day_of_week = 5 AND day_of_month BETWEEN 22 AND 28 THEN 'Thanksgiving'
+  WHEN month_number = 5 AND day_of_week = 2 AND day_of_month > 24 THEN 'Memorial Day'
+  WHEN month_number = 9 AND day_of_week = 2 AND day_of_month <= 7 THEN 'Labor Day'
+END"""
 
 
 def describe(dates: DataFrame) -> DataFrame:
     """Calendar attributes of each ``date_actual``. Sunday is day 1; fiscal years
     start in July and carry the number of the year they end in."""
-    d = F.col("date_actual")
-    month = F.month(d)
-    fiscal_month = (month + 5) % 12 + 1
-    season = F.element_at(
-        F.array(*[F.lit(s) for s in ("Winter", "Spring", "Summer", "Fall")]),
-        F.floor(month % 12 / 3).cast("int") + 1,
-    )
-    parts = dates.select(
-        date_key(d).alias("date_key"),
+    d = "date_actual"
+    parts = dates.selectExpr(
+        f"year({d}) * 10000 + month({d}) * 100 + day({d}) AS date_key",
         d,
-        F.dayofweek(d).alias("day_of_week"),
-        F.dayname(d).alias("day_of_week_name"),
-        F.dayofmonth(d).alias("day_of_month"),
-        F.dayofyear(d).alias("day_of_year"),
-        F.weekofyear(d).alias("week_of_year"),
-        month.alias("month_number"),
-        F.monthname(d).alias("month_name"),
-        F.left(F.monthname(d), F.lit(3)).alias("month_abbr"),
-        F.quarter(d).alias("quarter_number"),
-        F.concat(F.lit("Q"), F.quarter(d).cast("string")).alias("quarter_name"),
-        F.year(d).alias("year_number"),
-        F.dayofweek(d).isin(1, 7).alias("is_weekend"),
-        (F.year(d) + F.when(month >= 7, 1).otherwise(0)).alias("fiscal_year"),
-        F.ceil(fiscal_month / 3).cast("int").alias("fiscal_quarter"),
-        fiscal_month.alias("fiscal_month"),
-        season.alias("season"),
+        f"dayofweek({d}) AS day_of_week",
+        f"dayname({d}) AS day_of_week_name",
+        f"day({d}) AS day_of_month",
+        f"dayofyear({d}) AS day_of_year",
+        f"weekofyear({d}) AS week_of_year",
+        f"month({d}) AS month_number",
+        f"monthname({d}) AS month_name",
+        f"left(monthname({d}), 3) AS month_abbr",
+        f"quarter({d}) AS quarter_number",
+        f"concat('Q', quarter({d})) AS quarter_name",
+        f"year({d}) AS year_number",
+        f"dayofweek({d}) IN (1, 7) AS is_weekend",
+        f"year({d}) + if(month({d}) >= 7, 1, 0) AS fiscal_year",
+        f"cast(ceil(((month({d}) + 5) % 12 + 1) / 3) AS int) AS fiscal_quarter",
+        f"(month({d}) + 5) % 12 + 1 AS fiscal_month",
+        f"element_at(array('Winter', 'Spring', 'Summer', 'Fall'), "
+        f"cast(floor(month({d}) % 12 / 3) AS int) + 1) AS season",
     )
-    return parts.withColumn("holiday_name", holiday()).withColumn(
-        "is_holiday", F.col("holiday_name").isNotNull()
+    return parts.selectExpr(
+        "*", f"{HOLIDAY} AS holiday_name", f"({HOLIDAY}) IS NOT NULL AS is_holiday"
     )
 
 

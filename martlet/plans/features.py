@@ -50,15 +50,11 @@ def _profile(m: Mart) -> DataFrame:
 
 
 def _categories(m: Mart) -> DataFrame:
-    """Distinct product categories per customer, deduplicated per order first."""
-    bought = (
+    """Distinct product categories per customer."""
+    return (
         m.items.select("order_id", "product_key")
         .join(m.products.select("product_key", "category_name"), "product_key")
-        .select("order_id", "category_name")
-        .distinct()
-    )
-    return (
-        bought.join(m.orders.select("order_id", "customer_id"), "order_id")
+        .join(m.orders.select("order_id", "customer_id"), "order_id")
         .select("customer_id", "category_name")
         .distinct()
         .groupBy("customer_id")

@@ -121,10 +121,9 @@ def territory_sales_analysis(m: Mart) -> DataFrame:
     place = ["territory_name", "region", "country"]
     reps = m.reps.select("sales_rep_key", *place)
     measures = (
-        m.rep_sales()
-        .join(reps, "sales_rep_key")
-        .groupBy(*place, "order_id", "customer_id")
-        .agg(*add_up())
+        m.sales(None, reps, "sales_rep_key")
+        .groupBy("order_id", *place)
+        .agg(F.min("customer_id").alias("customer_id"), *line_totals())
         .groupBy(*place, "customer_id")
         .agg(*add_up(), F.count(F.lit(1)).alias("n_orders"))
         .groupBy(*place)
@@ -274,7 +273,7 @@ def executive_kpi_dashboard(m: Mart) -> DataFrame:
         .agg(*add_up("n_orders"), F.count(F.lit(1)).alias("n_customers"))
     )
     products = (
-        m.sales(span)
+        m.placed(span)
         .select("product_key", F.explode(periods).alias("period"))
         .distinct()
         .groupBy("period")

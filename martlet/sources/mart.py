@@ -51,6 +51,12 @@ def line_totals() -> list[Column]:
     ]
 
 
+def header() -> list[Column]:
+    """Customer and date of an order's rows. They are the same on all of them, so a
+    minimum picks them; unlike grouping keys it costs nothing when not used."""
+    return [F.min("customer_id").alias("customer_id"), F.min("order_date").alias("order_date")]
+
+
 class Mart:
     def __init__(self, spark: SparkSession, path: str, as_of: date = AS_OF):
         self.spark, self.path, self.as_of = spark, path.rstrip("/"), as_of
@@ -84,31 +90,27 @@ class Mart:
 
     @cached_property
     def orders(self) -> DataFrame:
-        status = (
-            F.when(F.col("o_orderstatus") == "F", "SHIPPED")
-            .when(F.col("o_orderstatus") == "P", "PROCESSING")
-            .otherwise("PENDING")
-        )
-        return self.table("orders").select(
-            F.col("o_orderkey").alias("order_id"),
-            F.col("o_custkey").alias("customer_id"),
-            F.col("o_orderdate").cast("date").alias("order_date"),
-            status.alias("status"),
-            (F.lit(10) + F.col("o_orderkey") % 91).alias("freight"),
+        return self.table("orders").selectExpr(
+            "o_orderkey AS order_id",
+            "o_custkey AS customer_id",
+            "cast(o_orderdate AS date) AS order_date",
+            "CASE o_orderstatus WHEN 'F' THEN 'SHIPPED' WHEN 'P' THEN 'PROCESSING' "
+            "ELSE 'PENDING' END AS status",
+            "10 + o_orderkey % 91 AS freight",
         )
 
     @cached_property
     def items(self) -> DataFrame:
         """Order lines without prices, in whole units and hundredths."""
-        return self.table("lineitem").select(
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_partkey").alias("product_key"),
-            F.col("l_suppkey").alias("sales_rep_key"),
-            F.col("l_linenumber").cast("bigint").alias("line_number"),
-            F.col("l_quantity").cast("bigint").alias("quantity"),
-            F.round(F.col("l_discount") * 100).cast("bigint").alias("discount_pct"),
-            F.round(F.col("l_tax") * 100).cast("bigint").alias("tax_pct"),
-            F.col("l_shipdate").cast("date").alias("shipped_date"),
+        return self.table("lineitem").selectExpr(
+            "l_orderkey AS order_id",
+            "l_partkey AS product_key",
+            "l_suppkey AS sales_rep_key",
+            "cast(l_linenumber AS bigint) AS line_number",
+            "cast(l_quantity AS bigint) AS quantity",
+            "cast(round(l_discount * 100) AS bigint) AS discount_pct",
+            "cast(round(l_tax * 100) AS bigint) AS tax_pct",
+            "cast(l_shipdate AS date) AS shipped_date",
         )
 
     @cached_property
@@ -123,14 +125,14 @@ class Mart:
         ``products`` may bring attributes along with ``price_c``, so that a report
         by product needs no second join.
         """
-        return (
-            items.join(self.prices if products is None else products, "product_key")
-            .withColumn(
-                "line_c", F.expr("(quantity * price_c * (100 - discount_pct) + 50) div 100")
-            )
-            .withColumn("unit_cost_c", F.expr("(price_c * 70 + 50) div 100"))
-            .withColumn("cost_c", F.col("quantity") * F.col("unit_cost_c"))
-            .withColumn("profit_c", F.col("line_c") - F.col("cost_c"))
+        line = "(quantity * price_c * (100 - discount_pct) + 50) div 100"
+        unit_cost = "(price_c * 70 + 50) div 100"
+        return items.join(self.prices if products is None else products, "product_key").selectExpr(
+            "*",
+            f"{line} AS line_c",
+            f"{unit_cost} AS unit_cost_c",
+            f"quantity * ({unit_cost}) AS cost_c",
+            f"{line} - quantity * ({unit_cost}) AS profit_c",
         )
 
     def orders_in(self, span: Span | None) -> DataFrame:
@@ -151,27 +153,40 @@ class Mart:
         products = self.products.select("product_key", "price_c", *attributes)
         return self.priced(self.items_in(span), products)
 
-    def sales(self, span: Span | None = None) -> DataFrame:
-        """Lines with their order's customer, date and status."""
-        return self.priced(self.items.join(self.orders_in(span), "order_id"))
+    def placed(self, span: Span | None = None) -> DataFrame:
+        """Unpriced lines with their order's header."""
+        return self.items.join(self.orders_in(span), "order_id")
+
+    def sales(
+        self, span: Span | None = None, dim: DataFrame | None = None, on: str | None = None
+    ) -> DataFrame:
+        """Priced lines with their order's header, and with ``dim`` joined on ``on``.
+
+        The order join comes last over all orders: its result lies partitioned by
+        order, and what is added up per order next needs no further shuffle. With a
+        span it comes first, so that the lines outside are gone before prices.
+        """
+        if span is not None:
+            rows = self.priced(self.placed(span))
+            return rows if dim is None else rows.join(dim, on)
+        rows = self.lines if dim is None else self.lines.join(dim, on)
+        return rows.join(self.orders, "order_id")
 
     def order_sales(self, span: Span | None = None) -> DataFrame:
         """One row per order that has lines: measures added up, header attached.
 
         Summing per order first makes every later ``count(distinct order)`` a plain
-        count, and turns a hot customer or day into map-side sums.
+        count, and turns a hot customer or day into map-side sums. Lines of an order
+        mostly lie together, so the sums shrink the data before it is shuffled.
         """
-        per_order = self.priced(self.items_in(span)).groupBy("order_id").agg(*line_totals())
-        return per_order.join(self.orders_in(span), "order_id")
+        if span is not None:
+            return self.sales(span).groupBy("order_id").agg(*header(), *line_totals())
+        per_order = self.lines.groupBy("order_id").agg(*line_totals())
+        return per_order.join(self.orders.select("order_id", "customer_id", "order_date"), "order_id")
 
     def rep_sales(self, span: Span | None = None) -> DataFrame:
         """One row per order and sales rep: measures added up, header attached."""
-        per_rep = (
-            self.priced(self.items_in(span))
-            .groupBy("order_id", "sales_rep_key")
-            .agg(*line_totals())
-        )
-        return per_rep.join(self.orders_in(span), "order_id")
+        return self.sales(span).groupBy("order_id", "sales_rep_key").agg(*header(), *line_totals())
 
     @cached_property
     def sales_fact(self) -> DataFrame:

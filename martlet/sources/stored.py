@@ -13,12 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlet.functions.dates import day
-from martlet.sources.mart import Mart, Span, line_totals
+from martlet.sources.mart import Mart, Span, header, line_totals
 from martlet.sources.tables import Tables
 
 FACT = "sales_fact"
 MONTH = "order_month"
-_HEADER = ("order_id", "customer_id", "order_date", "status", "freight")
 
 
 def store_fact(m: Mart, tables: Tables) -> DataFrame:
@@ -64,11 +63,14 @@ class StoredMart(Mart):
         products = self.products.select("product_key", *attributes)
         return self._fact_in(span).join(products, "product_key")
 
-    def sales(self, span: Span | None = None) -> DataFrame:
+    def placed(self, span: Span | None = None) -> DataFrame:
         return self._fact_in(span)
 
-    def order_sales(self, span: Span | None = None) -> DataFrame:
-        return self._fact_in(span).groupBy(*_HEADER).agg(*line_totals())
+    def sales(
+        self, span: Span | None = None, dim: DataFrame | None = None, on: str | None = None
+    ) -> DataFrame:
+        rows = self._fact_in(span)
+        return rows if dim is None else rows.join(dim, on)
 
-    def rep_sales(self, span: Span | None = None) -> DataFrame:
-        return self._fact_in(span).groupBy(*_HEADER, "sales_rep_key").agg(*line_totals())
+    def order_sales(self, span: Span | None = None) -> DataFrame:
+        return self._fact_in(span).groupBy("order_id").agg(*header(), *line_totals())
