@@ -380,7 +380,7 @@ def basic_aggregates(m: Mart) -> DataFrame:
 def deviations(m: Mart) -> DataFrame:
     sums = m.lines.groupBy("product_key").agg(
         F.sum("line_c").alias("s"),
-        F.sum(F.col("line_c").cast("decimal(20,0)") * F.col("line_c")).alias("ss"), _one(),
+        F.sum(features.square("line_c")).alias("ss"), _one(),
     )
     std = F.when(F.col("n") > 1, F.round(features.sample_deviation("ss", "s", "n"), 4))
     return sums.select("product_key", std.alias("line_std"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlet.functions.dates import day, years_between
@@ -18,21 +18,37 @@ from martlet.session import written
 from martlet.sources.mart import Mart, line_totals
 
 
-def label_codes(df: DataFrame, column: str) -> DataFrame:
-    """Alphabetical codes 0, 1, ... of a column's values; NULL counts as 'Unknown'.
+def _labels(column: str) -> Column:
+    """Sorted distinct values of a categorical column; NULL counts as 'Unknown'.
 
-    The window runs over the distinct values, one row per label of the domain.
+    For columns with a fixed domain only: the set has one entry per label, and is
+    merged on the map side, so its size does not depend on the number of rows.
     """
-    labels = df.select(F.coalesce(column, F.lit("Unknown")).alias("label")).distinct()
-    return labels.withColumn("code", (F.row_number().over(Window.orderBy("label")) - 1).cast("bigint"))
+    return F.array_sort(F.collect_set(F.coalesce(column, F.lit("Unknown"))))
 
 
-def encode(df: DataFrame, source: DataFrame, column: str, name: str) -> DataFrame:
-    codes = label_codes(source, column).select(
-        F.col("label").alias("_label"), F.col("code").alias(name)
-    )
-    return df.join(codes, F.coalesce(F.col(column), F.lit("Unknown")) == F.col("_label")).drop(
-        "_label"
+def label_codes(df: DataFrame, column: str) -> DataFrame:
+    """Alphabetical codes 0, 1, ... of a categorical column's values."""
+    return df.agg(_labels(column).alias("labels")).select(
+        F.posexplode("labels").alias("pos", "label")
+    ).select("label", F.col("pos").cast("bigint").alias("code"))
+
+
+def encode(df: DataFrame, source: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Add the label code of each column under a new name.
+
+    The labels of all columns come from one aggregate over ``source`` and are used
+    as scalar subqueries, so encoding joins nothing.
+    """
+    labels = source.agg(*[_labels(c).alias(c) for c in columns])
+    return df.withColumns(
+        {
+            name: F.array_position(
+                labels.select(c).scalar(), F.coalesce(F.col(c), F.lit("Unknown"))
+            )
+            - 1
+            for c, name in columns.items()
+        }
     )
 
 
@@ -66,7 +82,7 @@ def _purchases(m: Mart) -> DataFrame:
     """Measures, orders, active months and the spread of line totals per customer."""
     per_order = m.lines.groupBy("order_id").agg(
         *line_totals(),
-        F.sum(F.col("line_c").cast("decimal(20,0)") * F.col("line_c")).alias("square_c"),
+        F.sum(square("line_c")).alias("square_c"),
     )
     months = (
         per_order.join(m.orders, "order_id")
@@ -114,20 +130,30 @@ def clv_features(m: Mart) -> DataFrame:
         F.datediff(day(m.as_of), "last_order_date").alias("days_since_last_order"),
         ratio("n_orders", lifespan + 1, 6).alias("order_frequency"),
     )
-    for column, name in (
-        ("customer_type", "customer_type_encoded"), ("segment_name", "segment_encoded"),
-        ("age_group", "age_group_encoded"), ("billing_country", "country_encoded"),
-    ):
-        out = encode(out, profile, column, name)
-    return out
+    return encode(
+        out,
+        profile,
+        {
+            "customer_type": "customer_type_encoded",
+            "segment_name": "segment_encoded",
+            "age_group": "age_group_encoded",
+            "billing_country": "country_encoded",
+        },
+    )
+
+
+def square(column: str) -> Column:
+    return F.col(column).cast("double") * F.col(column).cast("double")
 
 
 def sample_deviation(square_sum, total, n) -> Column:
-    """Sample standard deviation in currency from exact cents sums; 0 for one row."""
-    wide = lambda c: F.col(c).cast("decimal(38,0)")
-    spread = (wide(n) * wide(square_sum) - wide(total) * wide(total)).cast("double")
-    pairs = F.col(n).cast("double") * (F.col(n) - 1)
-    return F.when(F.col(n) > 1, F.sqrt(spread / pairs) / 100).otherwise(0.0)
+    """Sample standard deviation in currency from sums of cents; 0 for one row.
+
+    Squares are summed as doubles: fifteen digits, where the result shows nine.
+    """
+    mean_part = F.col(total).cast("double") * F.col(total).cast("double") / F.col(n)
+    spread = F.greatest(F.col(square_sum) - mean_part, F.lit(0.0))
+    return F.when(F.col(n) > 1, F.sqrt(spread / (F.col(n) - 1)) / 100).otherwise(0.0)
 
 
 def churn_features(m: Mart, threshold: int = 90) -> DataFrame:
@@ -153,12 +179,15 @@ def churn_features(m: Mart, threshold: int = 90) -> DataFrame:
         ratio("n_orders", "active_months", 4).alias("order_frequency"),
         mean_amount("revenue_c", "active_months").alias("avg_monthly_spend"),
     )
-    for column, name in (
-        ("customer_type", "customer_type_encoded"), ("segment_name", "segment_encoded"),
-        ("age_group", "age_group_encoded"),
-    ):
-        out = encode(out, profile, column, name)
-    return out
+    return encode(
+        out,
+        profile,
+        {
+            "customer_type": "customer_type_encoded",
+            "segment_name": "segment_encoded",
+            "age_group": "age_group_encoded",
+        },
+    )
 
 
 def sales_time_series(m: Mart, granularity: str = "daily") -> DataFrame:
