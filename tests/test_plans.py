@@ -82,3 +82,45 @@ def test_views_are_right_under_skew(view, spark, sf_dir, no_broadcast):
         want = m.sales()
     total = got.agg(F.sum(F.round(F.col(column) * 100).cast("bigint"))).first()[0]
     assert total == want.agg(F.sum("line_c")).first()[0]
+
+
+class HotKeyMart(Mart):
+    """A third of all lines carry one value of ``column``, read by several tasks."""
+
+    column = "l_partkey"
+
+    def table(self, name):
+        df = super().table(name)
+        if name != "lineitem":
+            return df
+        hot = F.col("l_linenumber") % 3 == 0
+        key = F.when(hot, F.lit(5)).otherwise(F.col(self.column)).cast("bigint")
+        return df.withColumn(self.column, key).repartition(8)
+
+
+@pytest.mark.parametrize("column,view", [
+    ("l_partkey", views.top_products_by_revenue),
+    ("l_partkey", views.monthly_sales_summary),
+    ("l_suppkey", views.territory_sales_analysis),
+    ("l_orderkey", views.sales_rep_performance),
+])
+def test_hot_keys_are_split_over_tasks(column, view, spark, no_broadcast):
+    low = {
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    old = {k: spark.conf.get(k, None) for k in low}
+    for k, v in low.items():
+        spark.conf.set(k, v)
+    try:
+        m = HotKeyMart(spark, "/root/testdata/sf0.1")
+        m.column = column
+        df = view(m)
+        df.collect()
+        assert "skew=true" in plan_of(df)
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
