@@ -101,6 +101,27 @@ def merge(
     return history.unionByName(out)
 
 
+def with_version(
+    facts: DataFrame, dim: DataFrame, key: str, when: str | None = None
+) -> DataFrame:
+    """Facts joined to the current dimension rows, or to the rows valid on ``when``.
+
+    A fact matches at most one row either way: one version is current, and the
+    periods of a key's versions do not overlap. Facts without a match are kept.
+    """
+    if when is None:
+        return facts.join(dim.filter("is_current"), key, "left")
+    f, d = facts.alias("f"), dim.alias("d")
+    valid = (
+        (F.col(f"f.{key}") == F.col(f"d.{key}"))
+        & (F.col("d.effective_date") <= F.col(f"f.{when}"))
+        & (F.col(f"f.{when}") < F.col("d.expiry_date"))
+    )
+    return f.join(d, valid, "left").select(
+        "f.*", *[F.col(f"d.{c}") for c in dim.columns if c != key]
+    )
+
+
 def merge_counts(before: DataFrame, after: DataFrame, as_of: date) -> DataFrame:
     """Rows inserted and expired by a merge, from its result alone."""
     opened = F.col("is_current") & (F.col("effective_date") == day(as_of))

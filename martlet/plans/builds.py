@@ -497,6 +497,26 @@ def merged_customers_single_pass(m: Mart) -> DataFrame:
     ).select("customer_id", "annual_income", "status", "expiry_date", "is_current", "version")
 
 
+def _versions(m: Mart, when: str | None) -> DataFrame:
+    dim = merged_customers(m).select(
+        "customer_id", "is_current", "effective_date", "expiry_date", "version"
+    )
+    found = scd2.with_version(m.orders.select("order_id", "customer_id", "order_date"), dim,
+                              "customer_id", when)
+    return found.groupBy("version", F.year("order_date").alias("year")).agg(
+        F.count(F.lit(1)).alias("n_orders")
+    )
+
+
+def orders_by_version(m: Mart) -> DataFrame:
+    """Orders per dimension version that was valid on the order date."""
+    return _versions(m, "order_date")
+
+
+def orders_by_current_version(m: Mart) -> DataFrame:
+    return _versions(m, None)
+
+
 def merged_products(m: Mart) -> DataFrame:
     key = F.col("product_id")
     older = (
@@ -537,6 +557,8 @@ ALL = {
     "b07_initial_rep_dim": initial_rep_dim,
     "b08_sales_reps": sales_reps,
     "b09_sales_fact": sales_fact,
+    "b09_orders_by_version": orders_by_version,
+    "b09_orders_by_current_version": orders_by_current_version,
     "b10_order_totals": order_totals,
     "b11_customer_totals": customer_totals,
     "b12_customer_ltv": customer_ltv,

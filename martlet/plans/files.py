@@ -7,7 +7,7 @@ as a source system would deliver them, and then reads them the way under test.
 from __future__ import annotations
 
 import uuid
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -547,6 +547,16 @@ def updated_from_aggregate(m: Mart) -> DataFrame:
     )
 
 
+def process_log(m: Mart) -> DataFrame:
+    """Log entries with their counters, one of them a failure."""
+    tables = Tables(m.spark, fresh_path(m.spark, "warehouse"))
+    began = datetime.now()
+    n = m.orders.count()
+    tables.log_process("ORDER_DATA_LOAD", "SUCCESS", began, n, n)
+    tables.log_process("INVENTORY_UPDATE", "ERROR", began, m.inventory.count(), error="no stock")
+    return tables.process_log().filter("end_time >= start_time").drop("start_time", "end_time")
+
+
 def lineage_rows(m: Mart) -> DataFrame:
     """Lineage entries, with the number of rows of the source they describe."""
     tables = Tables(m.spark, fresh_path(m.spark, "warehouse"))
@@ -645,6 +655,7 @@ ALL = {
     "m04_deleted_rows": deleted_rows,
     "m05_updated_rows": updated_rows,
     "m06_updated_from_aggregate": updated_from_aggregate,
+    "m09_process_log": process_log,
     "m10_lineage_rows": lineage_rows,
     "m11_restored_snapshot": restored_snapshot,
     "m12_exported_csv": exported_csv,

@@ -179,6 +179,18 @@ def clv_scores(m: Mart) -> DataFrame:
     return score_clv(load(path), clv).select("customer_id", "total_spent", "predicted_clv")
 
 
+def reloaded_model(m: Mart) -> DataFrame:
+    """A saved and reloaded model predicts what the fitted one did."""
+    clv = written(features.clv_features(m), "clv-features")
+    got = train_clv(clv, trees=5)
+    again = load(got.save(fresh_path(m.spark, "clv-model")))
+    first = score_clv(got.model, clv).select("customer_id", F.col("predicted_clv").alias("a"))
+    second = score_clv(again, clv).select("customer_id", F.col("predicted_clv").alias("b"))
+    return first.join(second, "customer_id").agg(
+        F.count(F.lit(1)).alias("n_customers"), F.count_if(F.col("a") != F.col("b")).alias("n_differ")
+    )
+
+
 def churn_metrics(m: Mart) -> DataFrame:
     return _as_rows(m, "churn", train_churn(features.churn_features(m)).metrics)
 
@@ -200,5 +212,6 @@ ALL = {
     "l08_clv_scores": clv_scores,
     "l09_churn_metrics": churn_metrics,
     "l10_forecast_metrics": forecast_metrics,
+    "l12_reloaded_model": reloaded_model,
     "u02_ltv_by_id": ltv_by_id,
 }

@@ -171,3 +171,8 @@ FROM old JOIN d USING (product_id)
 UNION ALL SELECT src.product_id, product_name, category_name, unit_price, discontinued, {AS_OF}, DATE '9999-12-31', TRUE,
   CASE WHEN old_id IS NULL THEN 1 ELSE 2 END
 FROM src JOIN d USING (product_id) WHERE old_id IS NULL OR changed"""
+
+for _name, _on in (("b09_orders_by_version", "effective_date <= order_date AND order_date < expiry_date"), ("b09_orders_by_current_version", "is_current")):
+    SQL[_name] = f"""
+SELECT version, CAST(year(order_date) AS INTEGER) AS year, {big('COUNT(*)')} AS n_orders
+FROM heads LEFT JOIN ({SQL['m07_merged_customers']}) AS d ON d.customer_id = customer_key AND {_on} GROUP BY 1, 2"""

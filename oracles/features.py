@@ -80,3 +80,4 @@ WITH c AS (SELECT COUNT(*) AS n, COUNT(*) FILTER (is_churned = 1 AND n < 10) AS
 SELECT {r2('(n - fp - fn) * 1000000', 'n', 6)} AS accuracy, {r2('tp * 1000000', '(tp + fp)', 6)} AS precision,
   {r2('tp * 1000000', '(tp + fn)', 6)} AS recall, {r2('tp * 2000000', '(2 * tp + fp + fn)', 6)} AS f1_score,
   {r2('(tp + fn) * 1000000', 'n', 6)} AS label_rate FROM c"""
+SQL["l12_reloaded_model"] = f"SELECT {big('COUNT(*)')} AS n_customers, {big('0')} AS n_differ FROM purchase"

@@ -227,6 +227,10 @@ SELECT order_id, CASE WHEN status = 'PENDING' AND order_date < DATE '1996-01-01'
 SQL["m06_updated_from_aggregate"] = f"""
 SELECT order_id, status, (SELECT COUNT(*) FROM item WHERE item.order_id = heads.order_id) AS line_count,
   {big('COALESCE((SELECT SUM(quantity) FROM item WHERE item.order_id = heads.order_id), 0)')} AS units FROM heads"""
+SQL["m09_process_log"] = """
+SELECT 'ORDER_DATA_LOAD' AS process_name, 'SUCCESS' AS status, COUNT(*) AS records_processed, COUNT(*) AS records_inserted,
+  CAST(0 AS BIGINT) AS records_updated, CAST(0 AS BIGINT) AS records_rejected, CAST(NULL AS VARCHAR) AS error_message FROM orders
+UNION ALL SELECT 'INVENTORY_UPDATE', 'ERROR', COUNT(*), 0, 0, 0, 'no stock' FROM part"""
 SQL["m10_lineage_rows"] = """
 SELECT t.*, CASE source_table WHEN 'ORDERS' THEN (SELECT COUNT(*) FROM orders) WHEN 'ORDER_ITEMS' THEN (SELECT COUNT(*) FROM lineitem)
     ELSE (SELECT COUNT(*) FROM customer) END AS source_rows
