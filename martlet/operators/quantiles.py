@@ -23,7 +23,8 @@ def median(df: DataFrame, column: str) -> Column:
     sketch = values.agg(
         F.percentile_approx("v", [0.5 - _MARGIN, 0.5 + _MARGIN], ACCURACY).alias("b")
     )
-    low, high = sketch.select(F.col("b")[0]).scalar(), sketch.select(F.col("b")[1]).scalar()
+    bracket = sketch.scalar()  # one subquery, used twice
+    low, high = bracket[0], bracket[1]
     bucket = (
         F.when(F.col("v") < low, F.lit(float("-inf")))
         .when(F.col("v") > high, F.lit(float("inf")))

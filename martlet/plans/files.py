@@ -74,7 +74,7 @@ def parquet_scan(m: Mart) -> DataFrame:
     orders = m.orders.withColumn("order_month", F.date_format("order_date", "yyyy-MM"))
     # Rows of a month meet in a few tasks before the write; AQE splits a large month.
     orders.hint("rebalance", "order_month").write.partitionBy("order_month").parquet(path)
-    stored = files.read_parquet(m.spark, path, orders.schema.simpleString()[7:-1].replace(":", " "))
+    stored = files.read_parquet(m.spark, path, orders.schema)
     return (
         stored.filter(F.col("order_month") >= "2000-06")
         .groupBy("order_month")

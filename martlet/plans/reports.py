@@ -319,7 +319,7 @@ def revenue_quartiles(m: Mart) -> DataFrame:
         .select(
             "day_of_week_name",
             money("lo", "lowest"),
-            *[F.round(F.col("q")[i] / 100, 2).alias(n) for i, n in enumerate(("q1", "median", "q3"))],
+            *[amount(F.round(F.col("q")[i])).alias(n) for i, n in enumerate(("q1", "median", "q3"))],
             money("hi", "highest"),
         )
     )

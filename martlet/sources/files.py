@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from martlet.functions.text import null_token
 from martlet.session import written
@@ -81,7 +82,9 @@ def has_duplicate_keys(x) -> Column:
     return F.size(F.array_distinct(keys)) < F.size(keys)
 
 
-def read_parquet(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+def read_parquet(
+    spark: SparkSession, path: str, schema: StructType | str | None = None
+) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)
 

@@ -93,8 +93,8 @@ SQL["q19_revenue_quartiles"] = f"""
 WITH per_day AS (SELECT day_of_week_name, date_actual, CAST(SUM(line_total) * 100 AS BIGINT) AS c
   FROM fact JOIN cal ON order_date = date_actual WHERE {RANGE} GROUP BY 1, 2)
 SELECT day_of_week_name, MIN(c) / 100.0::DOUBLE AS lowest,
-  ROUND(quantile_cont(c, 0.25) / 100, 2) AS q1, ROUND(quantile_cont(c, 0.5) / 100, 2) AS median,
-  ROUND(quantile_cont(c, 0.75) / 100, 2) AS q3, MAX(c) / 100.0::DOUBLE AS highest FROM per_day GROUP BY 1"""
+  ROUND(quantile_cont(c, 0.25)) / 100.0::DOUBLE AS q1, ROUND(quantile_cont(c, 0.5)) / 100.0::DOUBLE AS median,
+  ROUND(quantile_cont(c, 0.75)) / 100.0::DOUBLE AS q3, MAX(c) / 100.0::DOUBLE AS highest FROM per_day GROUP BY 1"""
 SQL["q19_profit_waterfall"] = f"""
 WITH g AS (SELECT month_number AS step, SUM(profit) AS v FROM fact JOIN cal ON order_date = date_actual
   WHERE {RANGE} GROUP BY 1)
