@@ -309,10 +309,10 @@ def lookup_with_default(m: Mart) -> DataFrame:
 
 def merge_join(m: Mart) -> DataFrame:
     """Full outer join of two versions of a table, each key told apart."""
-    old = m.products.filter("product_key % 7 <> 0").select(
+    old = m.products.filter("supplier_name <> 'Brand#7'").select(
         "product_key", (F.col("price_c") + F.col("product_key") % 3).alias("old_c")
     )
-    new = m.products.filter("product_key % 5 <> 0").select("product_key", "price_c")
+    new = m.products.filter("category_name <> 'PROMO'").select("product_key", "price_c")
     state = (
         F.when(F.col("old_c").isNull(), "insert")
         .when(F.col("price_c").isNull(), "keep")

@@ -458,7 +458,7 @@ def _previous_customers(m: Mart) -> DataFrame:
     key = F.col("customer_id")
     older = (
         customer_source(m)
-        .filter(key % 7 != 0)
+        .filter(F.col("registration_date") < day(date(1994, 11, 1)))
         .withColumn(
             "annual_income",
             F.when(key % 5 == 0, F.col("annual_income") - 100)
@@ -521,7 +521,7 @@ def merged_products(m: Mart) -> DataFrame:
     key = F.col("product_id")
     older = (
         product_source(m)
-        .filter(key % 9 != 0)
+        .filter(F.col("supplier_name") != "Brand#7")
         .withColumn(
             "unit_price",
             F.when(key % 8 == 3, F.col("unit_price") - 1)

@@ -79,8 +79,8 @@ FROM rdim JOIN place ON territory_name = n_name"""
 SQL["j12_lookup_with_default"] = """
 SELECT product_key, category_name, CAST(CASE category_name WHEN 'ECONOMY' THEN 1 WHEN 'LARGE' THEN 2 WHEN 'MEDIUM' THEN 3 ELSE 1 END AS BIGINT) AS category_id FROM pdim"""
 SQL["j14_merge_join"] = """
-SELECT product_key, CASE WHEN product_key % 7 = 0 THEN 'insert' WHEN product_key % 5 = 0 THEN 'keep' WHEN product_key % 3 <> 0 THEN 'update' ELSE 'same' END AS action
-FROM pdim WHERE product_key % 35 <> 0"""
+SELECT product_key, CASE WHEN supplier_name = 'Brand#7' THEN 'insert' WHEN category_name = 'PROMO' THEN 'keep' WHEN product_key % 3 <> 0 THEN 'update' ELSE 'same' END AS action
+FROM pdim WHERE NOT (supplier_name = 'Brand#7' AND category_name = 'PROMO')"""
 
 SQL["a01_grouped"] = f"""
 SELECT year_number, quarter_name, month_name, day_of_week_name, is_weekend, is_holiday, status, {N}

@@ -137,7 +137,7 @@ old AS (SELECT * REPLACE (
     CASE WHEN customer_id % 5 = 0 THEN annual_income - 100 WHEN customer_id % 6 = 1 THEN NULL ELSE annual_income END AS annual_income,
     CASE WHEN customer_id % 11 = 3 THEN 'PENDING' ELSE status END AS status,
     CASE WHEN customer_id % 4 = 1 THEN '000' ELSE phone END AS phone)
-  FROM src WHERE customer_id % 7 <> 0)"""
+  FROM src WHERE registration_date < DATE '1994-11-01')"""
 _COLS = "{a}.customer_id, {a}.customer_name, {a}.email, {a}.phone, {a}.annual_income, {a}.status"
 _DIFF = """(old.customer_name IS DISTINCT FROM src.customer_name OR old.email IS DISTINCT FROM src.email
   OR old.annual_income IS DISTINCT FROM src.annual_income OR old.status IS DISTINCT FROM src.status)"""
@@ -161,7 +161,7 @@ WHERE customer_id NOT IN (SELECT customer_id FROM old)"""
 SQL["m08_merged_products"] = f"""
 WITH src AS ({SQL['b06_product_source']}),
 old AS (SELECT * REPLACE (CASE WHEN product_id % 8 = 3 THEN CAST(CAST(unit_price AS DECIMAL(10,2)) - 1 AS DOUBLE) ELSE unit_price END AS unit_price,
-    product_id % 12 = 5 OR discontinued AS discontinued) FROM src WHERE product_id % 9 <> 0),
+    product_id % 12 = 5 OR discontinued AS discontinued) FROM src WHERE supplier_name <> 'Brand#7'),
 d AS (SELECT src.product_id, old.product_id AS old_id,
     old.unit_price <> src.unit_price OR old.discontinued <> src.discontinued AS changed
   FROM src LEFT JOIN old USING (product_id))
