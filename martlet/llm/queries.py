@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martlet.llm.bpe import encode_documents
 from martlet.llm.common import table
 from martlet.llm.mixing import mix
 from martlet.llm.pii import KINDS, base_spans, find, listing
+from martlet.llm.quality_rules import judge
+from martlet.llm.shingle_join import near_duplicates
 from martlet.llm.sharding import shard_documents
 
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+
 
 def op2_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of eight shards of near equal bytes."""
@@ -32,6 +37,17 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded by a public vocabulary, and decoded again."""
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    vocabulary = public_tokenizers.path(VOCABULARY)
+    return encode_documents(docs, vocabulary, public_tokenizers.PATTERN).select(
+        "doc.doc_id", "n_tokens", "ids_sha256", "decoded_sha256"
+    )
+
+
 def op6_fair_queue_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of every document the mix takes."""
     return mix(table(spark, sf_dir, "documents"), ["doc_id"]).select(
@@ -39,4 +55,21 @@ def op6_fair_queue_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_sampled_splitters, op3_personal_data, op6_fair_queue_mix)}
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+def op10_likelihood_ratio_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality counts and verdict of every document."""
+    docs = table(spark, sf_dir, "documents")
+    judged = judge(docs, table(spark, sf_dir, "labels"))
+    return judged.select("doc.doc_id", *judged.columns[1:])
+
+
+QUERIES = {f.__name__: f for f in (
+    op2_sampled_splitters, op3_personal_data, op4_byte_bpe, op6_fair_queue_mix,
+    op8_jaccard_join,
+    op10_likelihood_ratio_rules,
+)}
