@@ -29,7 +29,7 @@ WORDS = 5
 #: Similarity: intersection * TIMES >= union * LEAST, and the losses it allows.
 LEAST, TIMES = 75, 100
 #: Buckets of the corpus counts: what each task sends and the driver gets.
-BUCKETS = 1 << 18
+BUCKETS = 1 << 20
 #: Sets up to this size are in the first band; each further band is four times as
 #: wide, with CELLS cells times the same power. 0.75 * 0.75 * FIRST > CELLS keeps
 #: every set of a band large enough for its cells.
@@ -120,19 +120,25 @@ def bands(size: int) -> list[int]:
 
 
 def signatures(tokens: np.ndarray, counts: np.ndarray, usual: float, frequent: float):
-    """Signatures of a set, and for each how many cells its group is dealt over."""
+    """Signatures of a set; for each, how many cells its group is dealt over, and its room.
+
+    The room is the number of the set's tokens from that one on. The first token that
+    two sets share in the common order is a signature of both if it is rare, and all
+    they share lies in its rooms; a pair of frequent tokens has the whole set as room.
+    """
     size = len(tokens)
     losses = size - -(-size * LEAST // TIMES)
     seen = counts[bucket_of(tokens)]
     order = np.lexsort((tokens, seen))
     tokens, seen = tokens[order], seen[order]
     rare = int(np.searchsorted(seen, frequent, side="right"))
-    out, many = [], []
+    out, many, room = [], [], []
     for band in bands(size):
         salt = np.uint64(band * int(_ODD) % (1 << 64))
         alone = losses + 1 if band == 0 else min(rare, losses + 1)
         out.append(_mix(tokens[:alone] + salt))
         many.append(seen[:alone])
+        room.append(size - np.arange(alone))
         missing = losses + 1 - alone
         if missing <= 0:
             continue
@@ -151,10 +157,11 @@ def signatures(tokens: np.ndarray, counts: np.ndarray, usual: float, frequent: f
             one, two = often[same], often[same + apart]
             out.append(_mix(_mix(one + salt) * np.uint64(3) + two))
             many.append(np.minimum(their[same], their[same + apart]))
+            room.append(np.full(len(same), size))
             apart += 1
     many = np.concatenate(many)
     dealt = np.maximum(1, np.ceil((many - usual) / GROUP)).astype(np.int64)
-    return np.concatenate(out), dealt
+    return np.concatenate(out), dealt, np.concatenate(room)
 
 
 def _texts(batches):
@@ -223,8 +230,8 @@ def sketch(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
 
 
 def _signature_rows(docs: DataFrame, counts: np.ndarray) -> DataFrame:
-    """A row for each signature of each document: the cell of its group, class, size,
-    and the signature itself where the group is dealt over several cells."""
+    """A row for each signature of each document: the cell of its group, class, size and
+    room in one number, and the signature itself where the group is dealt over several cells."""
     import pyarrow as pa
 
     usual = float(counts.sum()) / BUCKETS
@@ -242,22 +249,23 @@ def _signature_rows(docs: DataFrame, counts: np.ndarray) -> DataFrame:
                     continue
                 if len(known) < 1_000_000:  # equal rows of a task once; others later
                     known.add(cls)
-                found, dealt = signatures(tokens, sent.value, usual, frequent)
-                parts.append((found, dealt, np.full(len(found), cls), np.full(len(found), len(tokens))))
+                found, dealt, room = signatures(tokens, sent.value, usual, frequent)
+                sizes = (len(tokens) << _ROOM_BITS) + room
+                parts.append((found, dealt, np.full(len(found), cls), sizes))
             for low in range(0, len(parts), 500):
-                found, dealt, cls, n = map(np.concatenate, zip(*parts[low : low + 500]))
+                found, dealt, cls, sizes = map(np.concatenate, zip(*parts[low : low + 500]))
                 mine = _mix(cls.astype(np.uint64)) % dealt.astype(np.uint64)
                 cell = np.where(dealt > 1, _mix(found + mine * _ODD + np.uint64(1)), found)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cell.astype(np.int64)), pa.array(cls), pa.array(n.astype(np.int32)),
+                    [pa.array(cell.astype(np.int64)), pa.array(cls), pa.array(sizes),
                      pa.array(found.astype(np.int64), mask=dealt == 1)],
-                    names=["cell", "cls", "n", "sig"])
+                    names=["cell", "cls", "sizes", "sig"])
 
-    return docs.select("text").mapInArrow(run, "cell long, cls long, n int, sig long")
+    return docs.select("text").mapInArrow(run, "cell long, cls long, sizes long, sig long")
 
 
 def _busy(rows: DataFrame) -> DataFrame:
-    """Rows (sig, cls, n, band) of signatures that several classes may share.
+    """Rows (sig, cls, n, room, band) of signatures that several classes may share.
 
     One shuffle by cell; of the signatures, most are alone and go no further.
     """
@@ -268,15 +276,23 @@ def _busy(rows: DataFrame) -> DataFrame:
         "low": F.min("cls").over(group), "high": F.max("cls").over(group),
     }).filter("sig IS NOT NULL OR low < high")
     width = F.lit(np.log(TIMES / LEAST).item())
-    band = F.floor(F.log(F.col("n").cast("double")) / width).cast("int")
-    return shared.select(F.coalesce("sig", "cell").alias("sig"), "cls", "n", band.alias("band"))
+    n = F.shiftright("sizes", _ROOM_BITS)
+    room = F.col("sizes").bitwiseAND(F.lit((1 << _ROOM_BITS) - 1))
+    return shared.select(
+        F.coalesce("sig", "cell").alias("sig"), "cls", n.alias("n"), room.alias("room"),
+        F.floor(F.log(n.cast("double")) / width).cast("int").alias("band"),
+    )
 
 
-_FITS = f"least(n, m) * {TIMES} >= greatest(n, m) * {LEAST}"
+#: What a pair needs: an intersection of at least LEAST / (TIMES + LEAST) of both sizes
+#: together fits into the rooms (and so into the sizes).
+_FITS = f"least(room, space) * {TIMES + LEAST} >= (n + m) * {LEAST}"
+_ROOM_BITS = 31
 
 
 def _pairs(found: DataFrame) -> DataFrame:
-    """Distinct candidates (a, b), a < b, from rows (cls, n, other, m) whose sizes fit."""
+    """Distinct candidates (a, b), a < b, from rows (cls, n, room, other, m, space)
+    whose sizes and rooms fit."""
     return found.filter(f"cls <> other AND {_FITS}").select(
         F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b")
     ).distinct()
@@ -285,22 +301,34 @@ def _pairs(found: DataFrame) -> DataFrame:
 def _star(busy: DataFrame) -> DataFrame:
     """Every class with the first class of its signature and band of sizes, and these
     first classes with those of the next band."""
-    first = busy.groupBy("sig", "band").agg(F.min(F.struct("cls", "n")).alias("lead"))
-    lead = first.select("sig", "band", F.col("lead.cls").alias("other"), F.col("lead.n").alias("m"))
-    near = busy.join(lead, ["sig", "band"]).select("cls", "n", "other", "m")
-    here = lead.select("sig", F.col("other").alias("cls"), F.col("m").alias("n"), "band")
+    first = busy.groupBy("sig", "band").agg(F.min(F.struct("cls", "n", "room")).alias("lead"))
+    lead = first.select(
+        "sig", "band", F.col("lead.cls").alias("other"), F.col("lead.n").alias("m"),
+        F.col("lead.room").alias("space"),
+    )
+    names = ["cls", "n", "room", "other", "m", "space"]
+    near = busy.join(lead, ["sig", "band"]).select(*names)
+    here = lead.select(
+        "sig", "band", F.col("other").alias("cls"), F.col("m").alias("n"), F.col("space").alias("room")
+    )
     above = lead.withColumn("band", F.col("band") - 1)
-    return _pairs(near.unionByName(here.join(above, ["sig", "band"]).select("cls", "n", "other", "m")))
+    return _pairs(near.unionByName(here.join(above, ["sig", "band"]).select(*names)))
 
 
 def _across(busy: DataFrame, roots: DataFrame) -> DataFrame:
     """Pairs in one signature's group whose classes are in different components."""
-    placed = busy.join(roots, busy["cls"] == roots["node"]).select("sig", "cls", "n", "root").distinct()
+    placed = busy.join(roots, busy["cls"] == roots["node"]).select(
+        "sig", "cls", "n", "room", "root"
+    ).distinct()
     split = placed.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
     mixed = placed.join(split.filter("lo < hi").select("sig"), "sig", "left_semi")
     mixed = written(mixed, "mixed")
-    other = mixed.select("sig", F.col("cls").alias("other"), F.col("n").alias("m"), F.col("root").alias("root2"))
-    return _pairs(mixed.join(other, "sig").filter("root < root2").select("cls", "n", "other", "m"))
+    other = mixed.select(
+        "sig", F.col("cls").alias("other"), F.col("n").alias("m"), F.col("room").alias("space"),
+        F.col("root").alias("root2"),
+    )
+    met = mixed.join(other, "sig").filter("root < root2")
+    return _pairs(met.select("cls", "n", "room", "other", "m", "space"))
 
 
 def _one_text(docs: DataFrame, pairs: DataFrame) -> DataFrame:
