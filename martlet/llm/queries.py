@@ -5,17 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martlet.llm import pu_quality
 from martlet.llm.bpe import encode_documents
 from martlet.llm.common import table
+from martlet.llm.language import fit, identify
 from martlet.llm.mixing import mix
 from martlet.llm.pii import KINDS, base_spans, find, listing
 from martlet.llm.quality_rules import judge
 from martlet.llm.shingle_join import near_duplicates
 from martlet.llm.sharding import shard_documents
+from martlet.llm.vector_dedup import link_vectors
+from martlet.llm.warc import audit, damaged, leaves, tree, write_records
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
+def held_out(kept: int, of: int):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % of == kept
+
+
+def op1_positive_unlabelled_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from four fifths of the labels."""
+    docs = table(spark, sf_dir, "documents")
+    model = pu_quality.fit(
+        docs.filter(~held_out(0, 5)), table(spark, sf_dir, "labels").filter(~held_out(0, 5))
+    )
+    out = F.coalesce(held_out(0, 5), F.lit(False))
+    return pu_quality.score(docs, model).select(
+        "doc_id", out.alias("held_out"), "score", "predicted"
+    )
+
+
 def op2_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of eight shards of near equal bytes."""
     return shard_documents(table(spark, sf_dir, "documents"))
@@ -48,6 +68,12 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as WARC records, and the records in which a damaged replica differs."""
+    records = write_records(table(spark, sf_dir, "pages"))
+    return audit(tree(leaves(records)), tree(leaves(damaged(records))))
+
+
 def op6_fair_queue_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of every document the mix takes."""
     return mix(table(spark, sf_dir, "documents"), ["doc_id"]).select(
@@ -55,12 +81,25 @@ def op6_fair_queue_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_projection_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector."""
+    return link_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document."""
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op9_byte_recurrent_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from two thirds of the labelled ones."""
+    docs = table(spark, sf_dir, "documents")
+    out = F.coalesce(held_out(1, 3), F.lit(False))
+    net = fit(docs.filter(~held_out(1, 3)))
+    return identify(docs, net).select("doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
 def op10_likelihood_ratio_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality counts and verdict of every document."""
     docs = table(spark, sf_dir, "documents")
@@ -69,7 +108,7 @@ def op10_likelihood_ratio_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_sampled_splitters, op3_personal_data, op4_byte_bpe, op6_fair_queue_mix,
-    op8_jaccard_join,
+    op1_positive_unlabelled_quality, op2_sampled_splitters, op3_personal_data, op4_byte_bpe, op5_merkle_audit, op6_fair_queue_mix,
+    op7_projection_passes, op8_jaccard_join, op9_byte_recurrent_network,
     op10_likelihood_ratio_rules,
 )}
