@@ -18,14 +18,14 @@ from pyspark.sql import functions as F
 from martlet.llm.common import ship
 
 #: Labelled rows the network is fitted on: at most this many of each language, the
-#: first by hash of their id, and of each text one segment, at a place drawn by the
+#: first by hash of their id, and of each text two segments, from a place drawn by the
 #: same hash.
 ROWS_PER_LANGUAGE = 600
 #: At most this many languages, the most frequent, are learned.
 LANGUAGES = 64
 SEGMENT = 96
 HIDDEN = 6
-EPOCHS = 10
+STEPS = 240
 BATCH = 128
 SEED = 9
 #: Segments read together in a task; bounds its memory.
@@ -93,8 +93,9 @@ def _backward(table, state, symbols, hiddens, gates, grad):
 
 
 def train(segments: np.ndarray, targets: np.ndarray, labels: list[str], hidden: int = HIDDEN,
-          epochs: int = EPOCHS, seed: int = SEED) -> Network:
-    """Fit the network to segments (rows of SEGMENT symbols) with Adam.
+          steps: int = STEPS, seed: int = SEED) -> Network:
+    """Fit the network to segments (rows of SEGMENT symbols) with Adam, in about
+    ``steps`` batches.
 
     Every position's label is the document's; positions beyond the text do not count.
     """
@@ -110,6 +111,7 @@ def train(segments: np.ndarray, targets: np.ndarray, labels: list[str], hidden:
     first = [np.zeros_like(w) for w in weights]
     second = [np.zeros_like(w) for w in weights]
     step = 0
+    epochs = -(-steps // -(-len(segments) // BATCH))
     for epoch in range(epochs):
         rate = 0.02 * 0.5 * (1 + np.cos(np.pi * epoch / epochs))
         order = rng.permutation(len(segments))
@@ -216,10 +218,10 @@ def fit(docs: DataFrame, labels: tuple[str, ...] | None = None) -> Network | Non
     # about three times the rows wanted come out of the scan, the window cuts them
     unit = F.pmod("draw", F.lit(1 << 30)) / F.lit(float(1 << 30))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(unit, "doc_id", "draw"))
-    spot = F.pmod(F.shiftright("draw", 31), F.greatest(F.length("text") - SEGMENT // 2, F.lit(1))).cast("int")
+    spot = F.pmod(F.shiftright("draw", 31), F.greatest(F.length("text") - SEGMENT, F.lit(1))).cast("int")
     sample = (
         chosen.filter(unit < F.col("chance"))
-        .withColumn("piece", F.substr("text", spot + 1, F.lit(SEGMENT)))
+        .withColumn("piece", F.substr("text", spot + 1, F.lit(2 * SEGMENT)))
         .withColumn("place", place).filter(F.col("place") <= ROWS_PER_LANGUAGE)
         .select("lang", "piece", unit.alias("unit")).toPandas()
         .sort_values(["lang", "unit", "piece"])
@@ -229,8 +231,9 @@ def fit(docs: DataFrame, labels: tuple[str, ...] | None = None) -> Network | Non
         return None
     known = sorted(sample["lang"].unique())
     targets = sample["lang"].map({k: i for i, k in enumerate(known)}).to_numpy()
-    segments = np.stack([symbols_of(p.encode()[:SEGMENT])[0] for p in sample["piece"]])
-    return train(segments, targets, known)
+    segments = [symbols_of(p.encode()[: 2 * SEGMENT]) for p in sample["piece"]]
+    targets = np.repeat(targets, [len(s) for s in segments])
+    return train(np.concatenate(segments), targets, known)
 
 
 _LETTER = regex.compile(r"\p{L}").search
