@@ -32,7 +32,8 @@ def paths(df: DataFrame, key: str, parent: str, name: str, sep: str = " > ") ->
 
     Pointer doubling: every round joins each row's open ancestor with that
     ancestor's own path, so a hierarchy of depth d needs about log2(d) joins. Each
-    round is written out; the loop ends when no row has an ancestor left.
+    round is written out; the loop ends when no row has an ancestor left. A row that
+    is its own ancestor would go on for ever: it raises an error that names such rows.
     """
     state = df.select(
         F.col(key).alias("node"),
@@ -40,10 +41,15 @@ def paths(df: DataFrame, key: str, parent: str, name: str, sep: str = " > ") ->
         F.col(name).alias("path"),
         F.lit(0).alias("depth"),
     )
+    rounds = 0
     while True:
         state = written(state, "paths")
         if state.filter("up IS NOT NULL").isEmpty():
             break
+        met = [r["node"] for r in state.filter("up = node").select("node").limit(10).collect()]
+        if met or rounds > state.count().bit_length():
+            raise ValueError(f"rows above themselves, such as {sorted(met)}")
+        rounds += 1
         above = state.select(
             F.col("node").alias("up"),
             F.col("up").alias("up2"),

@@ -19,7 +19,7 @@ from martlet.operators.keys import number_rows, padded
 from martlet.operators.mutate import update_from
 from martlet.plans.builds import sales_reps
 from martlet.plans.views import money
-from martlet.sources.mart import Mart
+from martlet.sources.mart import Mart, Span
 
 # ---- orders ---------------------------------------------------------------------
 
@@ -410,10 +410,10 @@ def payroll(m: Mart) -> DataFrame:
     )
 
 
-def rep_order_totals(m: Mart, status: str) -> DataFrame:
+def rep_order_totals(m: Mart, status: str, span: Span | None = None) -> DataFrame:
     """What each rep sold in each order of a status, taxed, with the order's date."""
     per_rep = (
-        m.sales()
+        m.sales(span)
         .filter(F.col("status") == status)
         .groupBy("order_id", "sales_rep_key")
         .agg(F.min("order_date").alias("order_date"), F.sum("line_c").alias("sum_c"))
@@ -431,8 +431,7 @@ def sales_commission(
 ) -> DataFrame:
     """Commission of every rep for one period; reps without sales earn zero."""
     sold = (
-        rep_order_totals(m, status)
-        .filter(F.col("order_date").between(day(start), day(end)))
+        rep_order_totals(m, status, Span(start, end))
         .groupBy("sales_rep_id")
         .agg(F.sum("total_c").alias("sales_c"))
     )
@@ -459,8 +458,7 @@ def payroll_with_commission(m: Mart, status: str = "SHIPPED") -> DataFrame:
     residual over rows that no longer depend on the number of orders.
     """
     daily = (
-        rep_order_totals(m, status)
-        .filter(F.col("order_date") >= F.trunc(day(m.as_of), "year"))
+        rep_order_totals(m, status, Span(date(m.as_of.year, 1, 1), date.max))
         .groupBy("sales_rep_id", "order_date")
         .agg(F.sum("total_c").alias("total_c"))
         .join(sales_reps(m).select("sales_rep_id", "employee_id", "commission_rate"), "sales_rep_id")

@@ -29,10 +29,11 @@ END"""
 
 
 def describe(dates: DataFrame) -> DataFrame:
-    """Calendar attributes of each ``date_actual``. Sunday is day 1; fiscal years
-    start in July and carry the number of the year they end in."""
+    """Calendar attributes of each ``date_actual``, beside the other columns. Sunday is
+    day 1; fiscal years start in July and carry the number of the year they end in."""
     d = "date_actual"
     parts = dates.selectExpr(
+        *[c for c in dates.columns if c != d],
         f"year({d}) * 10000 + month({d}) * 100 + day({d}) AS date_key",
         d,
         f"dayofweek({d}) AS day_of_week",
@@ -90,14 +91,17 @@ def calendar(spark: SparkSession, first: date, last: date) -> DataFrame:
     return describe(days(spark, first, last))
 
 
-def covering(spark: SparkSession, dates: DataFrame, column: str) -> DataFrame:
-    """Calendar of every whole year that ``column`` of ``dates`` touches."""
+def covering(
+    spark: SparkSession, dates: DataFrame, column: str,
+    first: date | None = None, last: date | None = None,
+) -> DataFrame:
+    """Calendar of every whole year that ``column`` of ``dates`` touches, and at least
+    of ``first`` to ``last``."""
     span = dates.agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
-    return describe(
-        span.select(
-            F.explode(F.sequence(F.trunc("lo", "year"), year_end("hi"))).alias("date_actual")
-        )
-    )
+    low, high = F.trunc("lo", "year"), year_end("hi")
+    if first is not None:
+        low, high = F.least(low, day(first)), F.greatest(high, day(last))
+    return describe(span.select(F.explode(F.sequence(low, high)).alias("date_actual")))
 
 
 def verify(dim: DataFrame) -> DataFrame:

@@ -4,17 +4,12 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("views", "reports", "builds", "business", "jobs", "quality", "features", "models",
+_MODULES = ("views", "reports", "builds", "business", "quality", "features", "models",
             "synth", "files", "basics", "activity")
 
 QUERIES = {}
 for _name in _MODULES:
-    try:
-        _module = import_module(f"martlet.plans.{_name}")
-    except ModuleNotFoundError as missing:
-        if missing.name != f"martlet.plans.{_name}":
-            raise
-        continue
+    _module = import_module(f"martlet.plans.{_name}")
     for _key, _plan in _module.ALL.items():
         if _key in QUERIES:
             raise ValueError(f"two queries named {_key}")

@@ -244,18 +244,18 @@ def top_products_revenue(m: Mart, n: int = 10) -> DataFrame:
 
 
 def top_products_units(m: Mart, n: int = 10) -> DataFrame:
-    return product_performance(m).orderBy(
+    return _products(m, START, END).orderBy(
         F.desc("total_units_sold"), "product_name", "category_name", "supplier_name"
     ).limit(n)
 
 
 def category_totals(m: Mart) -> DataFrame:
-    """Second aggregate, over the rows of the product report."""
+    """Second aggregate, over the rows of all products."""
     def total(column: str) -> Column:
         return F.sum(F.col(column).cast("decimal(18,2)")).cast("double").alias(column)
 
     return (
-        product_performance(m)
+        _products(m, START, END)
         .groupBy("category_name")
         .agg(
             total("total_revenue"),

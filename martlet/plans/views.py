@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from martlet.functions.dates import day
 from martlet.functions.money import amount, mean_amount, percent
+from martlet.plans import calendar
 from martlet.sources.mart import Mart, Span, line_totals
 
 MEASURES = ("units", "revenue_c", "cost_c", "profit_c", "n_lines")
@@ -46,7 +47,10 @@ def per_day(m: Mart, span: Span | None = None) -> DataFrame:
 
 
 def with_calendar(m: Mart, df: DataFrame) -> DataFrame:
-    return df.join(m.date_dim, F.col("order_date") == F.col("date_actual"))
+    """Calendar attributes of each row's order date, derived from the date itself, so
+    that no day lies outside; rows without a date have none and are left out."""
+    dated = df.filter("order_date IS NOT NULL")
+    return calendar.describe(dated.withColumn("date_actual", F.col("order_date")))
 
 
 def monthly_sales_summary(m: Mart) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from martlet import schemas
 from martlet.functions.dates import date_key, day
 from martlet.functions.money import as_decimal, cents
-from martlet.plans.calendar import calendar
+from martlet.plans.calendar import covering
 from martlet.sources.inline import inline_rows
 
 AS_OF = date(2001, 8, 1)
@@ -72,8 +72,10 @@ class Mart:
 
     @cached_property
     def date_dim(self) -> DataFrame:
-        """35 years of days: 12,784 rows whatever the data."""
-        return calendar(self.spark, date(1995, 1, 1), date(2029, 12, 31))
+        """Every day of the years the orders touch, and at least of 1995 to 2029."""
+        return covering(
+            self.spark, self.orders, "order_date", date(1995, 1, 1), date(2029, 12, 31)
+        )
 
     def row_count(self, name: str) -> Column:
         """Number of rows of an input table, as a scalar subquery."""

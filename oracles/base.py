@@ -115,7 +115,9 @@ SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS date_key, d
     WHEN month(d) = 9 AND dayofweek(d) = 1 AND day(d) <= 7 THEN 'Labor Day' END AS holiday_name"""
 
 CTES["day_list"] = """
-SELECT CAST(x AS DATE) AS d FROM generate_series(DATE '1995-01-01', DATE '2029-12-31', INTERVAL 1 DAY) AS t(x)"""
+SELECT CAST(x AS DATE) AS d FROM (SELECT min(order_date) AS lo, max(order_date) AS hi FROM heads) AS b,
+  generate_series(CAST(least(date_trunc('year', lo), DATE '1995-01-01') AS DATE),
+    CAST(greatest(date_trunc('year', hi) + INTERVAL 1 YEAR - INTERVAL 1 DAY, DATE '2029-12-31') AS DATE), INTERVAL 1 DAY) AS t(x)"""
 CTES["cal_raw"] = _CALENDAR + " FROM day_list"
 CTES["cal"] = "SELECT *, holiday_name IS NOT NULL AS is_holiday FROM cal_raw"
 CTES["span_list"] = """

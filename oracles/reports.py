@@ -64,14 +64,15 @@ SELECT * FROM ({SQL['q08_rep_performance']}) AS q ORDER BY total_revenue DESC, s
 SQL["q15_top_products_revenue"] = f"""
 SELECT * FROM ({SQL['q09_product_performance']}) AS q
 ORDER BY total_revenue DESC, product_name, category_name, supplier_name LIMIT 10"""
+_ALL_PRODUCTS = SQL["q09_product_performance"].rpartition("ORDER BY")[0]
 SQL["q15_top_products_units"] = f"""
-SELECT * FROM ({SQL['q09_product_performance']}) AS q
+SELECT * FROM ({_ALL_PRODUCTS}) AS q
 ORDER BY total_units_sold DESC, product_name, category_name, supplier_name LIMIT 10"""
 SQL["q16_category_totals"] = f"""
 SELECT category_name, CAST(SUM(CAST(total_revenue AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue,
   CAST(SUM(CAST(total_profit AS DECIMAL(18,2))) AS DOUBLE) AS total_profit,
   {big('SUM(total_units_sold)')} AS total_units_sold
-FROM ({SQL['q09_product_performance']}) AS q GROUP BY 1"""
+FROM ({_ALL_PRODUCTS}) AS q GROUP BY 1"""
 
 
 def _share(key: str, dim: str, join: str) -> str:

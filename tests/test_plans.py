@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from martlet.plans import views
+from martlet.plans.registry import QUERIES
 from martlet.sources.mart import Mart
 
-REPORTS = [n for n in entry.queries() if re.match(r"[vqrb]\d|l0[1-3]|c0", n)]
+REPORTS = [n for n in QUERIES if re.match(r"[vqrb]\d|l0[1-6]|c0|e[01]\d_", n)]
 
 
 def plan_of(df):
@@ -52,8 +53,48 @@ def test_scans_read_needed_columns_only(mart):
 def test_date_filter_reaches_the_order_scan(mart):
     from martlet.plans import reports
 
-    plan = plan_of(reports.daily_sales(mart))
-    assert re.search(r"(PushedFilters|DataFilters): \[[^\]]*o_orderdate", plan)
+    names = ("q06_sales_overview", "q07_daily_sales", "q08_rep_performance", "q11_monthly_comparison",
+             "e10_sales_commission", "e10_payroll_with_commission")
+    for plan in (plan_of(QUERIES[n](mart)) for n in names):
+        assert re.search(r"PushedFilters: \[[^\]]*o_orderdate", plan)
+
+
+class MovedMart(Mart):
+    """Orders from decades before and after the given ones."""
+
+    def table(self, name):
+        df = super().table(name)
+        if name != "orders":
+            return df
+        moved = F.when(F.col("o_orderkey") % 3 == 0, F.add_months("o_orderdate", -420)).when(
+            F.col("o_orderkey") % 3 == 1, F.add_months("o_orderdate", 420)
+        ).otherwise(F.col("o_orderdate").cast("date"))
+        return df.withColumn("o_orderdate", moved.cast(df.schema["o_orderdate"].dataType))
+
+
+def test_no_sale_is_outside_the_calendar(spark, sf_dir):
+    given, moved = Mart(spark, sf_dir), MovedMart(spark, sf_dir)
+    for view in (views.monthly_sales_summary, views.quarterly_sales_performance, views.sales_trend_analysis):
+        column = next(c for c in view(given).columns if "revenue" in c)
+        total = [view(m).agg(F.sum(F.col(column).cast("decimal(30,2)"))).first()[0] for m in (given, moved)]
+        assert total[0] == total[1]
+    assert moved.date_dim.filter("year_number < 1995 OR year_number > 2029").count() > 0
+
+
+def test_category_totals_cover_all_products(mart):
+    from martlet.plans import reports
+
+    totals = reports.category_totals(mart).agg(F.sum("total_revenue")).first()[0]
+    shares = reports.category_share(mart).agg(F.sum("total_revenue")).first()[0]
+    assert abs(totals - shares) < 0.01
+
+
+def test_a_cycle_in_a_hierarchy_is_named(spark):
+    from martlet.operators.lookup import paths
+
+    rows = spark.createDataFrame([(1, None, "a"), (2, 1, "b"), (3, 4, "c"), (4, 3, "d")], "k long, up long, n string")
+    with pytest.raises(ValueError, match="3"):
+        paths(rows, "k", "up", "n")
 
 
 class SkewedMart(Mart):
