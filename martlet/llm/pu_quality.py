@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 
 from martlet.llm.common import ship
 
-#: Rows the classifier is fitted on: at most this many trusted positives and this many
-#: unlabelled documents, the first by hash of their id.
-POSITIVES = 3000
-UNLABELLED = 6000
+#: Rows the classifier is fitted on: about this many trusted positives and this many
+#: unlabelled documents, those with the lowest hashes, and never more than twice that.
+POSITIVES = 2000
+UNLABELLED = 4000
 BUCKETS = 1 << 12
 EPOCHS = 60
 BATCH = 512
@@ -83,6 +83,13 @@ def features(text: str | None) -> np.ndarray:
 
 
 
+def _rows(texts: list[str]) -> np.ndarray:
+    out = np.empty((len(texts), BUCKETS + BINS), dtype=np.float32)
+    for i, text in enumerate(texts):
+        out[i] = features(text)
+    return out
+
+
 @dataclass
 class Model:
     weights: np.ndarray
@@ -147,8 +154,9 @@ def _estimate_prior(score_positive: np.ndarray, score_unlabelled: np.ndarray) ->
 def train(positive: list[str], unlabelled: list[str], seed: int = SEED) -> Model:
     """Fit the classifier; the prior is estimated with a first classifier that tells
     positives from unlabelled, on positives it has not seen."""
-    p = np.stack([features(t) for t in positive])
-    u = np.stack([features(t) for t in unlabelled])
+    p, u = _rows(positive), _rows(unlabelled)
+    rng = np.random.default_rng(seed)
+    rng.shuffle(p)
     back = max(1, int(len(p) * HELD_BACK))
     seen = p[back:] if len(p) > back else p
     first = _descend(seen, u, 0.5, max(3, EPOCHS // 6), seed)
@@ -160,18 +168,22 @@ def train(positive: list[str], unlabelled: list[str], seed: int = SEED) -> Model
 def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     """Train on a bounded sample: positives are rows of ``docs`` with label 1, the
     unlabelled come from all rows. None without positives."""
-    draw = F.xxhash64("doc_id", F.length("text"))
-    good = labels.filter("quality = 1").select("doc_id").distinct()
     rows = docs.select("doc_id", "text")
-    some = F.broadcast(
-        good.join(docs.select("doc_id"), "doc_id", "left_semi")
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(POSITIVES)
-    )
-    positive = rows.join(some, "doc_id").select("text", draw.alias("draw")).limit(2 * POSITIVES).toPandas()
-    unlabelled = rows.orderBy(draw, "doc_id").limit(UNLABELLED).toPandas()
+    good = labels.filter("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
+
+    def lowest(frame: DataFrame, draw, wanted: int) -> DataFrame:
+        share = wanted / max(wanted, frame.count())
+        unit = F.pmod(draw, F.lit(1 << 30)) / F.lit(float(1 << 30))
+        return frame.filter(unit < share).limit(2 * wanted)
+
+    some = F.broadcast(lowest(good, F.xxhash64("doc_id"), POSITIVES))  # at most 2 * POSITIVES ids
+    draw = F.xxhash64("doc_id", F.length("text"))
+    positive = rows.join(some, "doc_id").select("text").limit(2 * POSITIVES).toPandas()
+    unlabelled = lowest(rows, draw, UNLABELLED).select("text").toPandas()
     if not len(positive):
         return None
-    positive = positive.sort_values(["draw", "text"], na_position="first")
+    # the order in which tasks answer must not change the model
+    positive, unlabelled = (f.sort_values("text", na_position="first") for f in (positive, unlabelled))
     return train(positive["text"].tolist(), unlabelled["text"].tolist())
 
 
