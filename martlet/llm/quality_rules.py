@@ -19,6 +19,8 @@ from martlet.session import written
 BUCKETS = 1 << 17
 #: At most this many trusted documents, the first by hash of their id, are the target.
 TRUSTED = 20_000
+#: Added to a bucket's target count and to its expected one.
+PSEUDO = 5.0
 #: Documents whose mean log ratio is below this are rejected.
 LEAST_RATIO = -0.2
 WINDOW = 8
@@ -52,8 +54,9 @@ def trusted_ids(labels: DataFrame, limit: int = TRUSTED) -> DataFrame:
 def ratio_model(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row with the array of log ratios by bucket.
 
-    The target's multinomial is smoothed towards the raw one with a mass of one for
-    each bucket, so a bucket without evidence has a ratio near 0 in a small sample.
+    A bucket's target count is held against the count its share of the raw corpus would
+    give, both with the same pseudo-count, so a bucket with little evidence, as all are
+    in a small corpus, has a ratio near 0.
     Without trusted documents all ratios are 0.
     """
     spark = docs.sparkSession
@@ -70,10 +73,8 @@ def ratio_model(docs: DataFrame, labels: DataFrame) -> DataFrame:
     counts = written(raw.join(target, "bucket", "left").fillna(0, ["target"]), "ratio")
     sums = counts.agg(F.sum("raw").alias("r"), F.sum("target").alias("t")).first()
     n_raw, n_target = sums["r"] or 1, sums["t"] or 0
-    mass = float(BUCKETS)
-    ratio = F.log(
-        (F.col("target") * n_raw / F.col("raw") + mass) / F.lit(n_target + mass)
-    )
+    expected = F.col("raw") * F.lit(n_target / n_raw)
+    ratio = F.log((F.col("target") + F.lit(PSEUDO)) / (expected + F.lit(PSEUDO)))
     every = spark.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
     filled = every.join(counts.select("bucket", ratio.alias("ratio")), "bucket", "left")
     model = filled.agg(
