@@ -222,10 +222,10 @@ def sketch(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     zipped = F.explode_outer(F.arrays_zip("bucket", "count")).alias("b")
     rows = (
         out.filter("bucket IS NOT NULL").select(zipped)
-        .groupBy("b.bucket").agg(F.sum("b.count").alias("count")).toPandas()
+        .groupBy("b.bucket").agg(F.sum("b.count").alias("count")).toArrow()
     )
     counts = np.zeros(BUCKETS)
-    counts[rows["bucket"].to_numpy(dtype=np.int64)] = rows["count"].to_numpy()
+    counts[rows["bucket"].to_numpy()] = rows["count"].to_numpy()
     return out.filter("bucket IS NULL").select("id", "row", "n", "cls"), counts
 
 
@@ -346,10 +346,10 @@ def _one_text(docs: DataFrame, pairs: DataFrame) -> DataFrame:
         .agg(F.bit_or(F.call_function(
             "shiftleft", F.lit(1).cast("long"), F.pmod("cls", F.lit(32)).cast("int")
         )).alias("bits"))
-        .toPandas()
+        .toArrow()
     )
     sieve = np.zeros(SIEVE_BITS // 32, dtype=np.int64)
-    sieve[words["word"].to_numpy(dtype=np.int64)] = words["bits"].to_numpy(dtype=np.int64)
+    sieve[words["word"].to_numpy()] = words["bits"].to_numpy()
     sent = docs.sparkSession.sparkContext.broadcast(sieve)
 
     def run(batches):
