@@ -36,6 +36,9 @@ BUCKETS = 1 << 20
 FIRST, CELLS = 120, 64
 #: A signature expected in more than this many documents is dealt over several tasks.
 GROUP = 2000
+#: Words of 64 bits in the parity map of a set: bit i tells whether an odd number of its
+#: tokens hash to i. Two maps differ in at most as many bits as the sets in tokens.
+MAP_WORDS = 8
 #: Bits that tell which classes are compared; only a sieve before a join.
 SIEVE_BITS = 1 << 23
 
@@ -108,6 +111,13 @@ def bucket_of(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)
 
 
+def parity_map(tokens: np.ndarray) -> np.ndarray:
+    """The parity map of a set, as MAP_WORDS signed words."""
+    bits = 64 * MAP_WORDS
+    odd = np.bincount((tokens % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def bands(size: int) -> list[int]:
     """Bands of a set: 0 up to FIRST, then k for 0.75 T < size <= 4 T, T = FIRST * 4^(k-1)."""
     out = [0] if size <= FIRST else []
@@ -171,7 +181,7 @@ def _texts(batches):
 
 
 def sketch(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """Size and class of every row, and the corpus counts of shingles by bucket.
+    """Size, class and parity map of every row, and the corpus counts of shingles by bucket.
 
     ``docs`` has id and text. Counts come as one sparse row for each task.
     """
@@ -183,13 +193,14 @@ def sketch(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
         pending: list[np.ndarray] = []
         schema = pa.schema([
             ("id", id_type), ("row", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()),
-            ("bucket", pa.list_(pa.int32())), ("count", pa.list_(pa.int64())),
+            ("map", pa.list_(pa.int64())), ("bucket", pa.list_(pa.int32())), ("count", pa.list_(pa.int64())),
         ])
         for batch, texts in _texts(batches):
-            sizes, classes = [], []
+            sizes, classes, maps = [], [], []
             for text in texts:
                 tokens = shingler(text)
                 sizes.append(len(tokens))
+                maps.append(parity_map(tokens))
                 classes.append(set_class(tokens) if len(tokens) else None)
                 pending.append(bucket_of(tokens))
                 if len(pending) == 1000:
@@ -198,7 +209,8 @@ def sketch(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
             none = pa.nulls(len(texts))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("row"), pa.array(sizes, pa.int64()),
-                 pa.array(classes, pa.int64()), none.cast(schema.field("bucket").type),
+                 pa.array(classes, pa.int64()), pa.array(maps, pa.list_(pa.int64())),
+                 none.cast(schema.field("bucket").type),
                  none.cast(schema.field("count").type)], schema=schema)
         if pending:
             counts += np.bincount(np.concatenate(pending), minlength=BUCKETS)
@@ -206,7 +218,7 @@ def sketch(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
         if len(some):
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(1, id_type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()),
-                 pa.nulls(1, pa.int64()), pa.array([some], schema.field("bucket").type),
+                 pa.nulls(1, pa.int64()), pa.nulls(1, pa.list_(pa.int64())), pa.array([some], schema.field("bucket").type),
                  pa.array([counts[some]], schema.field("count").type)], schema=schema)
 
     from pyspark.sql.pandas.types import to_arrow_type
@@ -216,7 +228,7 @@ def sketch(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     out = written(
         docs.mapInArrow(
             run, f"id {id_spark.simpleString()}, row long, n long, cls long, "
-                 "bucket array<int>, count array<long>"),
+                 "map array<long>, bucket array<int>, count array<long>"),
         "sketch",
     )
     zipped = F.explode_outer(F.arrays_zip("bucket", "count")).alias("b")
@@ -226,7 +238,7 @@ def sketch(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     )
     counts = np.zeros(BUCKETS)
     counts[rows["bucket"].to_numpy()] = rows["count"].to_numpy()
-    return out.filter("bucket IS NULL").select("id", "row", "n", "cls"), counts
+    return out.filter("bucket IS NULL").select("id", "row", "n", "cls", "map"), counts
 
 
 def _signature_rows(docs: DataFrame, counts: np.ndarray) -> DataFrame:
@@ -315,19 +327,39 @@ def _star(busy: DataFrame) -> DataFrame:
     return _pairs(near.unionByName(here.join(above, ["sig", "band"]).select(*names)))
 
 
-def _across(busy: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs in one signature's group whose classes are in different components."""
-    placed = busy.join(roots, busy["cls"] == roots["node"]).select(
-        "sig", "cls", "n", "room", "root"
-    ).distinct()
-    split = placed.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-    mixed = placed.join(split.filter("lo < hi").select("sig"), "sig", "left_semi")
-    mixed = written(mixed, "mixed")
-    other = mixed.select(
-        "sig", F.col("cls").alias("other"), F.col("n").alias("m"), F.col("room").alias("space"),
-        F.col("root").alias("root2"),
+def _across(busy: DataFrame, roots: DataFrame, placed: DataFrame) -> DataFrame:
+    """Pairs in one signature's group whose classes are in different components.
+
+    Signatures with the same classes are one group, with the largest room each class
+    has in any of them, so that a passage many texts share is compared once and not
+    once a shingle. Inside a group the maps of ``placed`` rule out pairs that must
+    differ in too many tokens; they never rule out a link.
+    """
+    rooms = busy.groupBy("sig", "cls").agg(F.max("room").alias("room"), F.first("n").alias("n"))
+    rows = rooms.join(roots, rooms["cls"] == roots["node"]).select("sig", "cls", "n", "room", "root")
+    members = rows.groupBy("sig").agg(
+        F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("many"),
+        F.bit_xor(F.xxhash64("cls")).alias("one"),
+        F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("two"),
+    ).filter("lo < hi").select("sig", F.struct("many", "one", "two").alias("members"))
+    mixed = rows.join(members, "sig").groupBy("members", "cls").agg(
+        F.max("room").alias("room"), F.first("n").alias("n"), F.first("root").alias("root")
+    )
+    mixed = written(mixed.select("members.*", "cls", "room", "n", "root"), "mixed")
+    words = [f"w{i}" for i in range(MAP_WORDS)]
+    maps = placed.join(mixed.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(
+        F.first("map").alias("map")
+    ).select("cls", *[F.col("map")[i].alias(w) for i, w in enumerate(words)])
+    mapped = written(mixed.join(maps, "cls"), "mapped")
+    other = mapped.select(
+        "many", "one", "two", F.col("cls").alias("other"), F.col("n").alias("m"),
+        F.col("room").alias("space"), F.col("root").alias("root2"),
+        *[F.col(w).alias(f"{w}_2") for w in words],
+    )
+    apart = " + ".join(f"bit_count({w} ^ {w}_2)" for w in words)
+    met = mapped.join(other, ["many", "one", "two"]).filter("root < root2").filter(
+        f"({apart}) * {TIMES + LEAST} <= (n + m) * {TIMES - LEAST}"
     )
-    met = mixed.join(other, "sig").filter("root < root2")
     return _pairs(met.select("cls", "n", "room", "other", "m", "space"))
 
 
@@ -430,7 +462,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = written(verify(base, pairs), "links")
     nodes = busy.select(F.col("cls").alias("node")).distinct()
     roots = written(components(nodes, links), "roots")
-    more = written(_across(busy, roots).join(pairs, ["a", "b"], "left_anti"), "across")
+    more = written(_across(busy, roots, placed).join(pairs, ["a", "b"], "left_anti"), "across")
     if not more.isEmpty():
         links = links.unionByName(written(verify(base, more), "links"))
         roots = written(components(nodes, links), "roots")

@@ -144,6 +144,18 @@ def test_signatures_survive_losses():
             assert len(np.intersect1d(one, two)), (size, frequent)
 
 
+def test_parity_maps_never_exceed_the_difference():
+    draw = np.random.default_rng(5)
+    for size in (0, 1, 7, 100, 3000):
+        one = np.unique(draw.integers(0, 2**63, size).astype(np.uint64))
+        for cut in {0, size // 10, size // 2, size}:
+            two = np.union1d(one[cut:], draw.integers(0, 2**63, cut).astype(np.uint64))
+            x, y = shingle_join.parity_map(one), shingle_join.parity_map(two)
+            assert len(x) == shingle_join.MAP_WORDS
+            bits = sum(int(v).bit_count() for v in (x ^ y).view(np.uint64))
+            assert bits <= len(np.setxor1d(one, two))
+
+
 def test_join_of_odd_and_no_rows(spark, odd, empty):
     check_join(odd)
     assert shingle_join.near_duplicates(empty).count() == 0
