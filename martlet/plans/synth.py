@@ -79,9 +79,10 @@ def _by_segment(values: dict[int, Column], other: Column) -> Column:
     return out.otherwise(other)
 
 
-def synth_order_items(m: Mart) -> DataFrame:
+def synth_order_items(m: Mart, assortment: int = ASSORTMENT) -> DataFrame:
     """Items for every stored order: the segment sets quantity, discount and how
-    likely each offered product is bought."""
+    likely each offered product is bought. Every order is offered ``assortment``
+    products, drawn from the whole catalogue."""
     key = ("order_id", "slot")
     quantity = _by_segment(
         {
@@ -101,7 +102,7 @@ def synth_order_items(m: Mart) -> DataFrame:
         m.orders.select("order_id", "customer_id")
         .join(m.customer_master.select("customer_id", "segment_id"), "customer_id")
         .join(m.segments.select("segment_id", "discount_rate"), "segment_id")
-        .withColumn("slot", F.explode(F.sequence(F.lit(1), F.lit(ASSORTMENT))))
+        .withColumn("slot", F.explode(F.sequence(F.lit(1), F.lit(assortment))))
         .filter(draw_int("buys", 1, 100, *key) <= chance)
         .withColumn("product_no", draw_index("product", m.row_count("part"), *key))
     )
