@@ -188,6 +188,37 @@ def test_vector_links_equal_all_pairs(spark, sf_dir):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got.values())
 
 
+def test_vector_group_far_larger_than_the_window(spark):
+    draw = np.random.default_rng(6)
+    center = draw.normal(0, 1, 64)
+    x = np.concatenate([center + draw.normal(0, 0.1, (1500, 64)), draw.normal(0, 1, (500, 64))])
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = vector_dedup.link_vectors(frame, window=16, block=128).collect()
+    assert len(got) == 2000
+    for r in got:
+        assert (r.n_links, r.component_id) == ((1499, 0) if r.vec_id < 1500 else (0, r.vec_id))
+
+
+def test_vector_links_inside_a_crowd_without_links(spark):
+    draw = np.random.default_rng(7)
+    center = draw.normal(0, 1, 64)
+    x = center + draw.normal(0, 0.5, (1500, 64))
+    x = np.concatenate([x, x[:100] + draw.normal(0, 0.48, (100, 64))])
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    exact = (u @ u.T >= 0.9).sum(axis=1) - 1
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in vector_dedup.link_vectors(frame, window=16, block=128).collect()}
+    found = np.array([got[i] for i in range(len(x))])
+    assert exact.sum() > 100 and (found <= exact).all() and found.sum() >= 0.99 * exact.sum()
+
+
+def test_passes_follow_the_number_of_vectors():
+    for n in (10, 1024, 100_000, 1_000_000, 100_000_000):
+        bits, passes = vector_dedup.prefix_bits(n), vector_dedup.passes_for(n)
+        same = (1 - np.arccos(0.9) / np.pi) ** bits
+        assert n / 2 ** bits <= 1024 and 1 - (1 - same) ** passes >= 0.999
+
+
 def test_odd_vectors(spark):
     v = [0.1, 0.2, -0.3]
     rows = [(1, v), (1, v), (2, None), (3, [0.0, 0.0, 0.0]), (4, [1.0, None, 2.0]), (5, [float("nan"), 1.0, 1.0]),
