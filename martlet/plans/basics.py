@@ -208,7 +208,7 @@ def anti_join(m: Mart) -> DataFrame:
 
 
 def semi_join(m: Mart) -> DataFrame:
-    latest = m.orders.filter(F.col("order_date") >= day(date(2001, 7, 25)))
+    latest = m.orders.filter(F.col("order_date") >= day(m.as_of - timedelta(days=7)))
     return with_match(
         m.customers, latest.select("customer_id").distinct(), "customer_id"
     ).select("customer_id", "customer_name")
@@ -252,10 +252,14 @@ def month_range_join(m: Mart) -> DataFrame:
 
 
 def period_join(m: Mart) -> DataFrame:
-    """Days of sales per rep and pay period: employee equality plus a date range."""
+    """Days of sales per rep and pay period: employee equality plus a date range.
+
+    Pay periods are the fortnights of the report date's year that start up to that date.
+    """
+    first = date(m.as_of.year, 1, 1)
     daily = (
         m.items.join(
-            m.orders.filter(F.col("order_date") >= day(date(2001, 1, 1))).select(
+            m.orders.filter(F.col("order_date") >= day(first)).select(
                 "order_id", "order_date"
             ),
             "order_id",
@@ -264,8 +268,8 @@ def period_join(m: Mart) -> DataFrame:
         .distinct()
     )
     periods = F.transform(
-        F.sequence(F.lit(0), F.lit(15)),
-        lambda i: F.date_add(day(date(2001, 1, 1)), i * 14),
+        F.sequence(F.lit(0), F.lit((m.as_of - first).days // 14)),
+        lambda i: F.date_add(day(first), i * 14),
     )
     pay = m.employees.select("employee_id", F.explode(periods).alias("period_start"))
     return pay.join(
@@ -543,15 +547,15 @@ def first_or_none(m: Mart) -> DataFrame:
 
 
 def union_all(m: Mart) -> DataFrame:
-    """Three periods as one report; matched by column name."""
-    def part(label: str, start: date) -> DataFrame:
-        return m.orders.filter(F.col("order_date") >= day(start)).agg(
+    """Three periods before the report date as one report; matched by column name."""
+    def part(label: str, months: int) -> DataFrame:
+        return m.orders.filter(F.col("order_date") >= F.add_months(day(m.as_of), -months)).agg(
             F.sum("freight").alias("freight"), _one("n_orders")
         ).select("n_orders", F.lit(label).alias("period"), "freight")
 
-    rows = part("month", date(2001, 7, 1))
-    return rows.unionByName(part("quarter", date(2001, 5, 1))).unionByName(
-        part("year", date(2000, 8, 1)).select("period", "n_orders", "freight")
+    rows = part("month", 1)
+    return rows.unionByName(part("quarter", 3)).unionByName(
+        part("year", 12).select("period", "n_orders", "freight")
     )
 
 

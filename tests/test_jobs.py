@@ -4,7 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from martlet.plans import builds, business, calendar, etl, features, models, reports, synth
+from martlet.plans import basics, builds, business, calendar, etl, features, models, reports, synth
 from martlet.session import fresh_path
 from martlet.sources import files
 from martlet.sources.mart import Mart, Span
@@ -264,3 +264,15 @@ def test_splits_are_disjoint_and_whole(mart):
     train, test = features.random_split(df, "customer_id")
     assert train.count() + test.count() == df.count()
     assert train.join(test, "customer_id").isEmpty()
+
+
+def test_windows_follow_the_report_date(spark, sf_dir):
+    m = Mart(spark, sf_dir, date(1996, 8, 1))
+    dates = [r.order_date for r in m.orders.select("order_date").collect()]
+    got = {r.period: r.n_orders for r in basics.union_all(m).collect()}
+    starts = {"month": date(1996, 7, 1), "quarter": date(1996, 5, 1), "year": date(1995, 8, 1)}
+    assert got == {k: sum(d >= v for d in dates) for k, v in starts.items()}
+    late = m.orders.filter("order_date >= DATE '1996-07-25'").select("customer_id").distinct()
+    assert rows(basics.semi_join(m), "customer_id") == rows(m.customers.join(late, "customer_id"), "customer_id")
+    periods = [r.period_start for r in basics.period_join(m).select("period_start").distinct().collect()]
+    assert min(periods) == date(1996, 1, 1) and max(periods) == date(1996, 7, 29)
