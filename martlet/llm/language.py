@@ -15,14 +15,16 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlet.llm.common import ship
+from martlet.llm.common import ship, small_side
+from martlet.session import written
 
 #: Labelled rows the network is fitted on: at most this many of each language, the
 #: first by hash of their id, and of each text two segments, from a place drawn by the
 #: same hash.
 ROWS_PER_LANGUAGE = 600
-#: At most this many languages, the most frequent, are learned.
-LANGUAGES = 64
+#: Every language is learned. Beyond this many, each gives fewer rows, one at least, and
+#: fewer segments are read together, so that training and tasks stay bounded.
+MANY_LANGUAGES = 64
 SEGMENT = 96
 HIDDEN = 6
 STEPS = 240
@@ -210,11 +212,13 @@ def fit(docs: DataFrame, labels: tuple[str, ...] | None = None) -> Network | Non
     rows = docs.select("doc_id", "text", "lang").filter("lang IS NOT NULL AND length(text) > 0")
     from pyspark.sql import Window
 
-    common = (
-        rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
-        .select("lang", F.least(F.lit(1.0), 3.0 * ROWS_PER_LANGUAGE / F.col("count")).alias("chance"))
-    )
-    chosen = rows.join(F.broadcast(common), "lang").withColumn("draw", draw)
+    counts = written(rows.groupBy("lang").count(), "languages")
+    each = max(1, ROWS_PER_LANGUAGE * MANY_LANGUAGES // max(MANY_LANGUAGES, counts.count()))
+    # the addend only matters for few rows: hardly a language is left without any
+    common = small_side(counts.select(
+        "lang", F.least(F.lit(1.0), (3.0 * each + (30.0 if each < ROWS_PER_LANGUAGE else 0.0)) / F.col("count")).alias("chance")
+    ))
+    chosen = rows.join(common, "lang").withColumn("draw", draw)
     # about three times the rows wanted come out of the scan, the window cuts them
     unit = F.pmod("draw", F.lit(1 << 30)) / F.lit(float(1 << 30))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(unit, "doc_id", "draw"))
@@ -222,7 +226,7 @@ def fit(docs: DataFrame, labels: tuple[str, ...] | None = None) -> Network | Non
     sample = (
         chosen.filter(unit < F.col("chance"))
         .withColumn("piece", F.substr("text", spot + 1, F.lit(2 * SEGMENT)))
-        .withColumn("place", place).filter(F.col("place") <= ROWS_PER_LANGUAGE)
+        .withColumn("place", place).filter(F.col("place") <= each)
         .select("lang", "piece", unit.alias("unit")).toPandas()
         .sort_values(["lang", "unit", "piece"])
     )
@@ -260,6 +264,7 @@ def identify(docs: DataFrame, net: Network | None) -> DataFrame:
             if net is not None:
                 logs = np.zeros((len(texts), len(net.labels)))
                 sizes = np.zeros(len(texts))
+                together = max(1, TOGETHER * MANY_LANGUAGES // max(MANY_LANGUAGES, len(net.labels)))
                 waiting, owners, rows = [], [], 0
 
                 def read():
@@ -274,12 +279,12 @@ def identify(docs: DataFrame, net: Network | None) -> DataFrame:
                     data = text.encode()
                     sizes[i] = len(data)
                     parts = symbols_of(data)
-                    for low in range(0, len(parts), TOGETHER):
-                        part = parts[low : low + TOGETHER]
+                    for low in range(0, len(parts), together):
+                        part = parts[low : low + together]
                         waiting.append(part)
                         owners.append(np.full(len(part), i))
                         rows += len(part)
-                        if rows >= TOGETHER:
+                        if rows >= together:
                             read()
                             rows = 0
                 if waiting:

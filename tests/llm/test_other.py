@@ -292,6 +292,15 @@ def test_classifiers_on_odd_and_no_rows(spark, odd, empty):
     assert language.identify(empty, net).count() == 0
 
 
+def test_every_language_is_learned(spark):
+    rows = [(i, f"words of language number {i % 70} " * 3, f"l{i % 70:02d}") for i in range(700)]
+    rows += [(1000, "a rare one", "rare"), (1001, "without a name", None)]
+    net = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert net.labels == [f"l{i:02d}" for i in range(70)] + ["rare"]
+    got = language.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"), net)
+    assert got.count() == len(rows)
+
+
 # fixity
 
 
