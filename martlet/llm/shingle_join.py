@@ -11,18 +11,18 @@ n - 1 losses, and the prefix is extended until all cells together survive e.
 The number of cells grows with the size of a set, in bands; bands overlap, so two
 similar sets have a band in common. In the first band all tokens count alone.
 
-Sets that are equal collapse into one class before anything is compared. Inside a
-signature's group every class is compared with the first class of about its size;
-only classes that are then still in different components are compared in pairs.
+Sets that are equal collapse into one class before anything is compared. Every class is
+first compared with a few first classes of its signatures' groups; classes that are then
+still in different components are compared in blocks of their groups.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlet.llm.common import components, ship, small_side, text_of
+from martlet.llm.common import components, ship
 from martlet.session import written
 
 WORDS = 5
@@ -39,8 +39,13 @@ GROUP = 2000
 #: Words of 64 bits in the parity map of a set: bit i tells whether an odd number of its
 #: tokens hash to i. Two maps differ in at most as many bits as the sets in tokens.
 MAP_WORDS = 8
-#: Bits that tell which classes are compared; only a sieve before a join.
-SIEVE_BITS = 1 << 23
+#: First classes that a class is compared with before all others.
+LEADS = 3
+#: Classes of a block in which members of a group are compared; rows and pairs of blocks
+#: that a task looks at together.
+BLOCK, TOGETHER, PAIRS = 1024, 200_000, 1 << 20
+#: Letters of a word whose values are looked up.
+TABLED = 64
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -55,36 +60,39 @@ def _mix(x: np.ndarray) -> np.ndarray:
 class Shingler:
     """Sorted distinct shingle hashes of texts.
 
-    A word's hash is the difference of two running sums of random byte values times
-    powers of an odd number, shifted to the word's start by the inverse power.
+    A word's hash is the sum of one random value for each of its bytes and their places
+    in the word, and its length; no pattern of bytes cancels out, at whatever length.
     """
 
     def __init__(self) -> None:
-        self.byte = _mix(np.arange(1, 257, dtype=np.uint64) * _ODD)
         self.gap = np.zeros(256, dtype=bool)
         self.gap[[9, 10, 11, 12, 13, 32]] = True
-        self.step = np.uint64(0xD1342543DE82EF95)
-        self.back = np.uint64(pow(int(self.step), -1, 1 << 64))
         self.weights = _mix(np.arange(1001, 1001 + WORDS, dtype=np.uint64) * _ODD) | np.uint64(1)
-        self.power = self.inverse = np.ones(1, dtype=np.uint64)
+        self.table = self._value(np.arange(256 * TABLED, dtype=np.uint64))
 
-    def _reach(self, n: int) -> None:
-        if n > len(self.power):
-            n = max(n, 2 * len(self.power))
-            self.power = np.cumprod(np.concatenate(([np.uint64(1)], np.full(n, self.step))))
-            self.inverse = np.cumprod(np.concatenate(([np.uint64(1)], np.full(n, self.back))))
+    @staticmethod
+    def _value(place_and_byte: np.ndarray) -> np.ndarray:
+        return _mix((place_and_byte + np.uint64(1)) * _ODD)
 
     def words(self, text: str) -> np.ndarray:
         data = np.frombuffer(text.encode().lower(), dtype=np.uint8)
         n = len(data)
-        self._reach(n)
         gap = np.ones(n + 2, dtype=np.int8)
         gap[1:-1] = self.gap[data]
         turn = np.diff(gap)
         start, end = np.flatnonzero(turn < 0), np.flatnonzero(turn > 0)
-        sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(self.byte[data] * self.power[:n], out=sums[1:])
-        return _mix((sums[end] - sums[start]) * self.inverse[start] + (end - start).astype(np.uint64))
+        if not len(start):
+            return np.zeros(0, dtype=np.uint64)
+        sizes = end - start
+        ends = np.cumsum(sizes)
+        letters = data[gap[1:-1] == 0]
+        place = np.arange(len(letters)) - np.repeat(ends - sizes, sizes)
+        key = (place << 8) | letters
+        if sizes.max() <= TABLED:
+            values = self.table[key]
+        else:
+            values = self._value(key.astype(np.uint64))
+        return _mix(np.add.reduceat(values, ends - sizes) + sizes.astype(np.uint64))
 
     def __call__(self, text: str) -> np.ndarray:
         words = self.words(text)
@@ -174,31 +182,25 @@ def signatures(tokens: np.ndarray, counts: np.ndarray, usual: float, frequent: f
     return np.concatenate(out), dealt, np.concatenate(room)
 
 
-def _texts(batches):
-    """(batch, text) of every row; a null text is empty."""
-    for batch in batches:
-        yield batch, batch.column("text").to_pylist()
-
-
 def sketch(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """Size, class and parity map of every row, and the corpus counts of shingles by bucket.
-
-    ``docs`` has id and text. Counts come as one sparse row for each task.
+    """Rows (id, row, doc, n, cls, map) of ``docs`` (id, row, doc: a struct with text) with
+    the size, class and parity map of their sets, and the corpus counts of shingles by
+    bucket. Everything is written once; counts come as one sparse row for each task.
     """
     ship(__name__)
     import pyarrow as pa
+    from pyspark.sql import types as T
 
     def run(batches):
         shingler, counts = Shingler(), np.zeros(BUCKETS, dtype=np.int64)
         pending: list[np.ndarray] = []
-        schema = pa.schema([
-            ("id", id_type), ("row", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()),
-            ("map", pa.list_(pa.int64())), ("bucket", pa.list_(pa.int32())), ("count", pa.list_(pa.int64())),
-        ])
-        for batch, texts in _texts(batches):
+        carried = None
+        for batch in batches:
+            carried = [batch.schema.field(c).type for c in ("id", "row", "doc")]
             sizes, classes, maps = [], [], []
+            texts = batch.column("doc").field("text").to_pylist()
             for text in texts:
-                tokens = shingler(text)
+                tokens = shingler(text or "")
                 sizes.append(len(tokens))
                 maps.append(parity_map(tokens))
                 classes.append(set_class(tokens) if len(tokens) else None)
@@ -206,31 +208,25 @@ def sketch(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
                 if len(pending) == 1000:
                     counts += np.bincount(np.concatenate(pending), minlength=BUCKETS)
                     pending.clear()
-            none = pa.nulls(len(texts))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("row"), pa.array(sizes, pa.int64()),
+                [batch.column("id"), batch.column("row"), batch.column("doc"), pa.array(sizes, pa.int64()),
                  pa.array(classes, pa.int64()), pa.array(maps, pa.list_(pa.int64())),
-                 none.cast(schema.field("bucket").type),
-                 none.cast(schema.field("count").type)], schema=schema)
+                 pa.nulls(len(texts), pa.list_(pa.int32())), pa.nulls(len(texts), pa.list_(pa.int64()))],
+                names=["id", "row", "doc", "n", "cls", "map", "bucket", "count"])
         if pending:
             counts += np.bincount(np.concatenate(pending), minlength=BUCKETS)
         some = np.flatnonzero(counts)
         if len(some):
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(1, id_type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()),
-                 pa.nulls(1, pa.int64()), pa.nulls(1, pa.list_(pa.int64())), pa.array([some], schema.field("bucket").type),
-                 pa.array([counts[some]], schema.field("count").type)], schema=schema)
-
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    id_spark = docs.schema["id"].dataType
-    id_type = to_arrow_type(id_spark)
-    out = written(
-        docs.mapInArrow(
-            run, f"id {id_spark.simpleString()}, row long, n long, cls long, "
-                 "map array<long>, bucket array<int>, count array<long>"),
-        "sketch",
-    )
+                [*(pa.nulls(1, t) for t in carried), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()),
+                 pa.nulls(1, pa.list_(pa.int64())), pa.array([some], pa.list_(pa.int32())),
+                 pa.array([counts[some]], pa.list_(pa.int64()))],
+                names=["id", "row", "doc", "n", "cls", "map", "bucket", "count"])
+
+    more = "n long, cls long, map array<long>, bucket array<int>, count array<long>"
+    carried = [T.StructField(c, docs.schema[c].dataType) for c in ("id", "row", "doc")]
+    schema = T.StructType(carried + T.StructType.fromDDL(more).fields)
+    out = written(docs.select("id", "row", "doc").mapInArrow(run, schema), "sketch")
     zipped = F.explode_outer(F.arrays_zip("bucket", "count")).alias("b")
     rows = (
         out.filter("bucket IS NOT NULL").select(zipped)
@@ -238,29 +234,28 @@ def sketch(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     )
     counts = np.zeros(BUCKETS)
     counts[rows["bucket"].to_numpy()] = rows["count"].to_numpy()
-    return out.filter("bucket IS NULL").select("id", "row", "n", "cls", "map"), counts
+    return out.filter("bucket IS NULL").drop("bucket", "count"), counts
 
 
-def _signature_rows(docs: DataFrame, counts: np.ndarray) -> DataFrame:
-    """A row for each signature of each document: the cell of its group, class, size and
-    room in one number, and the signature itself where the group is dealt over several cells."""
+def _signature_rows(rows: DataFrame, counts: np.ndarray) -> DataFrame:
+    """A row for each signature of each row of ``sketch``: the cell of its group, class, size
+    and room in one number, and the signature itself where the group is dealt over several cells."""
     import pyarrow as pa
 
     usual = float(counts.sum()) / BUCKETS
     frequent = usual + 8 * usual**0.5 + 8
-    sent = docs.sparkSession.sparkContext.broadcast(counts)  # BUCKETS numbers
+    sent = rows.sparkSession.sparkContext.broadcast(counts)  # BUCKETS numbers
 
     def run(batches):
         shingler, known = Shingler(), set()
-        for _, texts in _texts(batches):
+        for batch in batches:
             parts = []
-            for text in texts:
-                tokens = shingler(text)
-                cls = set_class(tokens) if len(tokens) else None
-                if cls is None or cls in known:
+            for cls, text in zip(batch.column("cls").to_pylist(), batch.column("text").to_pylist()):
+                if cls in known:
                     continue
                 if len(known) < 1_000_000:  # equal rows of a task once; others later
                     known.add(cls)
+                tokens = shingler(text)
                 found, dealt, room = signatures(tokens, sent.value, usual, frequent)
                 sizes = (len(tokens) << _ROOM_BITS) + room
                 parts.append((found, dealt, np.full(len(found), cls), sizes))
@@ -273,7 +268,8 @@ def _signature_rows(docs: DataFrame, counts: np.ndarray) -> DataFrame:
                      pa.array(found.astype(np.int64), mask=dealt == 1)],
                     names=["cell", "cls", "sizes", "sig"])
 
-    return docs.select("text").mapInArrow(run, "cell long, cls long, sizes long, sig long")
+    some = rows.filter("cls IS NOT NULL").select("cls", "doc.text")
+    return some.mapInArrow(run, "cell long, cls long, sizes long, sig long")
 
 
 def _busy(rows: DataFrame) -> DataFrame:
@@ -281,8 +277,6 @@ def _busy(rows: DataFrame) -> DataFrame:
 
     One shuffle by cell; of the signatures, most are alone and go no further.
     """
-    from pyspark.sql import Window
-
     group = Window.partitionBy("cell")
     shared = rows.withColumns({
         "low": F.min("cls").over(group), "high": F.max("cls").over(group),
@@ -302,17 +296,12 @@ _FITS = f"least(room, space) * {TIMES + LEAST} >= (n + m) * {LEAST}"
 _ROOM_BITS = 31
 
 
-def _pairs(found: DataFrame) -> DataFrame:
-    """Distinct candidates (a, b), a < b, from rows (cls, n, room, other, m, space)
-    whose sizes and rooms fit."""
-    return found.filter(f"cls <> other AND {_FITS}").select(
-        F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b")
-    ).distinct()
-
-
 def _star(busy: DataFrame) -> DataFrame:
-    """Every class with the first class of its signature and band of sizes, and these
-    first classes with those of the next band."""
+    """Every class with a few first classes of its signatures and bands of sizes, those it
+    shares most signatures with, and first classes with those of the next band.
+
+    These pairs only join what is obviously alike; ``_across`` finds all other links.
+    """
     first = busy.groupBy("sig", "band").agg(F.min(F.struct("cls", "n", "room")).alias("lead"))
     lead = first.select(
         "sig", "band", F.col("lead.cls").alias("other"), F.col("lead.n").alias("m"),
@@ -324,94 +313,157 @@ def _star(busy: DataFrame) -> DataFrame:
         "sig", "band", F.col("other").alias("cls"), F.col("m").alias("n"), F.col("space").alias("room")
     )
     above = lead.withColumn("band", F.col("band") - 1)
-    return _pairs(near.unionByName(here.join(above, ["sig", "band"]).select(*names)))
+    met = near.unionByName(here.join(above, ["sig", "band"]).select(*names))
+    shared = met.filter(f"cls <> other AND {_FITS}").groupBy("cls", "other").agg(F.count(F.lit(1)).alias("times"))
+    best = Window.partitionBy("cls").orderBy(F.col("times").desc(), "other")
+    few = shared.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= LEADS)
+    return few.select(F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b")).distinct()
 
 
-def _across(busy: DataFrame, roots: DataFrame, placed: DataFrame) -> DataFrame:
+def _across(busy: DataFrame, roots: DataFrame, placed: DataFrame, block: int = BLOCK) -> DataFrame:
     """Pairs in one signature's group whose classes are in different components.
 
     Signatures with the same classes are one group, with the largest room each class
     has in any of them, so that a passage many texts share is compared once and not
-    once a shingle. Inside a group the maps of ``placed`` rule out pairs that must
-    differ in too many tokens; they never rule out a link.
+    once a shingle. The members of a group's largest component are never compared with
+    each other; the rest is dealt in blocks, and a task meets two blocks of a group.
+    Groups with the same first class, which mostly share their members, follow each other
+    in one task, and a pair found in many of them leaves it once. Sizes, rooms and the maps of
+    ``placed`` rule out pairs that must differ in too many tokens, never a link.
     """
+    import pyarrow as pa
+
     rooms = busy.groupBy("sig", "cls").agg(F.max("room").alias("room"), F.first("n").alias("n"))
-    rows = rooms.join(roots, rooms["cls"] == roots["node"]).select("sig", "cls", "n", "room", "root")
+    sizes = roots.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
+    sized = roots.join(sizes, "root")
+    rows = rooms.join(sized, rooms["cls"] == sized["node"]).select("sig", "cls", "n", "room", "root", "size")
     members = rows.groupBy("sig").agg(
         F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("many"),
+        F.max(F.struct("size", "root")).alias("most"), F.min("cls").alias("low"),
         F.bit_xor(F.xxhash64("cls")).alias("one"),
         F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("two"),
-    ).filter("lo < hi").select("sig", F.struct("many", "one", "two").alias("members"))
-    mixed = rows.join(members, "sig").groupBy("members", "cls").agg(
-        F.max("room").alias("room"), F.first("n").alias("n"), F.first("root").alias("root")
+    ).filter("lo < hi").select("sig", F.struct("low", "many", "one", "two").alias("members"), "most.root")
+    mixed = rows.join(members.withColumnRenamed("root", "most"), "sig").groupBy("members", "cls").agg(
+        F.max("room").alias("room"), F.first("n").alias("n"), F.first("root").alias("root"),
+        F.first(F.col("root") == F.col("most")).alias("main"),
     )
-    mixed = written(mixed.select("members.*", "cls", "room", "n", "root"), "mixed")
+    mixed = written(mixed.select("members.*", "cls", "room", "n", "root", "main"), "mixed")
+    key = ["low", "many", "one", "two"]
+    counts = mixed.groupBy(*key).agg(F.count_if("main").alias("ours"), F.count_if(~F.col("main")).alias("others"))
+
+    def blocks(rows_: str):  # a power of two, so that groups of like sizes are cut alike
+        return F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.col(rows_) / block, F.lit(1.0))))).cast("int")
+
+    cut = mixed.join(
+        counts.select(*key, blocks("ours").alias("p_main"), blocks("others").alias("p_rest")), key
+    ).withColumn("part", F.pmod(F.xxhash64("cls"), F.when(F.col("main"), F.col("p_main")).otherwise(F.col("p_rest"))).cast("int"))
+    rest = F.sequence(F.lit(0), F.col("p_rest") - 1)
+    main = F.sequence(F.lit(0), F.col("p_main") - 1)
+
+    def unit(i, j, side):
+        return F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), side.cast("int").alias("side"))
+
+    # side: 1 left, 2 right, 3 both
+    part = F.col("part")
+    units = F.when(
+        F.col("main"), F.transform(rest, lambda i: unit(i, F.col("p_rest") + part, F.lit(2)))
+    ).otherwise(F.concat(
+        F.transform(rest, lambda q: unit(F.least(q, part), F.greatest(q, part), F.when(q == part, 3).when(q < part, 2).otherwise(1))),
+        F.transform(main, lambda q: unit(part, F.col("p_rest") + q, F.lit(1))),
+    ))
     words = [f"w{i}" for i in range(MAP_WORDS)]
     maps = placed.join(mixed.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(
         F.first("map").alias("map")
     ).select("cls", *[F.col("map")[i].alias(w) for i, w in enumerate(words)])
-    mapped = written(mixed.join(maps, "cls"), "mapped")
-    other = mapped.select(
-        "many", "one", "two", F.col("cls").alias("other"), F.col("n").alias("m"),
-        F.col("room").alias("space"), F.col("root").alias("root2"),
-        *[F.col(w).alias(f"{w}_2") for w in words],
-    )
-    apart = " + ".join(f"bit_count({w} ^ {w}_2)" for w in words)
-    met = mapped.join(other, ["many", "one", "two"]).filter("root < root2").filter(
-        f"({apart}) * {TIMES + LEAST} <= (n + m) * {TIMES - LEAST}"
-    )
-    return _pairs(met.select("cls", "n", "room", "other", "m", "space"))
+    order = ["low", "i", "j", "many", "one", "two"]
+    dealt = cut.select(*key, "cls", "room", "n", "root", F.explode(units).alias("unit")).select(
+        *key, "cls", "room", "n", "root", "unit.*"
+    ).join(maps, "cls").repartition("low", "i", "j").sortWithinPartitions(*order)
 
-
-def _one_text(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """A text for each class in ``pairs``.
-
-    A sieve of hashed bits, of fixed size, keeps most other texts out of the shuffle;
-    the join decides.
-    """
+    def run(batches):
+        for table in _whole_units(batches, order):
+            column = {c: table.column(c).to_numpy() for c in ("cls", "room", "n", "root", "side", "unit")}
+            bits = np.stack([table.column(w).to_numpy() for w in words], axis=1).view(np.uint64)
+            found = [np.zeros((0, 2), dtype=np.int64)]
+            for p, q in _meetings(column["unit"], column["side"]):
+                n, m = column["n"][p], column["n"][q]
+                fits = np.minimum(column["room"][p], column["room"][q]) * (TIMES + LEAST) >= (n + m) * LEAST
+                fits &= column["root"][p] != column["root"][q]
+                p, q, both = p[fits], q[fits], (n + m)[fits]
+                apart = np.bitwise_count(bits[p] ^ bits[q]).sum(axis=1, dtype=np.int64)
+                near = apart * (TIMES + LEAST) <= both * (TIMES - LEAST)
+                a, b = column["cls"][p[near]], column["cls"][q[near]]
+                found.append(np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0))
+            pairs = np.unique(np.concatenate(found), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
+def _whole_units(batches, key: list[str]):
+    """Tables of whole units (rows of one key, which follow each other), with their number
+    in ``unit``; of about ``TOGETHER`` rows, or one unit."""
     import pyarrow as pa
 
-    wanted = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
-    bit = F.pmod("cls", F.lit(SIEVE_BITS))
-    words = (
-        wanted.groupBy(F.floor(bit / 32).cast("long").alias("word"))
-        .agg(F.bit_or(F.call_function(
-            "shiftleft", F.lit(1).cast("long"), F.pmod("cls", F.lit(32)).cast("int")
-        )).alias("bits"))
-        .toArrow()
-    )
-    sieve = np.zeros(SIEVE_BITS // 32, dtype=np.int64)
-    sieve[words["word"].to_numpy()] = words["bits"].to_numpy()
-    sent = docs.sparkSession.sparkContext.broadcast(sieve)
+    def numbered(table):
+        change = np.zeros(len(table), dtype=bool)
+        for c in key:
+            values = table.column(c).to_numpy()
+            change[1:] |= values[1:] != values[:-1]
+        return np.cumsum(change)
 
-    def run(batches):
-        shingler, known = Shingler(), set()
-        for _, texts in _texts(batches):
-            kept, classes = [], []
-            for text in texts:
-                tokens = shingler(text)
-                if not len(tokens):
-                    continue
-                cls = set_class(tokens)
-                bit = cls % SIEVE_BITS
-                if not sent.value[bit // 32] >> (bit % 32) & 1 or cls in known:
-                    continue
-                if len(known) < 1_000_000:
-                    known.add(cls)
-                kept.append(text)
-                classes.append(cls)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(classes, pa.int64()), pa.array(kept, pa.string())], names=["cls", "text"])
-
-    texts = docs.select("text").mapInArrow(run, "cls long, text string")
-    return texts.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.min("text").alias("text"))
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows < TOGETHER:
+            continue
+        table = pa.Table.from_batches(held).combine_chunks()
+        unit = numbered(table)
+        last = int(np.searchsorted(unit, unit[-1]))  # the last unit may go on
+        if last:
+            yield table.slice(0, last).append_column("unit", pa.array(unit[:last]))
+        held, rows = table.slice(last).to_batches(), len(table) - last
+    if rows:
+        table = pa.Table.from_batches(held).combine_chunks()
+        yield table.append_column("unit", pa.array(numbered(table)))
+
+
+def _meetings(unit: np.ndarray, side: np.ndarray):
+    """Places (p, q) of all left rows with all right rows of their unit, a slice at a time;
+    of two rows that are both, each pair once."""
+    left, right = np.flatnonzero(side & 1), np.flatnonzero(side & 2)
+    start = np.searchsorted(unit[right], unit[left], "left")
+    # of rows on both sides only the later ones
+    inside = np.searchsorted(right, left, "right")
+    start = np.where(side[left] == 3, inside, start)
+    count = np.searchsorted(unit[right], unit[left], "right") - start
+    upto = np.cumsum(count)
+    low = 0
+    while low < len(left):
+        done = upto[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(upto, done + PAIRS, "right")))
+        n = count[low:high]
+        if n.sum():
+            p = np.repeat(left[low:high], n)
+            q = right[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start[low:high], n)]
+            yield p, q
+        low = high
+
+
+def _one_text(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """A text for each class in ``pairs``, from the rows of ``sketch``."""
+    wanted = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
+    ids = rows.filter("cls IS NOT NULL").join(wanted, "cls", "left_semi").groupBy("cls").agg(F.min("row").alias("row"))
+    # by row: copies of one text are many rows, but only one is fetched
+    return rows.select("row", "doc.text").join(written(ids, "ids"), "row").select("cls", "text")
 
 
-def verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def verify(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     """Of the candidate pairs, those whose sets are similar enough."""
     import pyarrow as pa
 
-    texts = written(_one_text(docs, pairs), "texts")
+    texts = written(_one_text(rows, pairs), "texts")
     one = texts.select(F.col("cls").alias("a"), F.col("text").alias("one"))
     two = texts.select(F.col("cls").alias("b"), F.col("text").alias("two"))
 
@@ -442,55 +494,57 @@ def verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Component of every row of ``docs`` (doc_id, text) under Jaccard >= 0.75 of shingles.
-
-    Returns row (position in the input), doc_id, n_shingles and component_id, the
-    smallest doc_id that links reach. Null and empty texts and texts without words
-    have empty sets and link with nothing; rows with a null id link like others, and a
-    component without any id has a null one; repeated rows are in one component; an
-    empty table gives an empty result. Other columns are not looked at.
-    """
+def _grouped(docs: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``sketch`` for ``docs``, with ``columns`` in doc, and for each of them
+    row, id, n and component_id."""
     ship(__name__)
-    base = docs.select(
+    rows, counts = sketch(docs.select(
         F.col("doc_id").alias("id"), F.monotonically_increasing_id().alias("row"),
-        text_of().alias("text"),
-    )
-    placed, counts = sketch(base)
-    busy = written(_busy(_signature_rows(base, counts)), "busy")
+        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc"),
+    ))
+    busy = written(_busy(_signature_rows(rows, counts)), "busy")
     pairs = written(_star(busy), "star")
-    links = written(verify(base, pairs), "links")
+    links = written(verify(rows, pairs), "links")
     nodes = busy.select(F.col("cls").alias("node")).distinct()
     roots = written(components(nodes, links), "roots")
-    more = written(_across(busy, roots, placed).join(pairs, ["a", "b"], "left_anti"), "across")
+    more = written(_across(busy, roots, rows).join(pairs, ["a", "b"], "left_anti"), "across")
     if not more.isEmpty():
-        links = links.unionByName(written(verify(base, more), "links"))
+        links = links.unionByName(written(verify(rows, more), "links"))
         roots = written(components(nodes, links), "roots")
-    class_root = placed.filter("cls IS NOT NULL").join(
-        roots, placed["cls"] == roots["node"], "left"
+    class_root = rows.filter("cls IS NOT NULL").join(
+        roots, rows["cls"] == roots["node"], "left"
     ).select("id", "row", "n", F.coalesce("root", "cls").alias("root"))
     class_root = written(class_root, "placed")
     least = class_root.groupBy("root").agg(F.min("id").alias("component_id"))
-    linked = class_root.join(least, "root").select("id", "row", "n", "component_id")
-    alone = placed.filter("cls IS NULL").select("id", "row", "n", F.col("id").alias("component_id"))
-    return linked.unionByName(alone).select(
+    linked = class_root.join(least, "root").select("row", "id", "n", "component_id")
+    alone = rows.filter("cls IS NULL").select("row", "id", "n", F.col("id").alias("component_id"))
+    return rows, linked.unionByName(alone)
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """Component of every row of ``docs`` (doc_id, text) under Jaccard >= 0.75 of shingles.
+
+    Returns row (position in the input), doc_id, n_shingles and component_id, the
+    smallest doc_id that links reach. Null and empty texts and texts without words
+    have empty sets and link with nothing; rows with a null id link like others, and a
+    component without any id has a null one; repeated rows are in one component; an
+    empty table gives an empty result. Other columns are not looked at.
+    """
+    return _grouped(docs, ["text"])[1].select(
         "row", F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id"
     )
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each component: that of the smallest id, and of several
-    with that id the first. Rows without words all stay. Columns stay as they are."""
-    found = written(near_duplicates(docs), "found")
-    first = found.filter("n_shingles > 0").groupBy("component_id").agg(
-        F.min_by("row", F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))).alias("first")
-    )
-    gone = (
-        found.filter("n_shingles > 0").alias("f")
-        .join(first.alias("g"), F.col("f.component_id").eqNullSafe(F.col("g.component_id")))
-        .filter("f.row <> g.first").select(F.col("f.row").alias("__row"))
-    )
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
-    return numbered.join(small_side(written(gone, "gone")), "__row", "left_anti").select(
-        *[F.col(f"`{c}`") for c in docs.columns]
+    with that id the first. Rows without words all stay. Columns stay as they are.
+
+    The rows come from the table in which they were numbered, so a number means the same
+    row however the input is cut into tasks later.
+    """
+    rows, found = _grouped(docs, docs.columns)
+    first = found.filter("n > 0").groupBy("component_id").agg(
+        F.min_by("row", F.struct(F.col("id").isNull(), F.col("id"), F.col("row"))).alias("row")
     )
+    kept = rows.filter("n > 0").join(written(first.select("row"), "first"), "row", "left_semi")
+    return kept.select("doc.*").unionByName(rows.filter("n = 0").select("doc.*"))
