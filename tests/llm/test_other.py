@@ -128,6 +128,49 @@ def test_near_copies_at_the_threshold(spark):
     check_join(spark.createDataFrame(rows, "doc_id long, text string"))
 
 
+def test_blocks_meet_all_components(spark, monkeypatch):
+    """Many small blocks, and a large component beside texts just below the threshold."""
+    monkeypatch.setattr(shingle_join, "TOGETHER", 50)
+    monkeypatch.setattr(shingle_join, "PAIRS", 100)
+    monkeypatch.setattr(shingle_join._across, "__defaults__", (8,))
+    draw = random.Random(5)
+    base = [f"w{i}" for i in range(100)]
+    rows = []
+    for i in range(150):
+        w = list(base)
+        w[50] = f"own{i}"
+        for at in draw.sample(range(100), 0 if i % 3 else 3):
+            w[at] = f"x{i}-{at}"
+        rows.append((i, " ".join(w)))
+    rows += [(1000 + i, r[1]) for i, r in enumerate(rows[:20])]
+    check_join(spark.createDataFrame(rows, "doc_id long, text string"))
+
+
+def test_meetings_are_all_pairs():
+    draw = np.random.default_rng(6)
+    unit = np.sort(draw.integers(0, 12, 90))
+    side = draw.integers(1, 4, 90)
+    expected = set()
+    for u in range(12):
+        at = np.flatnonzero(unit == u)
+        for i in at:
+            for j in at:
+                if side[i] & 1 and side[j] & 2 and (side[i] != 3 or j > i):
+                    expected.add((i, j))
+    got = [(int(i), int(j)) for p, q in shingle_join._meetings(unit, side) for i, j in zip(p, q)]
+    assert len(got) == len(set(got)) and set(got) == expected
+
+
+def test_words_whose_patterns_cancel(spark):
+    """The Thue-Morse word and its complement: powers of an odd number modulo 2^64 do not
+    tell them apart."""
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    two = one.translate(str.maketrans("ab", "ba"))
+    rest = " ".join(f"w{i}" for i in range(10))
+    texts = [f"{one} {rest}", f"{two} {rest}", f"{one} {two} {one} {two} {one} {two}", one, two, "é" * 70 + " x", "x " + "é" * 70]
+    check_join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+
+
 def test_signatures_survive_losses():
     draw = np.random.default_rng(4)
     counts = draw.integers(0, 50, shingle_join.BUCKETS).astype(float)
