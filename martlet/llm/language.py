@@ -209,7 +209,8 @@ def fit(docs: DataFrame, labels: tuple[str, ...] | None = None) -> Network | Non
     Rows without language, text or letters are left out. None if no row is left.
     """
     draw = F.xxhash64("doc_id", F.length("text"))
-    rows = docs.select("doc_id", "text", "lang").filter("lang IS NOT NULL AND length(text) > 0")
+    letter = r"\p{L}"
+    rows = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("text").rlike(letter))
     from pyspark.sql import Window
 
     counts = written(rows.groupBy("lang").count(), "languages")
@@ -225,12 +226,15 @@ def fit(docs: DataFrame, labels: tuple[str, ...] | None = None) -> Network | Non
     spot = F.pmod(F.shiftright("draw", 31), F.greatest(F.length("text") - SEGMENT, F.lit(1))).cast("int")
     sample = (
         chosen.filter(unit < F.col("chance"))
-        .withColumn("piece", F.substr("text", spot + 1, F.lit(2 * SEGMENT)))
+        .withColumn("drawn", F.substr("text", spot + 1, F.lit(2 * SEGMENT)))
+        # a piece without a letter says nothing: take it from the first letter on
+        .withColumn("piece", F.when(F.col("drawn").rlike(letter), F.col("drawn")).otherwise(
+            F.substr("text", F.regexp_instr("text", F.lit(letter)), F.lit(2 * SEGMENT))
+        ))
         .withColumn("place", place).filter(F.col("place") <= each)
         .select("lang", "piece", unit.alias("unit")).toPandas()
         .sort_values(["lang", "unit", "piece"])
     )
-    sample = sample[sample["piece"].map(lambda p: bool(_LETTER(p)))]
     if not len(sample):
         return None
     known = sorted(sample["lang"].unique())
@@ -254,10 +258,13 @@ def identify(docs: DataFrame, net: Network | None) -> DataFrame:
     ship(__name__)
     import pyarrow as pa
 
-    sent = docs.sparkSession.sparkContext.broadcast(net)  # a few thousand weights
+    # a few thousand weights, as plain values: a broadcast names classes, and executors
+    # have no copy of this module
+    plain = (net.labels, net.table, net.state, net.out, net.bias) if net else None
+    sent = docs.sparkSession.sparkContext.broadcast(plain)
 
     def run(batches):
-        net = sent.value
+        net = Network(*sent.value) if sent.value else None
         for batch in batches:
             texts = batch.column("text").to_pylist()
             langs, scores = ["und"] * len(texts), np.zeros(len(texts))

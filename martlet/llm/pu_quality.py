@@ -82,14 +82,6 @@ def features(text: str | None) -> np.ndarray:
     return out
 
 
-
-def _rows(texts: list[str]) -> np.ndarray:
-    out = np.empty((len(texts), BUCKETS + BINS), dtype=np.float32)
-    for i, text in enumerate(texts):
-        out[i] = features(text)
-    return out
-
-
 @dataclass
 class Model:
     weights: np.ndarray
@@ -151,10 +143,10 @@ def _estimate_prior(score_positive: np.ndarray, score_unlabelled: np.ndarray) ->
     return float(np.clip(min(ratio), 0.02, 0.98))
 
 
-def train(positive: list[str], unlabelled: list[str], seed: int = SEED) -> Model:
-    """Fit the classifier; the prior is estimated with a first classifier that tells
-    positives from unlabelled, on positives it has not seen."""
-    p, u = _rows(positive), _rows(unlabelled)
+def train(positive: np.ndarray, unlabelled: np.ndarray, seed: int = SEED) -> Model:
+    """Fit the classifier to rows of ``features``; the prior is estimated with a first
+    classifier that tells positives from unlabelled, on positives it has not seen."""
+    p, u = positive.copy(), unlabelled
     rng = np.random.default_rng(seed)
     rng.shuffle(p)
     back = max(1, int(len(p) * HELD_BACK))
@@ -165,26 +157,47 @@ def train(positive: list[str], unlabelled: list[str], seed: int = SEED) -> Model
     return Model(w[:-1], float(w[-1]), prior)
 
 
+def _collected(texts: DataFrame) -> np.ndarray:
+    """Features of a bounded number of rows (text), made in the tasks, so that what comes
+    to the driver does not grow with the texts; only values that are not 0 are sent."""
+    ship(__name__)
+    import pyarrow as pa
+
+    def run(batches):
+        for batch in batches:
+            rows = [features(t) for t in batch.column("text").to_pylist()]
+            places = [np.flatnonzero(r).astype(np.int32) for r in rows]
+            values = [r[p] for r, p in zip(rows, places)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(places, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float32()))],
+                names=["places", "values"])
+
+    sent = texts.select("text").mapInArrow(run, "places array<int>, values array<float>").toArrow()
+    out = np.zeros((len(sent), BUCKETS + BINS), dtype=np.float32)
+    lengths = sent["places"].combine_chunks().value_lengths().to_numpy()
+    at = np.repeat(np.arange(len(sent)), lengths)
+    out[at, sent["places"].combine_chunks().flatten().to_numpy()] = sent["values"].combine_chunks().flatten().to_numpy()
+    # the order in which tasks answer must not change the model
+    return out[np.argsort([r.tobytes() for r in out], kind="stable")] if len(out) else out
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     """Train on a bounded sample: positives are rows of ``docs`` with label 1, the
     unlabelled come from all rows. None without positives."""
     rows = docs.select("doc_id", "text")
     good = labels.filter("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
 
-    def lowest(frame: DataFrame, draw, wanted: int) -> DataFrame:
+    def lowest(frame: DataFrame, draw, wanted: int, tie: str) -> DataFrame:
+        """About ``wanted`` rows, at most twice as many: those of the lowest draw."""
         share = wanted / max(wanted, frame.count())
         unit = F.pmod(draw, F.lit(1 << 30)) / F.lit(float(1 << 30))
-        return frame.filter(unit < share).limit(2 * wanted)
-
-    some = F.broadcast(lowest(good, F.xxhash64("doc_id"), POSITIVES))  # at most 2 * POSITIVES ids
-    draw = F.xxhash64("doc_id", F.length("text"))
-    positive = rows.join(some, "doc_id").select("text").limit(2 * POSITIVES).toPandas()
-    unlabelled = lowest(rows, draw, UNLABELLED).select("text").toPandas()
-    if not len(positive):
-        return None
-    # the order in which tasks answer must not change the model
-    positive, unlabelled = (f.sort_values("text", na_position="first") for f in (positive, unlabelled))
-    return train(positive["text"].tolist(), unlabelled["text"].tolist())
+        return frame.filter(unit < share).orderBy(unit, F.xxhash64(tie)).limit(2 * wanted)
+
+    some = F.broadcast(lowest(good, F.xxhash64("doc_id"), POSITIVES, "doc_id"))  # at most 2 * POSITIVES ids
+    positive = rows.join(some, "doc_id").orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(2 * POSITIVES)
+    unlabelled = lowest(rows, F.xxhash64("doc_id", F.length("text")), UNLABELLED, "text")
+    p = _collected(positive)
+    return train(p, _collected(unlabelled)) if len(p) else None
 
 
 def score(docs: DataFrame, model: Model | None, least: float = 0.3) -> DataFrame:
@@ -197,10 +210,13 @@ def score(docs: DataFrame, model: Model | None, least: float = 0.3) -> DataFrame
     ship(__name__)
     import pyarrow as pa
 
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS + BINS weights
+    # BUCKETS + BINS weights, as plain values: a broadcast names classes, and executors
+    # have no copy of this module
+    plain = (model.weights, model.bias, model.prior) if model else None
+    sent = docs.sparkSession.sparkContext.broadcast(plain)
 
     def run(batches):
-        model = sent.value
+        model = Model(*sent.value) if sent.value else None
         for batch in batches:
             texts = batch.column("text").to_pylist()
             logits = np.array([model.logit(t) for t in texts]) if model else np.full(len(texts), -np.inf)

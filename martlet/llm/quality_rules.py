@@ -128,7 +128,9 @@ def judge(docs: DataFrame, labels: DataFrame, least: float = LEAST_RATIO) -> Dat
     ratio of the row's n-grams; 0 without words) and kept. Null and empty texts have
     no words and fail the base rule; null ids are judged but never trusted; repeated
     rows are judged alike. With an empty table or no labels nothing is rejected
-    beyond the base rules.
+    beyond the base rules. The pseudo-count is a number of n-grams, so ratios in a small
+    corpus are nearer to 0 than in a large one of the same kind: there a document is
+    rejected only on more evidence. The result can be filtered by any of its columns.
     """
     model = ratio_model(docs, labels)
     frame = rules(docs).withColumn("model", model.scalar())
@@ -138,22 +140,20 @@ def judge(docs: DataFrame, labels: DataFrame, least: float = LEAST_RATIO) -> Dat
     )
     size = F.size("one") + F.size("two")
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    return (
-        frame.withColumn(
-            "ratio", F.when(size > 0, total / size).otherwise(0.0)
-        )
+    judged = (
+        frame.withColumn("ratio", F.when(size > 0, total / size).otherwise(0.0))
         .withColumn("base_failed", failed)
         .withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= least))
-        .select(
-            "doc", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-            "base_failed", "ratio", "kept",
-        )
     )
+    # A filter on a result must not move below the hashes, which Spark would then copy
+    # into each other; it does not pass columns that depend on a row number.
+    row = F.monotonically_increasing_id()
+    results = [
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "ratio", "kept",
+    ]
+    return judged.select("doc", *[F.when(row >= 0, F.col(c)).alias(c) for c in results])
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns."""
-    # the row number keeps Spark from moving the filter below the counts, which it
-    # would then compute twice
-    judged = judge(docs, labels).withColumn("row", F.monotonically_increasing_id())
-    return judged.filter("kept AND row >= 0").select("doc.*")
+    return judge(docs, labels).filter("kept").select("doc.*")
