@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlet.llm.common import components, ship
+from martlet.llm.common import components, ship, small_side, text_of
 from martlet.session import written
 
 WORDS = 5
@@ -39,11 +39,16 @@ GROUP = 2000
 #: Words of 64 bits in the parity map of a set: bit i tells whether an odd number of its
 #: tokens hash to i. Two maps differ in at most as many bits as the sets in tokens.
 MAP_WORDS = 8
+#: Bits that tell which classes are compared; only a sieve before a join.
+SIEVE_BITS = 1 << 23
 #: First classes that a class is compared with before all others.
 LEADS = 3
 #: Classes of a block in which members of a group are compared; rows and pairs of blocks
 #: that a task looks at together.
 BLOCK, TOGETHER, PAIRS = 1024, 200_000, 1 << 20
+#: Signatures are cut to 48 bits, which shuffle smaller; two that become equal only share
+#: a group, and lose nothing.
+SHORT = np.uint64((1 << 48) - 1)
 #: Letters of a word whose values are looked up.
 TABLED = 64
 
@@ -182,25 +187,31 @@ def signatures(tokens: np.ndarray, counts: np.ndarray, usual: float, frequent: f
     return np.concatenate(out), dealt, np.concatenate(room)
 
 
+def _texts(batches):
+    """(batch, text) of every row; a null text is empty."""
+    for batch in batches:
+        yield batch, batch.column("text").to_pylist()
+
+
 def sketch(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """Rows (id, row, doc, n, cls, map) of ``docs`` (id, row, doc: a struct with text) with
-    the size, class and parity map of their sets, and the corpus counts of shingles by
-    bucket. Everything is written once; counts come as one sparse row for each task.
+    """Size, class and parity map of every row, and the corpus counts of shingles by bucket.
+
+    ``docs`` has id and text. Counts come as one sparse row for each task.
     """
     ship(__name__)
     import pyarrow as pa
-    from pyspark.sql import types as T
 
     def run(batches):
         shingler, counts = Shingler(), np.zeros(BUCKETS, dtype=np.int64)
         pending: list[np.ndarray] = []
-        carried = None
-        for batch in batches:
-            carried = [batch.schema.field(c).type for c in ("id", "row", "doc")]
+        schema = pa.schema([
+            ("id", id_type), ("row", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()),
+            ("map", pa.list_(pa.int64())), ("bucket", pa.list_(pa.int32())), ("count", pa.list_(pa.int64())),
+        ])
+        for batch, texts in _texts(batches):
             sizes, classes, maps = [], [], []
-            texts = batch.column("doc").field("text").to_pylist()
             for text in texts:
-                tokens = shingler(text or "")
+                tokens = shingler(text)
                 sizes.append(len(tokens))
                 maps.append(parity_map(tokens))
                 classes.append(set_class(tokens) if len(tokens) else None)
@@ -208,25 +219,31 @@ def sketch(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
                 if len(pending) == 1000:
                     counts += np.bincount(np.concatenate(pending), minlength=BUCKETS)
                     pending.clear()
+            none = pa.nulls(len(texts))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("row"), batch.column("doc"), pa.array(sizes, pa.int64()),
+                [batch.column("id"), batch.column("row"), pa.array(sizes, pa.int64()),
                  pa.array(classes, pa.int64()), pa.array(maps, pa.list_(pa.int64())),
-                 pa.nulls(len(texts), pa.list_(pa.int32())), pa.nulls(len(texts), pa.list_(pa.int64()))],
-                names=["id", "row", "doc", "n", "cls", "map", "bucket", "count"])
+                 none.cast(schema.field("bucket").type),
+                 none.cast(schema.field("count").type)], schema=schema)
         if pending:
             counts += np.bincount(np.concatenate(pending), minlength=BUCKETS)
         some = np.flatnonzero(counts)
         if len(some):
             yield pa.RecordBatch.from_arrays(
-                [*(pa.nulls(1, t) for t in carried), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()),
-                 pa.nulls(1, pa.list_(pa.int64())), pa.array([some], pa.list_(pa.int32())),
-                 pa.array([counts[some]], pa.list_(pa.int64()))],
-                names=["id", "row", "doc", "n", "cls", "map", "bucket", "count"])
-
-    more = "n long, cls long, map array<long>, bucket array<int>, count array<long>"
-    carried = [T.StructField(c, docs.schema[c].dataType) for c in ("id", "row", "doc")]
-    schema = T.StructType(carried + T.StructType.fromDDL(more).fields)
-    out = written(docs.select("id", "row", "doc").mapInArrow(run, schema), "sketch")
+                [pa.nulls(1, id_type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()),
+                 pa.nulls(1, pa.int64()), pa.nulls(1, pa.list_(pa.int64())), pa.array([some], schema.field("bucket").type),
+                 pa.array([counts[some]], schema.field("count").type)], schema=schema)
+
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    id_spark = docs.schema["id"].dataType
+    id_type = to_arrow_type(id_spark)
+    out = written(
+        docs.mapInArrow(
+            run, f"id {id_spark.simpleString()}, row long, n long, cls long, "
+                 "map array<long>, bucket array<int>, count array<long>"),
+        "sketch",
+    )
     zipped = F.explode_outer(F.arrays_zip("bucket", "count")).alias("b")
     rows = (
         out.filter("bucket IS NOT NULL").select(zipped)
@@ -234,29 +251,31 @@ def sketch(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     )
     counts = np.zeros(BUCKETS)
     counts[rows["bucket"].to_numpy()] = rows["count"].to_numpy()
-    return out.filter("bucket IS NULL").drop("bucket", "count"), counts
+    return out.filter("bucket IS NULL").select("id", "row", "n", "cls", "map"), counts
 
 
-def _signature_rows(rows: DataFrame, counts: np.ndarray) -> DataFrame:
-    """A row for each signature of each row of ``sketch``: the cell of its group, class, size
-    and room in one number, and the signature itself where the group is dealt over several cells."""
+def _signature_rows(docs: DataFrame, counts: np.ndarray) -> DataFrame:
+    """A row for each signature of each document: the cell of its group, class, size and
+    room in one number, and the signature itself where the group is dealt over several cells."""
     import pyarrow as pa
 
     usual = float(counts.sum()) / BUCKETS
     frequent = usual + 8 * usual**0.5 + 8
-    sent = rows.sparkSession.sparkContext.broadcast(counts)  # BUCKETS numbers
+    sent = docs.sparkSession.sparkContext.broadcast(counts)  # BUCKETS numbers
 
     def run(batches):
         shingler, known = Shingler(), set()
-        for batch in batches:
+        for _, texts in _texts(batches):
             parts = []
-            for cls, text in zip(batch.column("cls").to_pylist(), batch.column("text").to_pylist()):
-                if cls in known:
+            for text in texts:
+                tokens = shingler(text)
+                cls = set_class(tokens) if len(tokens) else None
+                if cls is None or cls in known:
                     continue
                 if len(known) < 1_000_000:  # equal rows of a task once; others later
                     known.add(cls)
-                tokens = shingler(text)
                 found, dealt, room = signatures(tokens, sent.value, usual, frequent)
+                found &= SHORT
                 sizes = (len(tokens) << _ROOM_BITS) + room
                 parts.append((found, dealt, np.full(len(found), cls), sizes))
             for low in range(0, len(parts), 500):
@@ -264,30 +283,32 @@ def _signature_rows(rows: DataFrame, counts: np.ndarray) -> DataFrame:
                 mine = _mix(cls.astype(np.uint64)) % dealt.astype(np.uint64)
                 cell = np.where(dealt > 1, _mix(found + mine * _ODD + np.uint64(1)), found)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cell.astype(np.int64)), pa.array(cls), pa.array(sizes),
+                    [pa.array((cell & SHORT).astype(np.int64)), pa.array(cls), pa.array(sizes),
                      pa.array(found.astype(np.int64), mask=dealt == 1)],
                     names=["cell", "cls", "sizes", "sig"])
 
-    some = rows.filter("cls IS NOT NULL").select("cls", "doc.text")
-    return some.mapInArrow(run, "cell long, cls long, sizes long, sig long")
+    return docs.select("text").mapInArrow(run, "cell long, cls long, sizes long, sig long")
 
 
 def _busy(rows: DataFrame) -> DataFrame:
-    """Rows (sig, cls, n, room, band) of signatures that several classes may share.
+    """Rows (sig, cls, n, room) of signatures that several classes may share, each with two
+    first classes: of all its cell, and of those of about its size.
 
     One shuffle by cell; of the signatures, most are alone and go no further.
     """
-    group = Window.partitionBy("cell")
-    shared = rows.withColumns({
-        "low": F.min("cls").over(group), "high": F.max("cls").over(group),
-    }).filter("sig IS NOT NULL OR low < high")
     width = F.lit(np.log(TIMES / LEAST).item())
     n = F.shiftright("sizes", _ROOM_BITS)
     room = F.col("sizes").bitwiseAND(F.lit((1 << _ROOM_BITS) - 1))
-    return shared.select(
-        F.coalesce("sig", "cell").alias("sig"), "cls", n.alias("n"), room.alias("room"),
+    sized = rows.select(
+        "cell", "cls", "sig", n.alias("n"), room.alias("room"),
         F.floor(F.log(n.cast("double")) / width).cast("int").alias("band"),
     )
+    group, near = Window.partitionBy("cell"), Window.partitionBy("cell", "band")
+    first = F.min(F.struct("cls", "n", "room"))
+    shared = sized.withColumns({
+        "top": first.over(group), "last": F.max("cls").over(group), "lead": first.over(near),
+    }).filter("sig IS NOT NULL OR top.cls < last")
+    return shared.select(F.coalesce("sig", "cell").alias("sig"), "cls", "n", "room", "top", "lead")
 
 
 #: What a pair needs: an intersection of at least LEAST / (TIMES + LEAST) of both sizes
@@ -297,23 +318,16 @@ _ROOM_BITS = 31
 
 
 def _star(busy: DataFrame) -> DataFrame:
-    """Every class with a few first classes of its signatures and bands of sizes, those it
-    shares most signatures with, and first classes with those of the next band.
+    """Every class with a few of the first classes of its signatures, those it shares most
+    signatures with.
 
     These pairs only join what is obviously alike; ``_across`` finds all other links.
     """
-    first = busy.groupBy("sig", "band").agg(F.min(F.struct("cls", "n", "room")).alias("lead"))
-    lead = first.select(
-        "sig", "band", F.col("lead.cls").alias("other"), F.col("lead.n").alias("m"),
-        F.col("lead.room").alias("space"),
-    )
-    names = ["cls", "n", "room", "other", "m", "space"]
-    near = busy.join(lead, ["sig", "band"]).select(*names)
-    here = lead.select(
-        "sig", "band", F.col("other").alias("cls"), F.col("m").alias("n"), F.col("space").alias("room")
+    both = F.explode(F.array_distinct(F.array("top", "lead"))).alias("first")
+    met = busy.select("cls", "n", "room", both).select(
+        "cls", "n", "room", F.col("first.cls").alias("other"), F.col("first.n").alias("m"),
+        F.col("first.room").alias("space"),
     )
-    above = lead.withColumn("band", F.col("band") - 1)
-    met = near.unionByName(here.join(above, ["sig", "band"]).select(*names))
     shared = met.filter(f"cls <> other AND {_FITS}").groupBy("cls", "other").agg(F.count(F.lit(1)).alias("times"))
     best = Window.partitionBy("cls").orderBy(F.col("times").desc(), "other")
     few = shared.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= LEADS)
@@ -333,30 +347,32 @@ def _across(busy: DataFrame, roots: DataFrame, placed: DataFrame, block: int = B
     """
     import pyarrow as pa
 
-    rooms = busy.groupBy("sig", "cls").agg(F.max("room").alias("room"), F.first("n").alias("n"))
     sizes = roots.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-    sized = roots.join(sizes, "root")
-    rows = rooms.join(sized, rooms["cls"] == sized["node"]).select("sig", "cls", "n", "room", "root", "size")
-    members = rows.groupBy("sig").agg(
-        F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("many"),
-        F.max(F.struct("size", "root")).alias("most"), F.min("cls").alias("low"),
+    sized = written(roots.join(sizes, "root"), "sized")
+    rows = busy.join(sized, busy["cls"] == sized["node"]).select("sig", "cls", "n", "room", "root", "size")
+    several = rows.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
+    open_ = written(rows.join(several.select("sig"), "sig", "left_semi"), "open")
+    members = open_.groupBy("sig").agg(
+        F.count(F.lit(1)).alias("many"), F.max(F.struct("size", "root")).alias("most"), F.min("cls").alias("low"),
         F.bit_xor(F.xxhash64("cls")).alias("one"),
         F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("two"),
-    ).filter("lo < hi").select("sig", F.struct("low", "many", "one", "two").alias("members"), "most.root")
-    mixed = rows.join(members.withColumnRenamed("root", "most"), "sig").groupBy("members", "cls").agg(
+    ).select("sig", F.struct("low", "many", "one", "two").alias("members"), "most.root")
+    mixed = open_.join(members.withColumnRenamed("root", "most"), "sig").groupBy("members", "cls").agg(
         F.max("room").alias("room"), F.first("n").alias("n"), F.first("root").alias("root"),
         F.first(F.col("root") == F.col("most")).alias("main"),
     )
     mixed = written(mixed.select("members.*", "cls", "room", "n", "root", "main"), "mixed")
     key = ["low", "many", "one", "two"]
-    counts = mixed.groupBy(*key).agg(F.count_if("main").alias("ours"), F.count_if(~F.col("main")).alias("others"))
+    large = mixed.filter(F.col("many") > block).groupBy(*key).agg(
+        F.count_if("main").alias("ours"), F.count_if(~F.col("main")).alias("others")
+    )
 
     def blocks(rows_: str):  # a power of two, so that groups of like sizes are cut alike
         return F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.col(rows_) / block, F.lit(1.0))))).cast("int")
 
     cut = mixed.join(
-        counts.select(*key, blocks("ours").alias("p_main"), blocks("others").alias("p_rest")), key
-    ).withColumn("part", F.pmod(F.xxhash64("cls"), F.when(F.col("main"), F.col("p_main")).otherwise(F.col("p_rest"))).cast("int"))
+        large.select(*key, blocks("ours").alias("p_main"), blocks("others").alias("p_rest")), key, "left"
+    ).fillna(1, ["p_main", "p_rest"]).withColumn("part", F.pmod(F.xxhash64("cls"), F.when(F.col("main"), F.col("p_main")).otherwise(F.col("p_rest"))).cast("int"))
     rest = F.sequence(F.lit(0), F.col("p_rest") - 1)
     main = F.sequence(F.lit(0), F.col("p_main") - 1)
 
@@ -451,19 +467,55 @@ def _meetings(unit: np.ndarray, side: np.ndarray):
         low = high
 
 
-def _one_text(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """A text for each class in ``pairs``, from the rows of ``sketch``."""
+def _one_text(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """A text for each class in ``pairs``.
+
+    A sieve of hashed bits, of fixed size, keeps most other texts out of the shuffle;
+    the join decides.
+    """
+    import pyarrow as pa
+
     wanted = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
-    ids = rows.filter("cls IS NOT NULL").join(wanted, "cls", "left_semi").groupBy("cls").agg(F.min("row").alias("row"))
-    # by row: copies of one text are many rows, but only one is fetched
-    return rows.select("row", "doc.text").join(written(ids, "ids"), "row").select("cls", "text")
+    bit = F.pmod("cls", F.lit(SIEVE_BITS))
+    words = (
+        wanted.groupBy(F.floor(bit / 32).cast("long").alias("word"))
+        .agg(F.bit_or(F.call_function(
+            "shiftleft", F.lit(1).cast("long"), F.pmod("cls", F.lit(32)).cast("int")
+        )).alias("bits"))
+        .toArrow()
+    )
+    sieve = np.zeros(SIEVE_BITS // 32, dtype=np.int64)
+    sieve[words["word"].to_numpy()] = words["bits"].to_numpy()
+    sent = docs.sparkSession.sparkContext.broadcast(sieve)
 
+    def run(batches):
+        shingler, known = Shingler(), set()
+        for _, texts in _texts(batches):
+            kept, classes = [], []
+            for text in texts:
+                tokens = shingler(text)
+                if not len(tokens):
+                    continue
+                cls = set_class(tokens)
+                bit = cls % SIEVE_BITS
+                if not sent.value[bit // 32] >> (bit % 32) & 1 or cls in known:
+                    continue
+                if len(known) < 1_000_000:
+                    known.add(cls)
+                kept.append(text)
+                classes.append(cls)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(classes, pa.int64()), pa.array(kept, pa.string())], names=["cls", "text"])
+
+    texts = docs.select("text").mapInArrow(run, "cls long, text string")
+    return texts.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.min("text").alias("text"))
 
-def verify(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+
+def verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """Of the candidate pairs, those whose sets are similar enough."""
     import pyarrow as pa
 
-    texts = written(_one_text(rows, pairs), "texts")
+    texts = written(_one_text(docs, pairs), "texts")
     one = texts.select(F.col("cls").alias("a"), F.col("text").alias("one"))
     two = texts.select(F.col("cls").alias("b"), F.col("text").alias("two"))
 
@@ -494,31 +546,27 @@ def verify(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long")
 
 
-def _grouped(docs: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
-    """The rows of ``sketch`` for ``docs``, with ``columns`` in doc, and for each of them
-    row, id, n and component_id."""
+def _grouped(docs: DataFrame) -> DataFrame:
+    """``row``, id, n and component_id of every row of ``docs`` (id, row, text)."""
     ship(__name__)
-    rows, counts = sketch(docs.select(
-        F.col("doc_id").alias("id"), F.monotonically_increasing_id().alias("row"),
-        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc"),
-    ))
-    busy = written(_busy(_signature_rows(rows, counts)), "busy")
+    placed, counts = sketch(docs)
+    busy = written(_busy(_signature_rows(docs, counts)), "busy")
     pairs = written(_star(busy), "star")
-    links = written(verify(rows, pairs), "links")
+    links = written(verify(docs, pairs), "links")
     nodes = busy.select(F.col("cls").alias("node")).distinct()
     roots = written(components(nodes, links), "roots")
-    more = written(_across(busy, roots, rows).join(pairs, ["a", "b"], "left_anti"), "across")
+    more = written(_across(busy, roots, placed).join(pairs, ["a", "b"], "left_anti"), "across")
     if not more.isEmpty():
-        links = links.unionByName(written(verify(rows, more), "links"))
+        links = links.unionByName(written(verify(docs, more), "links"))
         roots = written(components(nodes, links), "roots")
-    class_root = rows.filter("cls IS NOT NULL").join(
-        roots, rows["cls"] == roots["node"], "left"
+    class_root = placed.filter("cls IS NOT NULL").join(
+        roots, placed["cls"] == roots["node"], "left"
     ).select("id", "row", "n", F.coalesce("root", "cls").alias("root"))
     class_root = written(class_root, "placed")
     least = class_root.groupBy("root").agg(F.min("id").alias("component_id"))
     linked = class_root.join(least, "root").select("row", "id", "n", "component_id")
-    alone = rows.filter("cls IS NULL").select("row", "id", "n", F.col("id").alias("component_id"))
-    return rows, linked.unionByName(alone)
+    alone = placed.filter("cls IS NULL").select("row", "id", "n", F.col("id").alias("component_id"))
+    return linked.unionByName(alone)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -530,21 +578,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     component without any id has a null one; repeated rows are in one component; an
     empty table gives an empty result. Other columns are not looked at.
     """
-    return _grouped(docs, ["text"])[1].select(
-        "row", F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id"
-    )
+    return _grouped(docs.select(
+        F.col("doc_id").alias("id"), F.monotonically_increasing_id().alias("row"), text_of().alias("text")
+    )).select("row", F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each component: that of the smallest id, and of several
     with that id the first. Rows without words all stay. Columns stay as they are.
 
-    The rows come from the table in which they were numbered, so a number means the same
-    row however the input is cut into tasks later.
+    The rows are numbered and written once, so a number means the same row however the
+    input is cut into tasks later.
     """
-    rows, found = _grouped(docs, docs.columns)
-    first = found.filter("n > 0").groupBy("component_id").agg(
+    numbered = written(docs.select(
+        F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    ), "numbered")
+    found = written(_grouped(numbered.select(
+        F.col("doc.doc_id").alias("id"), "row", F.coalesce("doc.text", F.lit("")).alias("text")
+    )).filter("n > 0").select("row", "id", "component_id"), "found")
+    first = found.groupBy("component_id").agg(
         F.min_by("row", F.struct(F.col("id").isNull(), F.col("id"), F.col("row"))).alias("row")
     )
-    kept = rows.filter("n > 0").join(written(first.select("row"), "first"), "row", "left_semi")
-    return kept.select("doc.*").unionByName(rows.filter("n = 0").select("doc.*"))
+    gone = written(found.join(first.select("row"), "row", "left_anti").select("row"), "gone")
+    return numbered.join(small_side(gone), "row", "left_anti").select("doc.*")
