@@ -46,6 +46,10 @@ LEADS = 3
 #: Classes of a block in which members of a group are compared; rows and pairs of blocks
 #: that a task looks at together.
 BLOCK, TOGETHER, PAIRS = 1024, 200_000, 1 << 20
+#: Groups with the same first class are dealt to this many tasks.
+SALTS = 8
+#: Rounds in which only the closest pair of two components is verified.
+ROUNDS = 3
 #: Signatures are cut to 48 bits, which shuffle smaller; two that become equal only share
 #: a group, and lose nothing.
 SHORT = np.uint64((1 << 48) - 1)
@@ -335,14 +339,15 @@ def _star(busy: DataFrame) -> DataFrame:
 
 
 def _across(busy: DataFrame, roots: DataFrame, placed: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Pairs in one signature's group whose classes are in different components.
+    """Pairs (a, b) in one signature's group whose classes are in different components, and
+    how far ``apart`` their maps are, in thousandths of both sizes.
 
     Signatures with the same classes are one group, with the largest room each class
     has in any of them, so that a passage many texts share is compared once and not
     once a shingle. The members of a group's largest component are never compared with
     each other; the rest is dealt in blocks, and a task meets two blocks of a group.
     Groups with the same first class, which mostly share their members, follow each other
-    in one task, and a pair found in many of them leaves it once. Sizes, rooms and the maps of
+    in a few tasks, and a pair found in many of them leaves a task once. Sizes, rooms and the maps of
     ``placed`` rule out pairs that must differ in too many tokens, never a link.
     """
     import pyarrow as pa
@@ -394,13 +399,14 @@ def _across(busy: DataFrame, roots: DataFrame, placed: DataFrame, block: int = B
     order = ["low", "i", "j", "many", "one", "two"]
     dealt = cut.select(*key, "cls", "room", "n", "root", F.explode(units).alias("unit")).select(
         *key, "cls", "room", "n", "root", "unit.*"
-    ).join(maps, "cls").repartition("low", "i", "j").sortWithinPartitions(*order)
+    ).withColumn("salt", F.pmod("one", F.lit(SALTS))).join(maps, "cls")
+    dealt = dealt.repartition("low", "i", "j", "salt").sortWithinPartitions(*order)
 
     def run(batches):
         for table in _whole_units(batches, order):
             column = {c: table.column(c).to_numpy() for c in ("cls", "room", "n", "root", "side", "unit")}
             bits = np.stack([table.column(w).to_numpy() for w in words], axis=1).view(np.uint64)
-            found = [np.zeros((0, 2), dtype=np.int64)]
+            found = [np.zeros((0, 3), dtype=np.int64)]
             for p, q in _meetings(column["unit"], column["side"]):
                 n, m = column["n"][p], column["n"][q]
                 fits = np.minimum(column["room"][p], column["room"][q]) * (TIMES + LEAST) >= (n + m) * LEAST
@@ -409,11 +415,12 @@ def _across(busy: DataFrame, roots: DataFrame, placed: DataFrame, block: int = B
                 apart = np.bitwise_count(bits[p] ^ bits[q]).sum(axis=1, dtype=np.int64)
                 near = apart * (TIMES + LEAST) <= both * (TIMES - LEAST)
                 a, b = column["cls"][p[near]], column["cls"][q[near]]
-                found.append(np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0))
+                share = 1000 * apart[near] // both[near]
+                found.append(np.unique(np.stack([np.minimum(a, b), np.maximum(a, b), share], axis=1), axis=0))
             pairs = np.unique(np.concatenate(found), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in pairs.T.copy()], names=["a", "b", "apart"])
 
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(run, "a long, b long, apart long").distinct()
 
 
 def _whole_units(batches, key: list[str]):
@@ -467,15 +474,14 @@ def _meetings(unit: np.ndarray, side: np.ndarray):
         low = high
 
 
-def _one_text(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """A text for each class in ``pairs``.
+def _one_text(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """A text for each class of ``wanted`` (cls).
 
     A sieve of hashed bits, of fixed size, keeps most other texts out of the shuffle;
     the join decides.
     """
     import pyarrow as pa
 
-    wanted = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
     bit = F.pmod("cls", F.lit(SIEVE_BITS))
     words = (
         wanted.groupBy(F.floor(bit / 32).cast("long").alias("word"))
@@ -511,11 +517,13 @@ def _one_text(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return texts.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.min("text").alias("text"))
 
 
-def verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Of the candidate pairs, those whose sets are similar enough."""
+def verify(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Of the candidate pairs (a, b), those whose sets are similar enough; ``texts`` has a
+    text of each class."""
     import pyarrow as pa
 
-    texts = written(_one_text(docs, pairs), "texts")
+    sides = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls")))
+    texts = texts.join(written(sides.distinct(), "sides"), "cls", "left_semi")
     one = texts.select(F.col("cls").alias("a"), F.col("text").alias("one"))
     two = texts.select(F.col("cls").alias("b"), F.col("text").alias("two"))
 
@@ -546,19 +554,46 @@ def verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long")
 
 
+def _still_apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """``pairs`` with the components p < q of their classes, where these differ."""
+    one = roots.select(F.col("node").alias("a"), F.col("root").alias("r"))
+    two = roots.select(F.col("node").alias("b"), F.col("root").alias("s"))
+    return pairs.join(one, "a").join(two, "b").filter("r <> s").select(
+        "a", "b", "apart", F.least("r", "s").alias("p"), F.greatest("r", "s").alias("q")
+    )
+
+
+def _merged(roots: DataFrame, joined: DataFrame) -> DataFrame:
+    """``roots`` after the components p and q of each row of ``joined`` became one."""
+    edges = written(joined.select(F.col("p").alias("a"), F.col("q").alias("b")).distinct(), "edges")
+    ends = edges.select(F.col("a").alias("node")).unionByName(edges.select(F.col("b").alias("node"))).distinct()
+    moved = components(ends, edges).select(F.col("node").alias("root"), F.col("root").alias("to"))
+    return roots.join(moved, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+
+
 def _grouped(docs: DataFrame) -> DataFrame:
     """``row``, id, n and component_id of every row of ``docs`` (id, row, text)."""
     ship(__name__)
     placed, counts = sketch(docs)
     busy = written(_busy(_signature_rows(docs, counts)), "busy")
+    nodes = written(busy.select(F.col("cls").alias("node")).distinct(), "nodes")
+    texts = written(_one_text(docs, nodes.withColumnRenamed("node", "cls")), "texts")
     pairs = written(_star(busy), "star")
-    links = written(verify(docs, pairs), "links")
-    nodes = busy.select(F.col("cls").alias("node")).distinct()
-    roots = written(components(nodes, links), "roots")
-    more = written(_across(busy, roots, placed).join(pairs, ["a", "b"], "left_anti"), "across")
-    if not more.isEmpty():
-        links = links.unionByName(written(verify(docs, more), "links"))
-        roots = written(components(nodes, links), "roots")
+    roots = written(components(nodes, written(verify(texts, pairs), "links")), "roots")
+    left = written(_across(busy, roots, placed).join(pairs, ["a", "b"], "left_anti"), "across")
+    for round_ in range(ROUNDS + 1):
+        apart = _still_apart(left, roots)
+        if round_ < ROUNDS:  # one pair of each two components; they mostly join many more
+            apart = written(apart, "apart")
+            closest = apart.groupBy("p", "q").agg(F.min(F.struct("apart", "a", "b")).alias("best"))
+            tried = written(closest.select("p", "q", "best.a", "best.b"), "tried")
+            left = apart.join(tried, ["a", "b"], "left_anti").select("a", "b", "apart")
+        else:
+            tried = written(apart, "tried")
+        if tried.isEmpty():
+            break
+        links = written(verify(texts, tried), "links")
+        roots = written(_merged(roots, links.join(tried, ["a", "b"]).select("p", "q")), "roots")
     class_root = placed.filter("cls IS NOT NULL").join(
         roots, placed["cls"] == roots["node"], "left"
     ).select("id", "row", "n", F.coalesce("root", "cls").alias("root"))
