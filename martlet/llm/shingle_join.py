@@ -46,10 +46,10 @@ LEADS = 3
 #: Classes of a block in which members of a group are compared; rows and pairs of blocks
 #: that a task looks at together.
 BLOCK, TOGETHER, PAIRS = 1024, 200_000, 1 << 20
-#: Groups with the same first class are dealt to this many tasks.
-SALTS = 8
-#: Rounds in which only the closest pair of two components is verified.
-ROUNDS = 3
+#: Rounds in which only the closest pairs of two components are verified.
+ROUNDS = 2
+#: Words of 64 bits of a finer parity map, which decides whether texts are compared.
+FINE_WORDS = 64
 #: Signatures are cut to 48 bits, which shuffle smaller; two that become equal only share
 #: a group, and lose nothing.
 SHORT = np.uint64((1 << 48) - 1)
@@ -128,9 +128,9 @@ def bucket_of(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)
 
 
-def parity_map(tokens: np.ndarray) -> np.ndarray:
-    """The parity map of a set, as MAP_WORDS signed words."""
-    bits = 64 * MAP_WORDS
+def parity_map(tokens: np.ndarray, words: int = MAP_WORDS) -> np.ndarray:
+    """The parity map of a set, as signed words."""
+    bits = 64 * words
     odd = np.bincount((tokens % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
@@ -301,18 +301,26 @@ def _busy(rows: DataFrame) -> DataFrame:
     One shuffle by cell; of the signatures, most are alone and go no further.
     """
     width = F.lit(np.log(TIMES / LEAST).item())
-    n = F.shiftright("sizes", _ROOM_BITS)
-    room = F.col("sizes").bitwiseAND(F.lit((1 << _ROOM_BITS) - 1))
-    sized = rows.select(
-        "cell", "cls", "sig", n.alias("n"), room.alias("room"),
-        F.floor(F.log(n.cast("double")) / width).cast("int").alias("band"),
-    )
+
+    def size(sizes):
+        return F.shiftright(sizes, _ROOM_BITS)
+
+    def room(sizes):
+        return F.col(sizes).bitwiseAND(F.lit((1 << _ROOM_BITS) - 1))
+
     group, near = Window.partitionBy("cell"), Window.partitionBy("cell", "band")
-    first = F.min(F.struct("cls", "n", "room"))
-    shared = sized.withColumns({
-        "top": first.over(group), "last": F.max("cls").over(group), "lead": first.over(near),
-    }).filter("sig IS NOT NULL OR top.cls < last")
-    return shared.select(F.coalesce("sig", "cell").alias("sig"), "cls", "n", "room", "top", "lead")
+    shared = rows.withColumns({
+        "first": F.min(F.struct("cls", "sizes")).over(group), "last": F.max("cls").over(group),
+    }).filter("sig IS NOT NULL OR first.cls < last")
+    sized = shared.select(
+        "cell", "cls", F.coalesce("sig", "cell").alias("sig"), size("sizes").alias("n"), room("sizes").alias("room"),
+        F.floor(F.log(size("sizes").cast("double")) / width).cast("int").alias("band"),
+        F.struct(
+            F.col("first.cls").alias("cls"), size("first.sizes").alias("n"), room("first.sizes").alias("room")
+        ).alias("top"),
+    )
+    lead = F.min(F.struct("cls", "n", "room")).over(near)
+    return sized.withColumn("lead", lead).select("sig", "cls", "n", "room", "top", "lead")
 
 
 #: What a pair needs: an intersection of at least LEAST / (TIMES + LEAST) of both sizes
@@ -338,25 +346,33 @@ def _star(busy: DataFrame) -> DataFrame:
     return few.select(F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b")).distinct()
 
 
-def _across(busy: DataFrame, roots: DataFrame, placed: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Pairs (a, b) in one signature's group whose classes are in different components, and
-    how far ``apart`` their maps are, in thousandths of both sizes.
+def _open(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows (sig, cls, n, room, root, size of the component) of signatures whose classes are
+    in several components. Components only grow, so no other signature opens later."""
+    sizes = roots.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
+    sized = written(roots.join(sizes, "root"), "sized")
+    placed = rows.select("sig", "cls", "n", "room").join(
+        sized.withColumnRenamed("node", "cls"), "cls"
+    )
+    several = placed.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
+    return written(placed.join(several.select("sig"), "sig", "left_semi"), "open")
+
+
+def _across(open_: DataFrame, placed: DataFrame, closest: bool, block: int = BLOCK) -> DataFrame:
+    """Pairs (a, b) in one signature's group whose classes are in different components p < q,
+    and how far ``apart`` their maps are, in thousandths of both sizes. With ``closest``,
+    of the pairs of two components only the closest that a task sees.
 
     Signatures with the same classes are one group, with the largest room each class
     has in any of them, so that a passage many texts share is compared once and not
     once a shingle. The members of a group's largest component are never compared with
     each other; the rest is dealt in blocks, and a task meets two blocks of a group.
     Groups with the same first class, which mostly share their members, follow each other
-    in a few tasks, and a pair found in many of them leaves a task once. Sizes, rooms and the maps of
-    ``placed`` rule out pairs that must differ in too many tokens, never a link.
+    in one task, and a pair found in many of them leaves it once. Sizes, rooms and the maps
+    of ``placed`` rule out pairs that must differ in too many tokens, never a link.
     """
     import pyarrow as pa
 
-    sizes = roots.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-    sized = written(roots.join(sizes, "root"), "sized")
-    rows = busy.join(sized, busy["cls"] == sized["node"]).select("sig", "cls", "n", "room", "root", "size")
-    several = rows.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
-    open_ = written(rows.join(several.select("sig"), "sig", "left_semi"), "open")
     members = open_.groupBy("sig").agg(
         F.count(F.lit(1)).alias("many"), F.max(F.struct("size", "root")).alias("most"), F.min("cls").alias("low"),
         F.bit_xor(F.xxhash64("cls")).alias("one"),
@@ -399,14 +415,13 @@ def _across(busy: DataFrame, roots: DataFrame, placed: DataFrame, block: int = B
     order = ["low", "i", "j", "many", "one", "two"]
     dealt = cut.select(*key, "cls", "room", "n", "root", F.explode(units).alias("unit")).select(
         *key, "cls", "room", "n", "root", "unit.*"
-    ).withColumn("salt", F.pmod("one", F.lit(SALTS))).join(maps, "cls")
-    dealt = dealt.repartition("low", "i", "j", "salt").sortWithinPartitions(*order)
+    ).join(maps, "cls").repartition("low", "i", "j").sortWithinPartitions(*order)
 
     def run(batches):
         for table in _whole_units(batches, order):
             column = {c: table.column(c).to_numpy() for c in ("cls", "room", "n", "root", "side", "unit")}
             bits = np.stack([table.column(w).to_numpy() for w in words], axis=1).view(np.uint64)
-            found = [np.zeros((0, 3), dtype=np.int64)]
+            found = [np.zeros((0, 5), dtype=np.int64)]
             for p, q in _meetings(column["unit"], column["side"]):
                 n, m = column["n"][p], column["n"][q]
                 fits = np.minimum(column["room"][p], column["room"][q]) * (TIMES + LEAST) >= (n + m) * LEAST
@@ -414,13 +429,21 @@ def _across(busy: DataFrame, roots: DataFrame, placed: DataFrame, block: int = B
                 p, q, both = p[fits], q[fits], (n + m)[fits]
                 apart = np.bitwise_count(bits[p] ^ bits[q]).sum(axis=1, dtype=np.int64)
                 near = apart * (TIMES + LEAST) <= both * (TIMES - LEAST)
-                a, b = column["cls"][p[near]], column["cls"][q[near]]
-                share = 1000 * apart[near] // both[near]
-                found.append(np.unique(np.stack([np.minimum(a, b), np.maximum(a, b), share], axis=1), axis=0))
-            pairs = np.unique(np.concatenate(found), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in pairs.T.copy()], names=["a", "b", "apart"])
+                p, q = p[near], q[near]
+                ends = [f(column[c][p], column[c][q]) for c in ("root", "cls") for f in (np.minimum, np.maximum)]
+                found.append(_sifted(np.stack([*ends[:2], 1000 * apart[near] // both[near], *ends[2:]], axis=1), closest))
+            pairs = _sifted(np.concatenate(found), closest)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in pairs.T.copy()], names=["p", "q", "apart", "a", "b"])
+
+    return dealt.mapInArrow(run, "p long, q long, apart long, a long, b long").distinct()
+
 
-    return dealt.mapInArrow(run, "a long, b long, apart long").distinct()
+def _sifted(pairs: np.ndarray, closest: bool) -> np.ndarray:
+    """Distinct rows (p, q, apart, a, b), in order; with ``closest`` the first of each p, q."""
+    pairs = np.unique(pairs, axis=0)
+    if not closest or not len(pairs):
+        return pairs
+    return pairs[np.concatenate(([True], (pairs[1:, :2] != pairs[:-1, :2]).any(axis=1)))]
 
 
 def _whole_units(batches, key: list[str]):
@@ -475,7 +498,7 @@ def _meetings(unit: np.ndarray, side: np.ndarray):
 
 
 def _one_text(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """A text for each class of ``wanted`` (cls).
+    """A text, its size n and its finer parity map for each class of ``wanted`` (cls).
 
     A sieve of hashed bits, of fixed size, keeps most other texts out of the shuffle;
     the join decides.
@@ -497,7 +520,7 @@ def _one_text(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     def run(batches):
         shingler, known = Shingler(), set()
         for _, texts in _texts(batches):
-            kept, classes = [], []
+            kept, classes, sizes, maps = [], [], [], []
             for text in texts:
                 tokens = shingler(text)
                 if not len(tokens):
@@ -510,18 +533,33 @@ def _one_text(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     known.add(cls)
                 kept.append(text)
                 classes.append(cls)
+                sizes.append(len(tokens))
+                maps.append(parity_map(tokens, FINE_WORDS))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(classes, pa.int64()), pa.array(kept, pa.string())], names=["cls", "text"])
+                [pa.array(classes, pa.int64()), pa.array(kept, pa.string()), pa.array(sizes, pa.int64()),
+                 pa.array(maps, pa.list_(pa.int64()))], names=["cls", "text", "n", "map"])
 
-    texts = docs.select("text").mapInArrow(run, "cls long, text string")
-    return texts.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.min("text").alias("text"))
+    texts = docs.select("text").mapInArrow(run, "cls long, text string, n long, map array<long>")
+    # sets of one class are equal, so any of its rows will do
+    return texts.join(wanted, "cls", "left_semi").groupBy("cls").agg(
+        *[F.first(c).alias(c) for c in ("text", "n", "map")]
+    )
 
 
 def verify(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Of the candidate pairs (a, b), those whose sets are similar enough; ``texts`` has a
-    text of each class."""
+    """Of the candidate pairs (a, b), those whose sets are similar enough. ``texts`` is that
+    of ``_one_text``; its maps rule most other pairs out before texts are shuffled."""
     import pyarrow as pa
 
+    a = texts.select(F.col("cls").alias("a"), "n", "map")
+    b = texts.select(F.col("cls").alias("b"), F.col("n").alias("m"), F.col("map").alias("other"))
+    apart = F.aggregate(
+        F.zip_with("map", "other", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x
+    )
+    pairs = written(
+        pairs.join(a, "a").join(b, "b").filter(apart * (TIMES + LEAST) <= (F.col("n") + F.col("m")) * (TIMES - LEAST))
+        .select("a", "b"), "near",
+    )
     sides = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls")))
     texts = texts.join(written(sides.distinct(), "sides"), "cls", "left_semi")
     one = texts.select(F.col("cls").alias("a"), F.col("text").alias("one"))
@@ -554,15 +592,6 @@ def verify(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long")
 
 
-def _still_apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """``pairs`` with the components p < q of their classes, where these differ."""
-    one = roots.select(F.col("node").alias("a"), F.col("root").alias("r"))
-    two = roots.select(F.col("node").alias("b"), F.col("root").alias("s"))
-    return pairs.join(one, "a").join(two, "b").filter("r <> s").select(
-        "a", "b", "apart", F.least("r", "s").alias("p"), F.greatest("r", "s").alias("q")
-    )
-
-
 def _merged(roots: DataFrame, joined: DataFrame) -> DataFrame:
     """``roots`` after the components p and q of each row of ``joined`` became one."""
     edges = written(joined.select(F.col("p").alias("a"), F.col("q").alias("b")).distinct(), "edges")
@@ -580,19 +609,20 @@ def _grouped(docs: DataFrame) -> DataFrame:
     texts = written(_one_text(docs, nodes.withColumnRenamed("node", "cls")), "texts")
     pairs = written(_star(busy), "star")
     roots = written(components(nodes, written(verify(texts, pairs), "links")), "roots")
-    left = written(_across(busy, roots, placed).join(pairs, ["a", "b"], "left_anti"), "across")
+    open_ = busy
     for round_ in range(ROUNDS + 1):
-        apart = _still_apart(left, roots)
-        if round_ < ROUNDS:  # one pair of each two components; they mostly join many more
-            apart = written(apart, "apart")
-            closest = apart.groupBy("p", "q").agg(F.min(F.struct("apart", "a", "b")).alias("best"))
-            tried = written(closest.select("p", "q", "best.a", "best.b"), "tried")
-            left = apart.join(tried, ["a", "b"], "left_anti").select("a", "b", "apart")
-        else:
-            tried = written(apart, "tried")
+        open_ = _open(open_, roots)
+        # one pair of each two components, which mostly joins many more; then all that is left
+        closest = round_ < ROUNDS
+        found = written(_across(open_, placed, closest), "across")
+        if closest:
+            found = found.groupBy("p", "q").agg(F.min(F.struct("apart", "a", "b")).alias("best")).select(
+                "p", "q", "best.a", "best.b"
+            )
+        tried = written(found.select("p", "q", "a", "b"), "tried")
         if tried.isEmpty():
             break
-        links = written(verify(texts, tried), "links")
+        links = written(verify(texts, tried.select("a", "b")), "links")
         roots = written(_merged(roots, links.join(tried, ["a", "b"]).select("p", "q")), "roots")
     class_root = placed.filter("cls IS NOT NULL").join(
         roots, placed["cls"] == roots["node"], "left"
