@@ -132,7 +132,7 @@ def test_blocks_meet_all_components(spark, monkeypatch):
     """Many small blocks, and a large component beside texts just below the threshold."""
     monkeypatch.setattr(shingle_join, "TOGETHER", 50)
     monkeypatch.setattr(shingle_join, "PAIRS", 100)
-    monkeypatch.setattr(shingle_join._across, "__defaults__", (8,))
+    monkeypatch.setattr(shingle_join._across, "__defaults__", (8,))  # block
     draw = random.Random(5)
     base = [f"w{i}" for i in range(100)]
     rows = []
