@@ -165,8 +165,8 @@ def fact_by_dimension(m: Mart) -> DataFrame:
 
 
 def left_join(m: Mart) -> DataFrame:
-    recent = m.orders.filter(F.col("order_date") >= day(date(2001, 7, 1)))
-    counts = recent.groupBy("customer_id").agg(_one("n_orders"))
+    """Every customer with the number of their orders; none is null."""
+    counts = m.orders.groupBy("customer_id").agg(_one("n_orders"))
     return m.customers.select("customer_id").join(counts, "customer_id", "left")
 
 
@@ -302,11 +302,14 @@ def scalar_lookup(m: Mart) -> DataFrame:
 
 
 def lookup_with_default(m: Mart) -> DataFrame:
-    known = m.categories.filter("category_id < 4").select(
+    """Category ids by name over all categories; every fiftieth product names an unknown one."""
+    known = m.categories.select(
         F.col("category_id").alias("_id"), F.col("category_name").alias("_name")
     )
+    name = F.col("category_name")
+    unknown = F.when(F.col("product_key") % 50 == 0, F.concat(F.lit("Old "), name)).otherwise(name)
     return lookup(
-        m.products.select("product_key", "category_name"), known,
+        m.products.select("product_key", unknown.alias("category_name")), known,
         F.col("category_name") == F.col("_name"), "_id", "category_id", 1,
     )
 

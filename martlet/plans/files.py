@@ -515,11 +515,11 @@ def overwrite_load(m: Mart) -> DataFrame:
 
 
 def inserted_rows(m: Mart) -> DataFrame:
-    """Two inserts into a stored table, the second lacking a column."""
+    """Two inserts of all orders into a stored table, the second lacking a column."""
     tables = Tables(m.spark, fresh_path(m.spark, "warehouse"))
     tables.insert("orders", m.orders.filter(F.col("status") == "SHIPPED"))
     return tables.insert(
-        "orders", m.orders.filter(F.col("status") == "PENDING").drop("freight")
+        "orders", m.orders.filter(~F.col("status").eqNullSafe("SHIPPED")).drop("freight")
     ).select("order_id", "status", "freight")
 
 

@@ -109,10 +109,11 @@ def validation_summary(m: Mart) -> DataFrame:
 # ---- counts and ratios ---------------------------------------------------------------
 
 def orphans(m: Mart) -> DataFrame:
-    """Rows that refer to nothing: products to suppliers, items to orders."""
-    known = m.suppliers.filter("supplier_id <> 3").select("supplier_id")
+    """Rows that refer to nothing: products to suppliers and categories, items to orders."""
+    products_ = m.product_master
     pairs = (
-        ("products_without_supplier", without_match(m.product_master, known, "supplier_id")),
+        ("products_without_supplier", without_match(products_, m.suppliers.select("supplier_id"), "supplier_id")),
+        ("products_without_category", without_match(products_, m.categories.select("category_id"), "category_id")),
         ("items_without_order", without_match(m.items, m.orders.select("order_id"), "order_id")),
     )
     counts = [
@@ -190,10 +191,9 @@ def date_checks(m: Mart) -> DataFrame:
 
 
 def freshness(m: Mart, days: int = 30) -> DataFrame:
-    """Share of customers whose first order lies in the last days before the newest."""
-    first = m.orders.groupBy("customer_id").agg(F.max("order_date").alias("last_order"))
-    recent = F.count_if(F.col("last_order") >= F.date_sub(day(m.as_of), days))
-    return first.agg(
+    """Share of all customers that registered in the last days before the report date."""
+    recent = F.count_if(F.col("registration_date") >= F.date_sub(day(m.as_of), days))
+    return customers(m).agg(
         F.count(F.lit(1)).alias("total_customers"),
         recent.alias("recent_customers"),
         (half_up(recent * 10000, F.count(F.lit(1))) / F.lit(100.0)).alias("recent_percent"),

@@ -51,7 +51,7 @@ SELECT {big(f'COUNT(*) FILTER (order_date >= {AS_OF} - 30)')} AS last_30_days,
 SQL["j01_fact_by_dimension"] = f"SELECT region, {dbl('line_total')} AS total_revenue FROM item JOIN rdim USING (sales_rep_key) GROUP BY 1"
 SQL["j02_left_join"] = """
 SELECT cdim.customer_key AS customer_id, n_orders FROM cdim LEFT JOIN (SELECT customer_key, COUNT(*) AS n_orders FROM heads
-  WHERE order_date >= DATE '2001-07-01' GROUP BY 1) AS t USING (customer_key)"""
+  GROUP BY 1) AS t USING (customer_key)"""
 SQL["j03_star_join"] = f"""
 SELECT year_number, segment_name, product_line, region, {dbl('line_total')} AS total_revenue
 FROM fact JOIN cal ON order_date = date_actual JOIN cdim USING (customer_key) JOIN pdim USING (product_key) JOIN rdim USING (sales_rep_key) GROUP BY ALL"""
@@ -77,7 +77,9 @@ SQL["j11_scalar_lookup"] = """
 SELECT sales_rep_key, territory_name, n_nationkey AS territory_id, (SELECT MAX(n_nationkey) FROM place) AS newest_territory
 FROM rdim JOIN place ON territory_name = n_name"""
 SQL["j12_lookup_with_default"] = """
-SELECT product_key, category_name, CAST(CASE category_name WHEN 'ECONOMY' THEN 1 WHEN 'LARGE' THEN 2 WHEN 'MEDIUM' THEN 3 ELSE 1 END AS BIGINT) AS category_id FROM pdim"""
+SELECT product_key, name AS category_name, CAST(COALESCE(category_id, 1) AS BIGINT) AS category_id
+FROM (SELECT product_key, CASE WHEN product_key % 50 = 0 THEN 'Old ' || category_name ELSE category_name END AS name FROM pdim) AS p
+LEFT JOIN category ON category.category_name = name"""
 SQL["j14_merge_join"] = """
 SELECT product_key, CASE WHEN supplier_name = 'Brand#7' THEN 'insert' WHEN category_name = 'PROMO' THEN 'keep' WHEN product_key % 3 <> 0 THEN 'update' ELSE 'same' END AS action
 FROM pdim WHERE NOT (supplier_name = 'Brand#7' AND category_name = 'PROMO')"""

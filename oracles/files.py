@@ -219,7 +219,7 @@ SQL["m01_truncate_and_load"] = f"""
 SELECT customer_type, {big('COUNT(*)')} AS loaded_count FROM tc WHERE reject_reason IS NULL GROUP BY 1"""
 SQL["m02_overwrite_load"] = "SELECT order_id, status FROM heads WHERE status = 'SHIPPED'"
 SQL["m03_inserted_rows"] = """
-SELECT order_id, status, CASE WHEN status = 'SHIPPED' THEN freight END AS freight FROM heads WHERE status <> 'PROCESSING'"""
+SELECT order_id, status, CASE WHEN status = 'SHIPPED' THEN freight END AS freight FROM heads"""
 SQL["m04_deleted_rows"] = "SELECT order_id, order_date FROM heads WHERE year(order_date) <> 1998"
 SQL["m05_updated_rows"] = """
 SELECT order_id, CASE WHEN status = 'PENDING' AND order_date < DATE '1996-01-01' THEN 'CANCELLED' ELSE status END AS status,

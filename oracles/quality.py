@@ -27,7 +27,8 @@ SQL["c05_validation_run"] = f"{C1} UNION ALL {C2} UNION ALL {C3} UNION ALL {C4}"
 SQL["c05_validation_summary"] = f"""
 SELECT table_name, issue_type, {big('COUNT(*)')} AS issues_found FROM ({SQL['c05_validation_run']}) AS v GROUP BY 1, 2"""
 SQL["c06_orphans"] = f"""
-SELECT 'products_without_supplier' AS check_name, {big('COUNT(*)')} AS n_rows FROM pmaster WHERE supplier_id = 3
+SELECT 'products_without_supplier' AS check_name, {big('COUNT(*)')} AS n_rows FROM pmaster WHERE supplier_id NOT IN (SELECT supplier_id FROM brand)
+UNION ALL SELECT 'products_without_category', {big('COUNT(*)')} FROM pmaster WHERE category_id NOT IN (SELECT category_id FROM category)
 UNION ALL SELECT 'items_without_order', {big('COUNT(*)')} FROM item WHERE order_id NOT IN (SELECT order_id FROM heads)"""
 CTES["qp"] = """
 SELECT product_number, product_name, TRY_CAST(unit_price AS DECIMAL(10,2)) AS unit_price, TRY_CAST(cost AS DECIMAL(10,2)) AS cost FROM rawp"""
@@ -55,7 +56,7 @@ SELECT {big(f"COUNT(*) FILTER (b > {AS_OF} OR b < DATE '1900-01-01' OR g > {AS_O
   {big('COUNT(*) FILTER (b IS NULL)')} AS unreadable_birth_dates
 FROM (SELECT TRY_CAST(birth_date AS DATE) AS b, TRY_CAST(registration_date AS DATE) AS g FROM rawc) AS x"""
 SQL["c12_freshness"] = f"""
-WITH f AS (SELECT customer_key, MAX(order_date) AS d FROM heads GROUP BY 1)
+WITH f AS (SELECT TRY_CAST(registration_date AS DATE) AS d FROM rawc)
 SELECT {big('COUNT(*)')} AS total_customers, {big(f'COUNT(*) FILTER (d >= {AS_OF} - 30)')} AS recent_customers,
   {r2(f'COUNT(*) FILTER (d >= {AS_OF} - 30) * 10000', 'COUNT(*)')} AS recent_percent FROM f"""
 _V = {"customer": (1000, 100000), "part": (100, 10000), "supplier": (10, 1000), "nation": (5, 100), "orders": (100, 2**62), "lineitem": (100, 2**62)}

@@ -28,8 +28,3 @@ def sf_dir():
 def mart(spark, sf_dir):
     return Mart(spark, sf_dir)
 
-
-def rows(df, *columns):
-    """Rows as sorted tuples."""
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=repr)

@@ -1,7 +1,7 @@
 from datetime import date, datetime
 
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from martlet.plans import basics, builds, business, calendar, etl, features, models, reports, synth

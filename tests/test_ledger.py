@@ -4,7 +4,7 @@ import random
 from datetime import date
 
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from martlet.operators import ledger

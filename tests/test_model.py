@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from frames import rows
 
 from martlet import model
 from martlet.operators import scd2
