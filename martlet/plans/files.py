@@ -197,10 +197,10 @@ def copy_suppliers(m: Mart) -> DataFrame:
 
 def _with_ids(m: Mart, rows: DataFrame, category: str, supplier: str) -> DataFrame:
     """Category and supplier ids by name; names without a match get id 1."""
-    known = m.suppliers.filter("supplier_id > 4").select(
+    known = m.suppliers.select(
         F.col("supplier_id").alias("_sid"), F.col("supplier_name").alias("_sname")
     )
-    groups = m.categories.filter("category_id <> 5").select(
+    groups = m.categories.select(
         F.col("category_id").alias("_cid"), F.col("category_name").alias("_cname")
     )
     with_category = lookup(
@@ -211,8 +211,18 @@ def _with_ids(m: Mart, rows: DataFrame, category: str, supplier: str) -> DataFra
     )
 
 
+def _named_products(m: Mart) -> DataFrame:
+    """Raw products; those of two sizes name a category or a supplier nobody knows."""
+    def old(column: str, size: str) -> Column:
+        return F.when(F.col("size") == size, F.concat(F.lit("Old "), F.col(column))).otherwise(F.col(column))
+
+    return raw.products(m).drop("file_name").withColumns(
+        {"category_name": old("category_name", "9"), "supplier_name": old("supplier_name", "7")}
+    )
+
+
 def copy_products(m: Mart) -> DataFrame:
-    source = raw.products(m).drop("file_name").withColumn("number", F.lit("0"))
+    source = _named_products(m).withColumn("number", F.lit("0"))
     source = source.select("number", *schemas.RAW_PRODUCTS)
     rows, _ = files.copy_rows(m.spark, _stage(m, source, "products"), len(source.columns))
     return _with_ids(m, rows, "c4", "c5").select(
@@ -379,7 +389,7 @@ def loaded_customers(m: Mart) -> DataFrame:
 
 
 def loaded_products(m: Mart) -> DataFrame:
-    source = raw.products(m).drop("file_name")
+    source = _named_products(m)
     rows = files.read_csv(m.spark, _stage(m, source, "products"), source.columns)
     return _with_ids(m, rows, "category_name", "supplier_name").select(
         "product_number", "product_name", "category_id", "supplier_id", "description", "color",

@@ -104,8 +104,8 @@ SQL["s06b_copy_categories"] = """
 SELECT category_name, description, TRY_CAST(NULLIF(parent_category_id, '') AS BIGINT) AS parent_category_id FROM raw_categories"""
 SQL["s06c_copy_suppliers"] = f"SELECT * EXCLUDE (supplier_id, file_name, rating), {dec('rating', '(3,1)')} FROM raw_suppliers"
 CTES["ided"] = """
-SELECT rawp.*, CASE WHEN category_name = 'SMALL' THEN 1 ELSE CAST(category.category_id AS BIGINT) END AS category_id,
-  CASE WHEN CAST(split_part(supplier_name, '#', 2) AS BIGINT) <= 4 THEN 1 ELSE CAST(split_part(supplier_name, '#', 2) AS BIGINT) END AS supplier_id
+SELECT rawp.*, CASE WHEN size = '9' THEN 1 ELSE CAST(category.category_id AS BIGINT) END AS category_id,
+  CASE WHEN size = '7' THEN 1 ELSE CAST(split_part(supplier_name, '#', 2) AS BIGINT) END AS supplier_id
 FROM rawp JOIN category USING (category_name)"""
 SQL["s06d_copy_products"] = f"""
 SELECT product_number, product_name, category_id, supplier_id, description, color, size,
