@@ -623,6 +623,25 @@ def exported_csv(m: Mart) -> DataFrame:
     return rows.withColumn("price_c", to_type("price_c", "bigint"))
 
 
+def named_runs(m: Mart) -> DataFrame:
+    """Status lines of runs by name: a good table, an unknown one, and one that fails
+    because nothing was staged for it; the failure stops neither of the others."""
+    tables = Tables(m.spark, fresh_path(m.spark, "warehouse"))
+    tables.replace("stg_customers_raw", raw.customers(m))
+    names = ("CUSTOMERS", "ORDERS", "PRODUCTS")
+    lines = {n: etl.run_named(tables, n, {}, m.as_of) for n in names}
+    said = F.array(*[
+        F.struct(F.lit(n).alias("table_name"), F.lit(line).alias("line")) for n, line in lines.items()
+    ])
+    clean = tables.read("stg_customers_clean").filter("validation_status = 'VALID'")
+    loaded = clean.agg(F.count(F.lit(1))).scalar()
+    return m.spark.range(1).select(F.inline(said)).select(
+        "table_name",
+        F.regexp_extract("line", "^[A-Z]+: ([A-Z]+)", 1).alias("status"),
+        F.when(F.col("table_name") == "CUSTOMERS", loaded).alias("loaded"),
+    )
+
+
 ALL = {
     "s01_csv_scan": csv_scan,
     "s02_json_scan": json_scan,
@@ -668,6 +687,7 @@ ALL = {
     "m09_process_log": process_log,
     "m10_lineage_rows": lineage_rows,
     "m11_restored_snapshot": restored_snapshot,
+    "u03_named_runs": named_runs,
     "m12_exported_csv": exported_csv,
     "b09_stored_fact_months": stored_fact_months,
     "b09_stored_fact_territories": stored_fact_territories,

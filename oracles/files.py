@@ -245,3 +245,6 @@ SQL["m12_exported_csv"] = """
 SELECT product_number, product_name, category_name, CAST(list_price * 100 AS BIGINT) AS price_c FROM pdim"""
 SQL["b09_stored_fact_months"] = REPORTS["q11_monthly_comparison"]
 SQL["b09_stored_fact_territories"] = VIEWS["v04_territory_sales_analysis"]
+SQL["u03_named_runs"] = f"""
+SELECT 'CUSTOMERS' AS table_name, 'SUCCESS' AS status, {big('COUNT(*)')} AS loaded FROM tc WHERE reject_reason IS NULL
+UNION ALL SELECT 'ORDERS', 'SKIPPED', NULL UNION ALL SELECT 'PRODUCTS', 'ERROR', NULL"""
