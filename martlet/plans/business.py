@@ -507,6 +507,7 @@ IMPROVEMENTS = (
     "Cross-functional collaboration",
     "Strategic thinking, delegation",
 )
+DEVELOPMENT_PLAN = "Focus on professional development courses and mentoring opportunities"
 
 
 def performance_reviews(m: Mart) -> DataFrame:
@@ -535,6 +536,7 @@ def performance_reviews(m: Mart) -> DataFrame:
         F.lit(8).alias("total_goals"),
         pick(STRENGTHS, "strength").alias("strengths"),
         pick(IMPROVEMENTS, "improve").alias("areas_for_improvement"),
+        F.lit(DEVELOPMENT_PLAN).alias("development_plan"),
         raise_pct.alias("salary_increase_percent"),
         (draw_int("promotion", 250, 450, key) >= 400).alias("promotion_eligible"),
     )

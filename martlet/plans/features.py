@@ -11,6 +11,7 @@ from martlet.functions.dates import day, years_between
 from martlet.functions.draws import draw
 from martlet.functions.money import mean_amount, ratio
 from martlet.operators import quantiles
+from martlet.operators.keys import number_rows
 from martlet.operators.series import full_window_sum, lag_of, ordinal
 from martlet.plans import calendar
 from martlet.plans.views import add_up, money
@@ -18,38 +19,55 @@ from martlet.session import written
 from martlet.sources.mart import Mart, line_totals
 
 
-def _labels(column: str) -> Column:
-    """Sorted distinct values of a categorical column; NULL counts as 'Unknown'.
+NO_LABEL = "Unknown"
 
-    For columns with a fixed domain only: the set has one entry per label, and is
-    merged on the map side, so its size does not depend on the number of rows.
+
+def numbered_labels(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``column, label, code``: alphabetical codes 0, 1, ... of each column's values.
+
+    NULL counts as 'Unknown'. One pass finds the distinct labels of all columns; they
+    are numbered by range, so neither a column with very many labels nor a hot label
+    ends in one array or task. Each code is the place less the column's first place.
     """
-    return F.array_sort(F.collect_set(F.coalesce(column, F.lit("Unknown"))))
+    values = F.explode(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(c).alias("column"),
+                    F.coalesce(F.col(c).cast("string"), F.lit(NO_LABEL)).alias("label"),
+                )
+                for c in columns
+            ]
+        )
+    )
+    distinct = written(df.select(values.alias("v")).select("v.*").distinct(), "labels")
+    placed = number_rows(distinct, ["column", "label"], 0, "place")
+    first = placed.groupBy("column").agg(F.min("place").alias("first"))
+    return placed.join(first, "column").select(
+        "column", "label", (F.col("place") - F.col("first")).alias("code")
+    )
 
 
 def label_codes(df: DataFrame, column: str) -> DataFrame:
     """Alphabetical codes 0, 1, ... of a categorical column's values."""
-    return df.agg(_labels(column).alias("labels")).select(
-        F.posexplode("labels").alias("pos", "label")
-    ).select("label", F.col("pos").cast("bigint").alias("code"))
+    return numbered_labels(df, [column]).select("label", "code")
 
 
 def encode(df: DataFrame, source: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """Add the label code of each column under a new name.
+    """Add the label code of each column under a new name; a label that ``source``
+    does not hold gets NULL.
 
-    The labels of all columns come from one aggregate over ``source`` and are used
-    as scalar subqueries, so encoding joins nothing.
+    The codes are joined: by broadcast while they are few, else by label, where
+    adaptive execution splits the hot ones.
     """
-    labels = source.agg(*[_labels(c).alias(c) for c in columns])
-    return df.withColumns(
-        {
-            name: F.array_position(
-                labels.select(c).scalar(), F.coalesce(F.col(c), F.lit("Unknown"))
-            )
-            - 1
-            for c, name in columns.items()
-        }
-    )
+    codes = written(numbered_labels(source, list(columns)), "label-codes")
+    for column, name in columns.items():
+        one = codes.filter(F.col("column") == column).select(
+            F.col("label").alias("_label"), F.col("code").alias(name)
+        )
+        label = F.coalesce(F.col(column).cast("string"), F.lit(NO_LABEL))
+        df = df.join(one, label == F.col("_label"), "left").drop("_label")
+    return df
 
 
 def _profile(m: Mart) -> DataFrame:

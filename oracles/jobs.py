@@ -130,6 +130,7 @@ SQL["e12_performance_reviews"] = f"""
 SELECT employee_id, DATE '2000-01-01' AS review_period_start, DATE '2000-12-31' AS review_period_end, manager_id AS reviewer_id,
   {draw_int('score', 250, 450, 'employee_id')} / 100.0::DOUBLE AS performance_score, {draw_int('goals', 3, 8, 'employee_id')} AS goals_met,
   8 AS total_goals, {_pick(_STRENGTH, 'strength')} AS strengths, {_pick(_IMPROVE, 'improve')} AS areas_for_improvement,
+  'Focus on professional development courses and mentoring opportunities' AS development_plan,
   CASE WHEN {draw_int('raise_score', 250, 450, 'employee_id')} >= 350 THEN {draw_int('raise_high', 3, 8, 'employee_id')}
     ELSE {draw_int('raise_low', 0, 3, 'employee_id')} END AS salary_increase_percent,
   {draw_int('promotion', 250, 450, 'employee_id')} >= 400 AS promotion_eligible
