@@ -132,11 +132,11 @@ def incremental_copy(m: Mart) -> DataFrame:
 
 # ---- bulk copy --------------------------------------------------------------------
 
-def bulk_copy(m: Mart) -> DataFrame:
-    """Positional copy of order lines of text; rows with extra fields are skipped and
-    numbers that do not parse become NULL."""
+def _order_lines(m: Mart) -> str:
+    """Orders as lines of text; every fortieth key has two fields too many, and every
+    ninetieth breaks off after the second."""
     key = F.col("o_orderkey")
-    text = F.concat_ws(
+    whole = F.concat_ws(
         ",",
         key.cast("string"),
         F.col("o_custkey").cast("string"),
@@ -144,9 +144,17 @@ def bulk_copy(m: Mart) -> DataFrame:
         F.concat(F.lit('"'), F.col("o_orderpriority"), F.lit(', urgent"')),
         F.when(key % 40 == 0, "surplus,fields"),
     )
+    short = F.concat_ws(",", key.cast("string"), F.col("o_custkey").cast("string"))
     path = fresh_path(m.spark, "copy")
+    text = F.when(key % 90 == 7, short).otherwise(whole)
     m.table("orders").select(text.alias("line")).write.text(path)
-    rows, _ = files.copy_rows(m.spark, path, 4, header=False)
+    return path
+
+
+def bulk_copy(m: Mart) -> DataFrame:
+    """Positional copy of order lines of text; rows with too many or too few fields are
+    skipped and numbers that do not parse become NULL."""
+    rows, _ = files.copy_rows(m.spark, _order_lines(m), 4, header=False)
     return files.project(
         rows,
         order_id=to_type("c1", "bigint"),
@@ -156,6 +164,34 @@ def bulk_copy(m: Mart) -> DataFrame:
     )
 
 
+def refused_rows(m: Mart) -> DataFrame:
+    """The order lines a bulk copy skips, each with its reason."""
+    refused = files.refused_rows(m.spark, _order_lines(m), 4, header=False)
+    return refused.select(
+        F.split_part("record", F.lit(","), F.lit(1)).cast("bigint").alias("order_id"),
+        "n_fields",
+        "reason",
+        (F.col("row_number") > 0).alias("has_row_number"),
+    )
+
+
+def stage_accounts(m: Mart) -> DataFrame:
+    """Files and rows of a stage folder by batch: read, refused, or without rows. One
+    batch of Parquet files is text under a Parquet name."""
+    path = fresh_path(m.spark, "accounts")
+    events = m.table("events")
+    events.select("event_id", "value", F.col("event_type").alias("batch")).write.partitionBy(
+        "batch"
+    ).parquet(path)
+    events.select("props").write.text(f"{path}/batch=broken")
+    accounts = files.file_accounts(
+        m.spark, path, "parquet", "event_id bigint, value double", "part-*"
+    )
+    return accounts.groupBy(
+        F.regexp_extract("path", "/batch=([^/]*)/", 1).alias("batch"), "status"
+    ).agg(F.sum("n_rows").alias("n_rows"), F.sum("n_refused").alias("n_refused"))
+
+
 def _positional(m: Mart, name: str) -> DataFrame:
     source = raw.REFERENCE[name](m).drop("file_name")
     rows, _ = files.copy_rows(m.spark, _stage(m, source, name), len(source.columns))
@@ -649,7 +685,9 @@ ALL = {
     "s03_parquet_scan": parquet_scan,
     "s05_stage_scan": stage_scan,
     "s05_incremental_copy": incremental_copy,
+    "s05_stage_accounts": stage_accounts,
     "s06_bulk_copy": bulk_copy,
+    "s06_refused_rows": refused_rows,
     "s06a_copy_segments": copy_segments,
     "s06b_copy_categories": copy_categories,
     "s06c_copy_suppliers": copy_suppliers,

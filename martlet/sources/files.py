@@ -66,6 +66,95 @@ def copy_rows(
     return good, raw.filter(F.col(CORRUPT).isNotNull() & parsed).select(CORRUPT)
 
 
+def refused_rows(spark: SparkSession, path: str, width: int, header: bool = True) -> DataFrame:
+    """The rows ``copy_rows`` refuses, as an account: ``file_name, row_number,
+    n_fields, reason, record``.
+
+    Rows are numbered from 1 in each file, its header not counted; empty lines are no
+    rows. Commas between quotes separate nothing.
+    """
+    columns = [f"c{i}" for i in range(1, width + 1)]
+    raw = (
+        spark.read.options(**CSV_OPTIONS)
+        .option("header", header)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("columnPruning", False)
+        .schema(_text_schema([*columns, CORRUPT]))
+        .csv(path)
+    )
+    bare = F.regexp_replace("record", '"[^"]*"', "")
+    found = F.length(bare) - F.length(F.replace(bare, F.lit(","))) + 1
+    text = F.concat(
+        F.when(F.col("n_fields") < width, "too few").otherwise("too many"),
+        F.lit(f" fields: {width} expected, "), F.col("n_fields").cast("string"), F.lit(" found"),
+    )
+    # Every row is placed, so that a refused one knows its number; good rows keep no text.
+    rows = _numbered(raw.select(F.col(CORRUPT).alias("record"), F.coalesce("c1", F.lit("")).alias("c1")))
+    return (
+        rows.filter("record IS NOT NULL")
+        .withColumn("n_fields", found)
+        .select("file_name", "row_number", "n_fields", text.alias("reason"), "record")
+    )
+
+
+def file_accounts(
+    spark: SparkSession, path: str, file_format: str, schema: str, pattern: str = "*",
+    **options: str,
+) -> DataFrame:
+    """One row for each file ``read_stage`` is given: ``path, bytes, n_rows, n_refused,
+    checksum, status``.
+
+    The listing names every matching file, the scan those that gave rows; a file that
+    is listed and gave none, because it is broken or holds none, is 'NO ROWS'. Spark
+    lists no file of zero bytes. Rows that do not fit the schema (text formats) are counted as refused. Every column is read, so
+    that a broken one shows; a file that breaks off midway counts the rows before that.
+    ``checksum`` is the exclusive or of the row hashes, to hold against another load.
+    """
+    is_text = file_format in ("csv", "json")
+    wanted = f"{schema}, {CORRUPT} string" if is_text else schema
+    if is_text:
+        options = {
+            "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "columnPruning": "false",
+            **options,
+        }
+    rows = read_stage(spark, path, file_format, wanted, pattern, **options)
+    refused = F.col(CORRUPT).isNotNull() if is_text else F.lit(False)
+    read = rows.select(
+        F.col("_metadata.file_path").alias("path"),
+        F.xxhash64(*rows.columns).alias("hash"),
+        refused.alias("refused"),
+    ).groupBy("path").agg(
+        F.count_if(~F.col("refused")).alias("n_rows"),
+        F.count_if("refused").alias("n_refused"),
+        F.bit_xor("hash").alias("checksum"),
+    )
+    listed = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", pattern)
+        .option("recursiveFileLookup", "true")
+        .load(path)
+        .select(F.col("_metadata.file_path").alias("path"), F.col("length").alias("bytes"))
+    )
+    status = (
+        F.when(F.col("checksum").isNull(), "NO ROWS")
+        .when(F.col("n_refused") > 0, "REFUSED ROWS")
+        .otherwise("LOADED")
+    )
+    # Written once: if a caller drops the checksum, the scan must still read all columns.
+    return written(
+        listed.join(read, "path", "left").select(
+            "path",
+            "bytes",
+            F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
+            F.coalesce("n_refused", F.lit(0)).alias("n_refused"),
+            "checksum",
+            status.alias("status"),
+        ),
+        "file-accounts",
+    )
+
+
 def project(rows: DataFrame, **columns: Column) -> DataFrame:
     return rows.select(*[c.alias(name) for name, c in columns.items()])
 
@@ -108,7 +197,8 @@ def read_stage(
     spark: SparkSession, path: str, file_format: str, schema: str, pattern: str = "*",
     max_partition_bytes: int | None = None, **options: str,
 ) -> DataFrame:
-    """All files below a folder whose names match; unreadable files are skipped."""
+    """All files below a folder whose names match; unreadable files are skipped, and
+    ``file_accounts`` names them."""
     if max_partition_bytes is not None:
         spark.conf.set("spark.sql.files.maxPartitionBytes", str(max_partition_bytes))
     return (
@@ -122,19 +212,16 @@ def read_stage(
     )
 
 
-def with_lineage(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """CSV rows with load time, file name and the row's number in its file.
+def _numbered(raw: DataFrame) -> DataFrame:
+    """``raw``, a file scan, with the file name and the row's number in its file.
 
     A file may be read as many splits. Rows of one split are consecutive in one
     task, so a row's number is its place in the split plus the sizes of the file's
     earlier splits; only one row per split is ever sorted.
     """
-    raw = (
-        spark.read.options(**CSV_OPTIONS).option("header", True).schema(_text_schema(columns)).csv(path)
-    )
     placed = written(
         raw.select(
-            *[null_token(c).alias(c) for c in columns],
+            "*",
             F.col("_metadata.file_name").alias("file_name"),
             F.col("_metadata.file_block_start").alias("_block"),
             F.monotonically_increasing_id().alias("_place"),
@@ -155,6 +242,17 @@ def with_lineage(spark: SparkSession, path: str, columns: list[str]) -> DataFram
     return (
         placed.join(offsets, ["file_name", "_block"])
         .withColumn("row_number", F.col("_before") + F.col("_place") - F.col("_first") + 1)
+        .drop("_block", "_place", "_first", "_before")
+    )
+
+
+def with_lineage(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """CSV rows with load time, file name and the row's number in its file."""
+    raw = (
+        spark.read.options(**CSV_OPTIONS).option("header", True).schema(_text_schema(columns)).csv(path)
+    )
+    return (
+        _numbered(raw.select(*[null_token(c).alias(c) for c in columns]))
         .withColumn("load_timestamp", F.current_timestamp())
         .select(*columns, "load_timestamp", "file_name", "row_number")
     )

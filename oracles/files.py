@@ -96,7 +96,15 @@ SELECT status, {big('COUNT(*)')} AS n, {big('SUM(order_id)')} AS id_sum FROM hea
 SQL["s06_bulk_copy"] = """
 SELECT o_orderkey AS order_id, o_custkey AS customer_id,
   CASE WHEN o_orderkey % 30 <> 1 THEN CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) END AS total,
-  o_orderpriority || ', urgent' AS priority FROM orders WHERE o_orderkey % 40 <> 0"""
+  o_orderpriority || ', urgent' AS priority FROM orders WHERE o_orderkey % 40 <> 0 AND o_orderkey % 90 <> 7"""
+SQL["s06_refused_rows"] = """
+SELECT o_orderkey AS order_id, CAST(k AS INTEGER) AS n_fields,
+  CASE WHEN k < 4 THEN 'too few' ELSE 'too many' END || ' fields: 4 expected, ' || k || ' found' AS reason, true AS has_row_number
+FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 90 = 7 THEN 2 ELSE 6 END AS k FROM orders
+  WHERE o_orderkey % 40 = 0 OR o_orderkey % 90 = 7) AS x"""
+SQL["s05_stage_accounts"] = f"""
+SELECT event_type AS batch, 'LOADED' AS status, {big('COUNT(*)')} AS n_rows, {big('0')} AS n_refused FROM events GROUP BY 1
+UNION ALL SELECT 'broken', 'NO ROWS', 0, 0"""
 SQL["s06a_copy_segments"] = f"""
 SELECT segment_name, description, {dec('min_annual_revenue', '(15,2)')}, {dec('max_annual_revenue', '(15,2)')},
   {dec('discount_rate', '(5,4)')} FROM raw_segments"""

@@ -147,6 +147,50 @@ def test_copy_skips_bad_rows(spark, tmp_path):
     assert bad.count() == 2
 
 
+def test_refused_rows_are_named(spark, tmp_path):
+    for name, n in (("a.csv", 400), ("b.csv", 7)):
+        lines = ["x,y"]
+        for i in range(1, n + 1):
+            lines.append({0: f'{i},"p, q",r', 1: f"{i}"}.get(i % 5, f'{i},"p, q"'))
+        write_lines(tmp_path / name, lines)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        got = files.refused_rows(spark, str(tmp_path), 2).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    want = {(f, i, 3 if i % 5 == 0 else 1) for f, n in (("a.csv", 400), ("b.csv", 7))
+            for i in range(1, n + 1) if i % 5 < 2}
+    assert {(r.file_name, r.row_number, r.n_fields) for r in got} == want
+    assert all(r.record.split(",")[0] == str(r.row_number) for r in got)
+    assert {r.reason for r in got} == {
+        "too few fields: 2 expected, 1 found", "too many fields: 2 expected, 3 found"
+    }
+
+
+def test_file_accounts(spark, tmp_path):
+    stage = tmp_path / "stage"
+    spark.range(100).coalesce(1).write.parquet(str(stage / "good"))
+    spark.range(10).coalesce(1).write.parquet(str(stage / "cut"))
+    cut = next((stage / "cut").glob("*.parquet"))
+    cut.with_name("x.parquet").write_bytes(cut.read_bytes()[:-20])
+    write_lines(stage / "text.parquet", ["no parquet at all"])
+    got = files.file_accounts(spark, str(stage), "parquet", "id bigint", "*.parquet").collect()
+    found = sorted((r.status, r.n_rows, r.n_refused) for r in got)
+    assert found == [("LOADED", 10, 0), ("LOADED", 100, 0), ("NO ROWS", 0, 0), ("NO ROWS", 0, 0)]
+    assert all(r.bytes > 0 and (r.checksum is None) == (r.status == "NO ROWS") for r in got)
+
+
+def test_account_of_refused_rows(spark, tmp_path):
+    write_lines(tmp_path / "a.csv", ["1,2", "3", "4,5,6", "7,8"])
+    write_lines(tmp_path / "b.csv", ["1,2"])
+    (tmp_path / "c.csv").write_text("\n")
+    (tmp_path / "d.csv").write_text("")
+    got = files.file_accounts(spark, str(tmp_path), "csv", "x int, y int", "*.csv").collect()
+    found = {r.path.rsplit("/", 1)[1]: (r.n_rows, r.n_refused, r.status) for r in got}
+    assert found == {"a.csv": (2, 2, "REFUSED ROWS"), "b.csv": (1, 0, "LOADED"),
+                     "c.csv": (0, 0, "NO ROWS")}
+
+
 def test_file_row_numbers(spark, tmp_path):
     for name, n in (("a.csv", 500), ("b.csv", 3)):
         write_lines(tmp_path / name, ["v"] + [f"{name}{i}" for i in range(n)])
