@@ -87,11 +87,12 @@ def products(m: Mart) -> DataFrame:
 
 def segments(m: Mart) -> DataFrame:
     """One row per market segment in the customer file, with an open upper bound and
-    one unreadable number."""
+    one unreadable number. A segment without an id yet has none, and no amounts."""
     names = m.table("customer").select(F.col("c_mktsegment").alias("segment_name")).distinct()
-    return names.join(
+    return names.filter("segment_name IS NOT NULL").join(
         m.segments.selectExpr("segment_name AS name", "segment_id"),
         F.col("segment_name") == F.col("name"),
+        "left",
     ).selectExpr(
         "CASE WHEN segment_id <> 4 THEN cast(segment_id AS string) END AS segment_id",
         "segment_name",
@@ -106,10 +107,12 @@ def segments(m: Mart) -> DataFrame:
 
 
 def categories(m: Mart) -> DataFrame:
+    """One row per category in the product file; a new one has no id yet."""
     names = m.table("part").select(F.col("p_type").alias("category_name")).distinct()
-    return names.join(
+    return names.filter("category_name IS NOT NULL").join(
         m.categories.selectExpr("category_name AS name", "category_id"),
         F.col("category_name") == F.col("name"),
+        "left",
     ).selectExpr(
         "cast(category_id AS string) AS category_id",
         "category_name",

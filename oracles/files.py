@@ -41,12 +41,12 @@ SELECT CASE WHEN segment_id <> 4 THEN CAST(segment_id AS VARCHAR) END AS segment
   CASE WHEN segment_id = 2 THEN 'abc' ELSE CAST(segment_id * 1000 AS VARCHAR) END AS min_annual_revenue,
   CASE WHEN segment_id <> 1 THEN (segment_id * 1000 + 999) || '.5' END AS max_annual_revenue,
   '0.' || lpad(CAST(segment_id * 5 AS VARCHAR), 2, '0') AS discount_rate, 'customer_segments.csv' AS file_name
-FROM market WHERE segment_name IN (SELECT c_mktsegment FROM customer)"""
+FROM (SELECT DISTINCT c_mktsegment AS segment_name FROM customer WHERE c_mktsegment IS NOT NULL) AS n LEFT JOIN market USING (segment_name)"""
 CTES["raw_categories"] = """
 SELECT CAST(category_id AS VARCHAR) AS category_id, category_name, category_name || ' products, and accessories' AS description,
   CASE category_id % 3 WHEN 0 THEN '' WHEN 1 THEN 'none' ELSE CAST(category_id - 1 AS VARCHAR) END AS parent_category_id,
   'categories.csv' AS file_name
-FROM category WHERE category_name IN (SELECT p_type FROM part)"""
+FROM (SELECT DISTINCT p_type AS category_name FROM part WHERE p_type IS NOT NULL) AS n LEFT JOIN category USING (category_name)"""
 CTES["raw_suppliers"] = """
 SELECT CASE WHEN s_suppkey % 40 <> 3 THEN t END AS supplier_id, s_name AS supplier_name, 'Contact ' || t AS contact_name,
   'Manager' AS contact_title, t || ' Dock Rd' AS address, n_name AS city, r_name || ' region' AS region, lpad(t, 5, '0') AS postal_code,
