@@ -6,6 +6,8 @@ holds all movements of a product in one task.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -89,3 +91,50 @@ def running(moves: DataFrame, key: list[str], opening: Column, chunk: int = CHUN
         )
         .drop("_chunk", "_seg", "_sum", "_in", "_in_run")
     )
+
+
+def stock_days(
+    moves: DataFrame, key: list[str], opening: DataFrame, start: date, end: date
+) -> DataFrame:
+    """``stock_days`` per key of ``opening``: the closing stock of every day from
+    ``start`` to ``end`` added up, that is, stock integrated over time.
+
+    ``moves`` have a ``move_date``, and ``seq`` orders those of one day; ``opening``
+    holds each key once with its ``opening`` stock before all moves. A stock stays as it
+    is until the next day with a move, so each such day counts its balance times the
+    days until then that lie in the span. Moves are first added up by key and day, on
+    the map side; the windows that follow see one row per key and day, however many
+    moves a hot key has. Moves after ``end`` are not read on; keys without moves keep
+    their opening stock; moves of unknown keys count nowhere.
+    """
+    if start > end:
+        raise ValueError("start date is after end date")
+    first, after = F.lit(start), F.date_add(F.lit(end), 1)
+    days = closing(moves.filter(F.col("move_date") < after), [*key, "move_date"])
+    in_order = Window.partitionBy(*key).orderBy("move_date")
+    # A day with a set starts a new run, in which balances are sums; run 0 rests on
+    # the opening stock.
+    runs = days.withColumn(
+        "_run", F.count("set_quantity").over(in_order)
+    ).withColumn("_amount", F.coalesce("set_quantity", F.lit(0)) + F.col("added"))
+    in_run = Window.partitionBy(*key, "_run").orderBy("move_date")
+    until = F.coalesce(F.lead("move_date").over(in_order), after)
+    held = runs.select(
+        *key,
+        "_run",
+        F.sum("_amount").over(in_run).alias("_sum"),
+        F.greatest(F.datediff(until, F.greatest("move_date", first)), F.lit(0)).alias("_days"),
+    )
+    # What rests on the opening stock is its amount times the days no set has ruled.
+    per_key = held.groupBy(*key).agg(
+        F.sum(F.col("_sum") * F.col("_days")).alias("_moved"),
+        F.sum(F.when(F.col("_run") > 0, F.col("_days")).otherwise(0)).alias("_set_days"),
+    )
+    all_days = (end - start).days + 1
+    return opening.join(per_key, key, "left").select(
+        *opening.columns,
+        (
+            F.col("opening") * (F.lit(all_days) - F.coalesce("_set_days", F.lit(0)))
+            + F.coalesce("_moved", F.lit(0))
+        ).alias("stock_days"),
+    )

@@ -72,3 +72,27 @@ KPI = " UNION ALL ".join(
     ]
 )
 SQL["v09_executive_kpi_dashboard"] = KPI
+
+SQL["v10_yearly_sales_summary"] = f"""
+SELECT CAST(year(order_date) AS INTEGER) AS year_number, {ORDERS}, {big('SUM(quantity)')} AS total_units_sold,
+  {REVENUE}, {dbl('quantity * cost')} AS total_cost, {PROFIT}, {AVG}, {MARGIN}
+FROM fact GROUP BY 1"""
+
+# Closing stock of a day: the opening stock and all flows up to it, or, for a counted
+# product, the flows since its last count.
+SQL["v11_inventory_turnover"] = f"""
+WITH sold AS (SELECT l_partkey AS p, CAST(l_shipdate AS DATE) AS d, SUM(CAST(l_quantity AS BIGINT)) AS q FROM lineitem GROUP BY ALL),
+flow AS (SELECT p, d, -q AS x FROM sold UNION ALL SELECT p, CAST(date_trunc('month', d) + INTERVAL 1 MONTH AS DATE), q FROM sold),
+days AS (SELECT CAST(t.x AS DATE) AS d FROM generate_series(DATE '2000-01-01', DATE '2000-12-31', INTERVAL 1 DAY) AS t(x)),
+before AS (SELECT p, SUM(x) FILTER (WHERE d < DATE '1999-07-01') AS b1, SUM(x) FILTER (WHERE d < DATE '2000-07-01') AS b2 FROM flow GROUP BY 1),
+marks AS (SELECT p, d, x, false AS is_day FROM flow UNION ALL SELECT product_id, d, 0, true FROM pmaster, days),
+upto AS (SELECT DISTINCT p, d, SUM(x) OVER (PARTITION BY p ORDER BY d) AS c FROM marks QUALIFY bool_or(is_day) OVER (PARTITION BY p, d)),
+held AS (SELECT product_id AS p, SUM(units_in_stock + COALESCE(c, 0) - CASE WHEN product_id % 7 <> 0 THEN 0
+    WHEN d < DATE '2000-07-01' THEN COALESCE(b1, 0) ELSE COALESCE(b2, 0) END) AS sd
+  FROM pmaster JOIN upto ON product_id = upto.p LEFT JOIN before ON product_id = before.p GROUP BY 1),
+shipped AS (SELECT p, SUM(q) AS u FROM sold WHERE year(d) = 2000 GROUP BY 1),
+every AS (SELECT pdim.*, sd, COALESCE(u, 0) AS u, CAST(unit_cost * 100 AS HUGEINT) AS cc
+  FROM pdim JOIN held ON product_key = held.p LEFT JOIN shipped ON product_key = shipped.p)
+SELECT product_number, product_name, category_name, {big('u')} AS units_shipped, CAST(u * cc AS DOUBLE) / 100 AS cost_of_goods,
+  {r2('sd * 100', '366')} AS average_stock, {r2('sd * cc', '366')} AS average_stock_value,
+  CASE WHEN sd > 0 THEN {r2('u * 3660000', 'sd', 4)} END AS turnover_ratio, {r2('sd * 100', 'u')} AS days_of_supply FROM every"""

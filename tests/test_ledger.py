@@ -1,14 +1,14 @@
 """Stock movements against a plain fold, with hot products and small chunks."""
 
 import random
-from datetime import date
+from datetime import date, timedelta
 
 import pytest
 from frames import rows
 from pyspark.sql import functions as F
 
 from martlet.operators import ledger
-from martlet.plans import business
+from martlet.plans import business, extras
 
 KEY = ["product_id", "location_code"]
 MOVES = "product_id int, location_code string, seq bigint, quantity bigint, transaction_type string"
@@ -74,3 +74,38 @@ def test_messages(spark):
     after = business.apply_moves(stock, moves, date(2020, 5, 1)).first()
     assert (after.quantity_on_hand, after.quantity_available) == (6, 4)
     assert after.last_received_date == date(2020, 5, 1)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_stock_days_equal_fold(spark, seed):
+    rnd = random.Random(seed)
+    start, end = date(2000, 1, 10), date(2000, 2, 20)
+    moves = [
+        (p, place, seq, q, kind, date(2000, 1, 1) + timedelta(days=rnd.randint(0, 70)))
+        for p, place, seq, q, kind in random_moves(seed, 150)
+    ]
+    moves += [(99, "MAIN", 1, 5, "RECEIPT", date(2000, 1, 15))]  # not in stock
+    opening = {(p, "MAIN"): p * 10 for p in range(1, 9)}  # 7 and 8 never move
+    want = dict.fromkeys(opening, 0)
+    for n in range((end - start).days + 1):
+        now = start + timedelta(days=n)
+        # seq orders the moves of one day only
+        so_far = sorted((m for m in moves if m[5] <= now), key=lambda m: (m[5], m[2]))
+        balance, _ = fold([(*m[:2], i, *m[3:5]) for i, m in enumerate(so_far)], opening)
+        for key in opening:
+            want[key] += balance[key]
+    frame = spark.createDataFrame(moves, MOVES + ", move_date date")
+    stock = spark.createDataFrame(
+        [(*k, v) for k, v in opening.items()], "product_id int, location_code string, opening bigint"
+    )
+    got = ledger.stock_days(frame, KEY, stock, start, end)
+    assert {(r.product_id, r.location_code): r.stock_days for r in got.collect()} == want
+    with pytest.raises(ValueError):
+        ledger.stock_days(frame, KEY, stock, end, start)
+
+
+def test_turnover_of_a_still_product(spark, mart):
+    still = extras.inventory_turnover(mart, date(1994, 1, 1), date(1994, 1, 31))
+    row = still.filter("product_number = 'P000005'").collect()[0]
+    assert (row.units_shipped, row.average_stock) == (0, 105.0)
+    assert row.turnover_ratio == 0.0 and row.days_of_supply is None
