@@ -11,7 +11,9 @@ from martlet.functions.dates import day
 from martlet.functions.money import ratio
 from martlet.operators import ledger
 from martlet.plans.views import add_up, avg_line, margin, money, per_day
+from martlet.session import fresh_path
 from martlet.sources.mart import Mart
+from martlet.streaming import windows
 
 
 def yearly_sales_summary(m: Mart) -> DataFrame:
@@ -113,7 +115,30 @@ def inventory_turnover(m: Mart, start: date | None = None, end: date | None = No
     )
 
 
+def event_days(m: Mart) -> DataFrame:
+    """Daily totals of the events by type, taken from a stream in two runs: the first
+    half of the time, and after a restart the second."""
+    # Event times have no zone; as instants of UTC their days are the stream's windows.
+    instant = F.to_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone())
+    events = m.table("events").select(instant.alias("ts"), "event_type", "value")
+    span = events.select(F.unix_micros("ts").alias("t")).agg(F.min("t"), F.max("t")).first()
+    middle = (span[0] + span[1]) // 2 if span[0] is not None else 0
+    stage, target, state = (fresh_path(m.spark, x) for x in ("events", "event-days", "event-state"))
+    early = F.unix_micros("ts") < middle
+    for part in (early, F.coalesce(~early, F.lit(True))):
+        events.filter(part).write.mode("append").parquet(stage)
+        windows.close_days(m.spark, stage, events.schema, target, state)
+    days = windows.days_so_far(m.spark, stage, events.schema, target)
+    return days.select(
+        F.to_date(F.from_utc_timestamp("day", F.current_timezone())).alias("date_actual"),
+        "event_type",
+        F.col("n_events").alias("daily_events"),
+        money("value_c", "daily_value"),
+    )
+
+
 ALL = {
     "v10_yearly_sales_summary": yearly_sales_summary,
     "v11_inventory_turnover": inventory_turnover,
+    "v12_event_days": event_days,
 }

@@ -96,3 +96,7 @@ every AS (SELECT pdim.*, sd, COALESCE(u, 0) AS u, CAST(unit_cost * 100 AS HUGEIN
 SELECT product_number, product_name, category_name, {big('u')} AS units_shipped, CAST(u * cc AS DOUBLE) / 100 AS cost_of_goods,
   {r2('sd * 100', '366')} AS average_stock, {r2('sd * cc', '366')} AS average_stock_value,
   CASE WHEN sd > 0 THEN {r2('u * 3660000', 'sd', 4)} END AS turnover_ratio, {r2('sd * 100', 'u')} AS days_of_supply FROM every"""
+
+SQL["v12_event_days"] = f"""
+SELECT CAST(ts AS DATE) AS date_actual, event_type, {big('COUNT(*)')} AS daily_events,
+  CAST(COALESCE(SUM(CAST(round(value * 100) AS BIGINT)), 0) AS DOUBLE) / 100 AS daily_value FROM events WHERE ts IS NOT NULL GROUP BY 1, 2"""
