@@ -109,7 +109,8 @@ def customer_ltv_prediction(
 
 def train_churn(churn: DataFrame) -> Trained:
     """Logistic regression with balanced classes."""
-    filled = _numbers(churn, [*CHURN_FEATURES, "is_churned"]).na.fill(0.0, CHURN_FEATURES)
+    # The label stays whole: its text is part of the draw that splits the rows.
+    filled = _numbers(churn, CHURN_FEATURES).na.fill(0.0, CHURN_FEATURES)
     rows = written(filled, "churn")
     train, test = features.stratified_split(rows, "customer_id", "is_churned")
     sizes = {r.is_churned: r.n for r in train.groupBy("is_churned").agg(

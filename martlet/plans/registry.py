@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("views", "extras", "reports", "builds", "business", "quality", "features", "models",
+_MODULES = ("views", "extras", "reports", "builds", "business", "quality", "features", "models", "model_checks",
             "synth", "files", "basics", "activity")
 
 QUERIES = {}

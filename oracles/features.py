@@ -81,3 +81,25 @@ SELECT {r2('(n - fp - fn) * 1000000', 'n', 6)} AS accuracy, {r2('tp * 1000000',
   {r2('tp * 1000000', '(tp + fn)', 6)} AS recall, {r2('tp * 2000000', '(2 * tp + fp + fn)', 6)} AS f1_score,
   {r2('(tp + fn) * 1000000', 'n', 6)} AS label_rate FROM c"""
 SQL["l12_reloaded_model"] = f"SELECT {big('COUNT(*)')} AS n_customers, {big('0')} AS n_differ FROM purchase"
+
+
+def facts(model: str, source: str, values: dict[str, str]) -> str:
+    rows = " UNION ALL ".join(f"SELECT '{model}' AS model, '{k}' AS fact, {big(v)} AS value FROM src" for k, v in values.items())
+    return f"WITH src AS ({source}) {rows}"
+
+
+_FOREST = dict.fromkeys(("reported_rows_agree", "mse_agrees", "r2_agrees", "predictions_in_range", "importances_sum_to_one", "better_than_rule"), "1")
+SQL["l07_clv_checks"] = facts("clv", f"""
+SELECT COUNT(*) FILTER (u < 0.8) AS tr, COUNT(*) FILTER (u >= 0.8) AS te FROM (SELECT {draw('split-42', 'customer_id')} AS u FROM purchase) AS x""",
+    {"train_rows": "tr", "test_rows": "te", **_FOREST})
+SQL["l08_score_checks"] = facts("clv", "SELECT COUNT(*) AS n FROM purchase", {"customers": "n", "scored_twice": "0", "out_of_range": "0"})
+SQL["l09_churn_checks"] = facts("churn", f"""
+SELECT COUNT(*) FILTER (u < 0.8) AS tr, COUNT(*) FILTER (u >= 0.8) AS te FROM (SELECT {draw('split-42', 'customer_id', 'is_churned')} AS u
+  FROM (SELECT customer_id, CASE WHEN {AS_OF} - last_order_date > 90 THEN 1 ELSE 0 END AS is_churned FROM purchase) AS y) AS x""",
+    {"train_rows": "tr", "test_rows": "te", "reported_rows_agree": "1", "metrics_agree": "1", "probabilities_outside": "0",
+     "labels_off_probability": "0", "better_than_chance": "1", "better_than_rule": "1"})
+SQL["l10_forecast_checks"] = facts("forecast", """
+SELECT CAST(floor(n * 0.8) AS BIGINT) AS tr, n FROM (SELECT COUNT(DISTINCT order_date) - 29 AS n FROM fact) AS x""",
+    {"train_rows": "tr", "test_rows": "n - tr", **_FOREST})
+SQL["u02_ltv_checks"] = facts("ltv", """
+SELECT (SELECT COUNT(*) FROM customer) AS n, (SELECT COUNT(*) FROM purchase) AS k""", {"customers": "n", "predicted": "k", "off": "0"})
