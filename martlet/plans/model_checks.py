@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlet.plans import features, models
-from martlet.session import written
+from martlet.session import fresh_path, written
 from martlet.sources.mart import Mart
 
 NEAR = 1e-9
@@ -75,7 +75,7 @@ def score_checks(m: Mart) -> DataFrame:
     spent = clv.agg(F.min("total_spent").alias("low"), F.max("total_spent").alias("high")).first()
     p, slack = F.col("predicted_clv"), 1e-6 * max(abs(spent.high), 1.0)
     inside = p.between(spent.low - slack, spent.high + slack)
-    path = models.train_clv(clv, trees=20).save(models.fresh_path(m.spark, "clv-model"))
+    path = models.train_clv(clv, trees=20).save(fresh_path(m.spark, "clv-model"))
     scored = models.score_clv(models.load(path), clv).groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("n"), F.bool_and(F.coalesce(inside, F.lit(False))).alias("inside")
     )
