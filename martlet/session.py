@@ -74,5 +74,5 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)  # read once or twice, so size counts
     return spark.read.schema(df.schema).parquet(path)
