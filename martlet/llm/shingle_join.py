@@ -43,9 +43,10 @@ MAP_WORDS = 8
 SIEVE_BITS = 1 << 23
 #: First classes that a class is compared with before all others.
 LEADS = 3
-#: Classes of a block in which members of a group are compared; rows and pairs of blocks
-#: that a task looks at together.
-BLOCK, TOGETHER, PAIRS = 1024, 200_000, 1 << 20
+#: Classes of a block in which members of a group are compared: a row is sent once for each
+#: block it meets, so larger blocks shuffle less. Rows and pairs of blocks that a task looks
+#: at together.
+BLOCK, TOGETHER, PAIRS = 4096, 200_000, 1 << 20
 #: Rounds in which only the closest pairs of two components are verified.
 ROUNDS = 2
 #: Words of 64 bits of a finer parity map, which decides whether texts are compared.
