@@ -71,7 +71,7 @@ def _codes(frame: DataFrame, passes: int) -> DataFrame:
             sizes = np.array([len(v) for v in vectors])
             for dim in np.unique(sizes):
                 mine = np.flatnonzero(sizes == dim)
-                x = np.array([vectors[i] for i in mine], dtype=np.float64)
+                x = _scaled(np.array([vectors[i] for i in mine], dtype=np.float64))
                 for number in range(passes):
                     code = (x @ _planes(int(dim), number) > 0) @ weights
                     yield pa.RecordBatch.from_arrays(
@@ -83,8 +83,15 @@ def _codes(frame: DataFrame, passes: int) -> DataFrame:
     return frame.mapInArrow(run, "pass int, dim int, code long, cls long")
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times the power of two that brings the largest component to 0.5 to 1, so that
+    squares and sums neither overflow nor vanish; components keep all their digits."""
+    power = np.frexp(np.abs(x).max(axis=1, keepdims=True))[1]
+    return np.ldexp(x, -power)
+
+
 def _unit(vectors) -> np.ndarray:
-    x = np.array(vectors.tolist(), dtype=np.float64)
+    x = _scaled(np.array(vectors.tolist(), dtype=np.float64))
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
@@ -233,7 +240,8 @@ def link_vectors(
 
     Returns vec_id, n_links, component_id and kept. Links have a cosine of at least
     0.9 in double precision. Null and zero vectors, and those with null or non-finite
-    components, link with nothing and are kept. Rows with equal vectors are links of
+    components, link with nothing and are kept; huge and tiny ones are compared like
+    others. Rows with equal vectors are links of
     each other and are compared with others only once. ``passes`` is the least number
     of passes; more are made where the number of vectors asks for them. A null vec_id links like
     others; a component of such rows alone has a null id and none is kept. An empty

@@ -276,6 +276,19 @@ def test_odd_vectors(spark):
 # classifiers
 
 
+def test_huge_and_tiny_vectors(spark):
+    rows = [(1, [1e200, 2e200]), (2, [2e200, 4e200]), (3, [1.0, 2.0]), (4, [1e-200, 2e-200]), (5, [5e-324, 1e-323]),
+            (6, [2e-200, -1e-200]), (7, [1.7e308, -1e308]), (8, [3e-200, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in vector_dedup.link_vectors(frame).collect())
+    # in units of their size: 1 to 5 are (1, 2), 6 to 8 are (2, -1), (1.7, -1) and (1, 0)
+    unit = np.array([[1, 2]] * 5 + [[2, -1], [1.7, -1], [1, 0]], dtype=float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    links = (unit @ unit.T >= 0.9).sum(axis=1) - 1
+    assert [(i, n) for i, n, _ in got] == [(i + 1, n) for i, n in enumerate(links.tolist())]
+    assert [c for _, _, c in got[:5]] == [1] * 5
+
+
 def test_quality_on_held_out_labels(spark):
     got = QUERIES["op1_positive_unlabelled_quality"](spark, "/root/testdata/sf0.01").collect()
     truth = {r.doc_id: r.quality for r in table(spark, "/root/testdata/sf0.01", "labels").collect()}
