@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -19,6 +20,17 @@ _RUNTIME = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Tasks of the retail jobs. A task sorts and hashes what it reads, in which a shuffled
+# megabyte becomes some 30 in memory, so the sizes are far below Spark's defaults; and
+# there have to be enough partitions for the sizes to matter, which Spark coalesces to
+# them where there is less.
+_TASK_BYTES = {
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+    "spark.sql.files.maxPartitionBytes": "32m",
+}
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+_PARTITIONS = 600
+
 
 def build_session(app: str = "martlet", cores: int | str = "*", **conf: str) -> SparkSession:
     """A local session for tests and benchmarks; clusters bring their own."""
@@ -45,6 +57,23 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _bytes(size: str) -> int:
+    number, unit = re.fullmatch(r"(\d+)([kmgtp]?)b?", size.strip().lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
+
+
+def small_tasks(spark: SparkSession) -> SparkSession:
+    """Bound what one task of a retail job sorts and hashes, however large the tables
+    are. A session that has smaller sizes or more partitions keeps them."""
+    for key, value in _TASK_BYTES.items():
+        if _bytes(spark.conf.get(key)) > _bytes(value):
+            spark.conf.set(key, value)
+    now = spark.conf.get(_INITIAL, None) or spark.conf.get("spark.sql.shuffle.partitions")
+    if int(now) < _PARTITIONS:
+        spark.conf.set(_INITIAL, str(_PARTITIONS))
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can read: ``spark.checkpoint.dir``.
 
