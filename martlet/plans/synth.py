@@ -25,15 +25,24 @@ ORDERS_PER_CUSTOMER = 5
 ASSORTMENT = 15
 
 
+def copies_of(customers: DataFrame, n: int, name: str) -> DataFrame:
+    """Every customer ``n`` times, numbered from 1 in the column ``name``.
+
+    Customers are a small file that few tasks read, and the draws that follow cost far
+    more than reading, so the customers are dealt to all tasks before.
+    """
+    dealt = customers.repartition("customer_id")
+    return dealt.withColumn(name, F.explode(F.sequence(F.lit(1), F.lit(n))))
+
+
 def synth_orders(m: Mart, per_customer: int = ORDERS_PER_CUSTOMER) -> DataFrame:
     """Orders of the past year for every customer, each with a drawn sales rep."""
     reps = number_rows(m.reps.select("sales_rep_key"), ["sales_rep_key"], 0, "rep_no")
     keys = ("customer_id", "copy")
     now = day(m.as_of)
-    copies = F.sequence(F.lit(1), F.lit(per_customer))
+    customers = m.customers.select("customer_id", "customer_name", "billing_city")
     drawn = (
-        m.customers.select("customer_id", "customer_name", "billing_city")
-        .withColumn("copy", F.explode(copies))
+        copies_of(customers, per_customer, "copy")
         .withColumn("order_date", F.date_sub(now, draw_int("age", 1, 365, *keys).cast("int")))
         .withColumn("rep_no", draw_index("rep", m.row_count("supplier"), *keys))
     )
@@ -131,8 +140,7 @@ def synth_facts(m: Mart, year: int = 2024, draws: int = 3) -> DataFrame:
     length = (date(year + 1, 1, 1) - first).days
     products = number_rows(m.prices, ["product_key"], 0, "product_no")
     picked = (
-        m.customers.select("customer_id")
-        .withColumn("pick", F.explode(F.sequence(F.lit(1), F.lit(draws))))
+        copies_of(m.customers.select("customer_id"), draws, "pick")
         .withColumn("product_no", draw_index("fact_product", m.row_count("part"), *key))
         .withColumn(
             "order_date",

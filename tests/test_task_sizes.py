@@ -1,6 +1,7 @@
 """What one task of a retail job gets does not grow with the tables."""
 
 import __spark_entry__ as entry
+from martlet.plans import synth
 from martlet.session import small_tasks
 
 
@@ -22,3 +23,12 @@ def test_a_session_keeps_smaller_tasks_and_more_partitions(spark):
     assert session.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "8MB"
     assert session.conf.get("spark.sql.files.maxPartitionBytes") == str(1 << 20)
     assert session.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) is None
+
+
+def test_customers_are_dealt_before_draws(spark):
+    customers = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "customer_id long, name string")
+    df = synth.copies_of(customers.coalesce(1), 3, "copy")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate") < plan.index("hashpartitioning(customer_id")
+    got = {(r.name, r.copy) for r in df.collect()}
+    assert got == {(name, i) for name in "abc" for i in (1, 2, 3)} and df.count() == 9
