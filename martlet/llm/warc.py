@@ -8,10 +8,10 @@ after hashing is the number of damaged paths, not of records.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlet.llm.common import running_totals
+from martlet.llm.common import ship, small_side
 from martlet.session import written
 
 #: Children of a node: what one group of a tree level holds.
@@ -44,28 +44,65 @@ def write_records(pages: DataFrame) -> DataFrame:
     """Pages (page_id, url, html) as WARC records in files of PER_FILE records.
 
     Returns file, place (in the file), offset, length, page_id and data, ordered by
-    page_id, url and position in the input; written once. Null urls and bodies are
+    page_id and position in the input; written once. Null urls and bodies are
     empty; null ids come first; repeated rows are separate records; an empty table
     has no files. Other columns are left out.
     """
     rows = pages.select("page_id", "url", "html", F.monotonically_increasing_id().alias("row"))
-    data = written(
-        rows.select(
-            "page_id", "row", record(F.col("url"), F.col("html"), F.col("page_id")).alias("data")
-        ).withColumn("length", F.octet_length("data").cast("long")),
+    order = ["page_id", "row"]
+    # The bytes are moved once, into their order; a task adds up the lengths of its slab.
+    slabs = written(
+        _placed(
+            rows.repartitionByRange(*order).sortWithinPartitions(*order)
+            .select("page_id", record(F.col("url"), F.col("html"), F.col("page_id")).alias("data"))
+        ),
         "records",
     )
-    # the order is found over slim rows; the bytes are not moved
-    order = running_totals(data.select("page_id", "row", "length"), ["page_id", "row"], ["length"], "order")
-    placed = order.select(
-        "row", F.floor(F.col("place") / PER_FILE).alias("file"),
-        (F.col("place") % PER_FILE).alias("place"), "before_length",
+    sizes = slabs.groupBy("slab").agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes"))
+    earlier = Window.orderBy("slab").rowsBetween(Window.unboundedPreceding, -1)
+    slab_starts = sizes.select(  # one row for each task
+        "slab",
+        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("rows_before"),
+        F.coalesce(F.sum("bytes").over(earlier), F.lit(0)).alias("bytes_before"),
     )
-    begin = placed.groupBy("file").agg(F.min("before_length").alias("begin"))
-    spots = placed.join(begin, "file").select(
-        "row", "file", "place", (F.col("before_length") - F.col("begin")).alias("offset")
+    place = F.col("rows_before") + F.col("slab_place")
+    placed = slabs.join(F.broadcast(slab_starts), "slab").select(
+        F.floor(place / PER_FILE).alias("file"), (place % PER_FILE).alias("place"),
+        (F.col("bytes_before") + F.col("slab_offset")).alias("start"), "length", "page_id", "data",
+    )
+    files = small_side(written(
+        placed.filter("place = 0").select("file", F.col("start").alias("begin")), "files"
+    ))
+    return placed.join(files, "file").select(
+        "file", "place", (F.col("start") - F.col("begin")).alias("offset"), "length", "page_id", "data"
+    )
+
+
+def _placed(rows: DataFrame) -> DataFrame:
+    """``rows`` (page_id, data) with the number of their partition (``slab``), and their
+    place and offset in it."""
+    ship(__name__)
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    def run(batches):
+        rows_before = bytes_before = 0
+        for batch in batches:
+            length = pc.binary_length(batch.column("data")).cast(pa.int64()).to_numpy()
+            ends = bytes_before + np.cumsum(length, dtype=np.int64)
+            places = rows_before + np.arange(batch.num_rows, dtype=np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, *map(pa.array, (length, places, ends - length))],
+                names=["slab", "page_id", "data", "length", "slab_place", "slab_offset"],
+            )
+            if batch.num_rows:
+                rows_before, bytes_before = rows_before + batch.num_rows, int(ends[-1])
+
+    kind = rows.schema["page_id"].dataType.simpleString()
+    return rows.select(F.spark_partition_id().alias("slab"), "page_id", "data").mapInArrow(
+        run, f"slab int, page_id {kind}, data binary, length long, slab_place long, slab_offset long"
     )
-    return data.join(spots, "row").select("file", "place", "offset", "length", "page_id", "data")
 
 
 def leaves(records: DataFrame) -> DataFrame:

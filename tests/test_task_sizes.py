@@ -1,6 +1,7 @@
 """What one task of a retail job gets does not grow with the tables."""
 
 import __spark_entry__ as entry
+from martlet.llm import warc
 from martlet.plans import synth
 from martlet.session import small_tasks
 
@@ -32,3 +33,22 @@ def test_customers_are_dealt_before_draws(spark):
     assert plan.index("Generate") < plan.index("hashpartitioning(customer_id")
     got = {(r.name, r.copy) for r in df.collect()}
     assert got == {(name, i) for name in "abc" for i in (1, 2, 3)} and df.count() == 9
+
+
+def test_record_bytes_are_moved_once(spark):
+    rows = [(i // 2 if i % 7 else None, f"u{i}", "x" * (i % 90)) for i in range(3000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    session_wide = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        records = warc.write_records(pages)
+        plan = records._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+        got = sorted(records.collect(), key=lambda r: (r.file, r.place))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", session_wide)
+    assert [(r.file, r.place) for r in got] == [divmod(i, warc.PER_FILE) for i in range(3000)]
+    assert [r.page_id for r in got] == sorted((r[0] for r in rows), key=lambda x: (x is not None, x or 0))
+    for file in range(3):
+        inside = [r for r in got if r.file == file]
+        assert [r.offset for r in inside] == [sum(len(x.data) for x in inside[:i]) for i in range(len(inside))]
