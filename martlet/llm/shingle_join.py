@@ -45,10 +45,12 @@ SIEVE_BITS = 1 << 23
 LEADS = 3
 #: Classes of a block in which members of a group are compared: a row is sent once for each
 #: block it meets, so larger blocks shuffle less. Rows and pairs of blocks that a task looks
-#: at together.
-BLOCK, TOGETHER, PAIRS = 4096, 200_000, 1 << 20
-#: Rounds in which only the closest pairs of two components are verified.
-ROUNDS = 2
+#: at together, and found pairs that it holds before it sends them: its memory is a few dozen
+#: MB, however alike the texts are.
+BLOCK, TOGETHER, PAIRS, HELD = 4096, 50_000, 1 << 16, 1 << 18
+#: Rounds in which only the closest pairs of two components are verified, at most; another
+#: one follows only if the last joined one pair in WORTH.
+ROUNDS, WORTH = 2, 4
 #: Words of 64 bits of a finer parity map, which decides whether texts are compared.
 FINE_WORDS = 64
 #: Signatures are cut to 48 bits, which shuffle smaller; two that become equal only share
@@ -296,32 +298,34 @@ def _signature_rows(docs: DataFrame, counts: np.ndarray) -> DataFrame:
 
 
 def _busy(rows: DataFrame) -> DataFrame:
-    """Rows (sig, cls, n, room) of signatures that several classes may share, each with two
-    first classes: of all its cell, and of those of about its size.
+    """Rows (sig, cls, n, room, times) of signatures that several classes may share, each with
+    two first classes: of all its cell, and of those of about its size.
 
-    One shuffle by cell; of the signatures, most are alone and go no further.
+    One shuffle by cell; of the signatures, most are alone and go no further. Cells of the
+    same classes become one group, with the largest room that each class has in any of them
+    and their number: a passage that many texts share goes on once and not once a shingle.
+    Two groups that get one number by chance are compared together, which loses nothing.
     """
     width = F.lit(np.log(TIMES / LEAST).item())
-
-    def size(sizes):
-        return F.shiftright(sizes, _ROOM_BITS)
-
-    def room(sizes):
-        return F.col(sizes).bitwiseAND(F.lit((1 << _ROOM_BITS) - 1))
-
-    group, near = Window.partitionBy("cell"), Window.partitionBy("cell", "band")
+    group = Window.partitionBy("cell")
     shared = rows.withColumns({
-        "first": F.min(F.struct("cls", "sizes")).over(group), "last": F.max("cls").over(group),
-    }).filter("sig IS NOT NULL OR first.cls < last")
-    sized = shared.select(
-        "cell", "cls", F.coalesce("sig", "cell").alias("sig"), size("sizes").alias("n"), room("sizes").alias("room"),
-        F.floor(F.log(size("sizes").cast("double")) / width).cast("int").alias("band"),
-        F.struct(
-            F.col("first.cls").alias("cls"), size("first.sizes").alias("n"), room("first.sizes").alias("room")
-        ).alias("top"),
+        "low": F.min("cls").over(group), "last": F.max("cls").over(group),
+        "all": F.bit_xor(F.xxhash64("cls")).over(group),
+    }).filter("sig IS NOT NULL OR low < last")
+    merged = shared.select(
+        F.xxhash64("low", "last", "all").bitwiseAND(F.lit(int(SHORT))).alias("of"), "sig", "cls", "sizes"
+    ).groupBy("of", F.coalesce("sig", "of").alias("sig"), "cls").agg(
+        F.max("sizes").alias("sizes"), F.count(F.lit(1)).alias("times")
+    )
+    n = F.shiftright("sizes", _ROOM_BITS)
+    sized = merged.select(
+        "of", "sig", "cls", n.alias("n"), F.col("sizes").bitwiseAND(F.lit((1 << _ROOM_BITS) - 1)).alias("room"),
+        "times", F.floor(F.log(n.cast("double")) / width).cast("int").alias("band"),
     )
-    lead = F.min(F.struct("cls", "n", "room")).over(near)
-    return sized.withColumn("lead", lead).select("sig", "cls", "n", "room", "top", "lead")
+    first = F.min(F.struct("cls", "n", "room"))
+    return sized.withColumns({
+        "top": first.over(Window.partitionBy("of")), "lead": first.over(Window.partitionBy("of", "band")),
+    }).select("sig", "cls", "n", "room", "times", "top", "lead")
 
 
 #: What a pair needs: an intersection of at least LEAST / (TIMES + LEAST) of both sizes
@@ -337,11 +341,11 @@ def _star(busy: DataFrame) -> DataFrame:
     These pairs only join what is obviously alike; ``_across`` finds all other links.
     """
     both = F.explode(F.array_distinct(F.array("top", "lead"))).alias("first")
-    met = busy.select("cls", "n", "room", both).select(
-        "cls", "n", "room", F.col("first.cls").alias("other"), F.col("first.n").alias("m"),
+    met = busy.select("cls", "n", "room", "times", both).select(
+        "cls", "n", "room", "times", F.col("first.cls").alias("other"), F.col("first.n").alias("m"),
         F.col("first.room").alias("space"),
     )
-    shared = met.filter(f"cls <> other AND {_FITS}").groupBy("cls", "other").agg(F.count(F.lit(1)).alias("times"))
+    shared = met.filter(f"cls <> other AND {_FITS}").groupBy("cls", "other").agg(F.sum("times").alias("times"))
     best = Window.partitionBy("cls").orderBy(F.col("times").desc(), "other")
     few = shared.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= LEADS)
     return few.select(F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b")).distinct()
@@ -376,15 +380,14 @@ def _across(open_: DataFrame, placed: DataFrame, closest: bool, block: int = BLO
 
     members = open_.groupBy("sig").agg(
         F.count(F.lit(1)).alias("many"), F.max(F.struct("size", "root")).alias("most"), F.min("cls").alias("low"),
-        F.bit_xor(F.xxhash64("cls")).alias("one"),
-        F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("two"),
-    ).select("sig", F.struct("low", "many", "one", "two").alias("members"), "most.root")
+        F.bit_xor(F.xxhash64("cls")).alias("all"),
+    ).select("sig", F.struct("low", "many", "all").alias("members"), "most.root")
     mixed = open_.join(members.withColumnRenamed("root", "most"), "sig").groupBy("members", "cls").agg(
         F.max("room").alias("room"), F.first("n").alias("n"), F.first("root").alias("root"),
         F.first(F.col("root") == F.col("most")).alias("main"),
     )
     mixed = written(mixed.select("members.*", "cls", "room", "n", "root", "main"), "mixed")
-    key = ["low", "many", "one", "two"]
+    key = ["low", "many", "all"]
     large = mixed.filter(F.col("many") > block).groupBy(*key).agg(
         F.count_if("main").alias("ours"), F.count_if(~F.col("main")).alias("others")
     )
@@ -413,16 +416,19 @@ def _across(open_: DataFrame, placed: DataFrame, closest: bool, block: int = BLO
     maps = placed.join(mixed.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(
         F.first("map").alias("map")
     ).select("cls", *[F.col("map")[i].alias(w) for i, w in enumerate(words)])
-    order = ["low", "i", "j", "many", "one", "two"]
+    order = ["low", "i", "j", "many", "all"]
     dealt = cut.select(*key, "cls", "room", "n", "root", F.explode(units).alias("unit")).select(
         *key, "cls", "room", "n", "root", "unit.*"
     ).join(maps, "cls").repartition("low", "i", "j").sortWithinPartitions(*order)
 
+    def batch(pairs: np.ndarray):
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in pairs.T.copy()], names=["p", "q", "apart", "a", "b"])
+
     def run(batches):
+        held, many = [], 0
         for table in _whole_units(batches, order):
             column = {c: table.column(c).to_numpy() for c in ("cls", "room", "n", "root", "side", "unit")}
             bits = np.stack([table.column(w).to_numpy() for w in words], axis=1).view(np.uint64)
-            found = [np.zeros((0, 5), dtype=np.int64)]
             for p, q in _meetings(column["unit"], column["side"]):
                 n, m = column["n"][p], column["n"][q]
                 fits = np.minimum(column["room"][p], column["room"][q]) * (TIMES + LEAST) >= (n + m) * LEAST
@@ -431,10 +437,20 @@ def _across(open_: DataFrame, placed: DataFrame, closest: bool, block: int = BLO
                 apart = np.bitwise_count(bits[p] ^ bits[q]).sum(axis=1, dtype=np.int64)
                 near = apart * (TIMES + LEAST) <= both * (TIMES - LEAST)
                 p, q = p[near], q[near]
+                if not len(p):
+                    continue
                 ends = [f(column[c][p], column[c][q]) for c in ("root", "cls") for f in (np.minimum, np.maximum)]
-                found.append(_sifted(np.stack([*ends[:2], 1000 * apart[near] // both[near], *ends[2:]], axis=1), closest))
-            pairs = _sifted(np.concatenate(found), closest)
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in pairs.T.copy()], names=["p", "q", "apart", "a", "b"])
+                held.append(_sifted(np.stack([*ends[:2], 1000 * apart[near] // both[near], *ends[2:]], axis=1), closest))
+                many += len(held[-1])
+                if many < HELD:
+                    continue
+                held = [_sifted(np.concatenate(held), closest)]
+                many = len(held[0])
+                if many >= HELD // 2:  # sifting does not help; the rows are sifted again later
+                    yield batch(held[0])
+                    held, many = [], 0
+        if many:
+            yield batch(_sifted(np.concatenate(held), closest))
 
     return dealt.mapInArrow(run, "p long, q long, apart long, a long, b long").distinct()
 
@@ -610,11 +626,11 @@ def _grouped(docs: DataFrame) -> DataFrame:
     texts = written(_one_text(docs, nodes.withColumnRenamed("node", "cls")), "texts")
     pairs = written(_star(busy), "star")
     roots = written(components(nodes, written(verify(texts, pairs), "links")), "roots")
-    open_ = busy
-    for round_ in range(ROUNDS + 1):
+    open_, rounds = busy, ROUNDS
+    while True:
         open_ = _open(open_, roots)
         # one pair of each two components, which mostly joins many more; then all that is left
-        closest = round_ < ROUNDS
+        closest = rounds > 0
         found = written(_across(open_, placed, closest), "across")
         if closest:
             found = found.groupBy("p", "q").agg(F.min(F.struct("apart", "a", "b")).alias("best")).select(
@@ -625,6 +641,9 @@ def _grouped(docs: DataFrame) -> DataFrame:
             break
         links = written(verify(texts, tried.select("a", "b")), "links")
         roots = written(_merged(roots, links.join(tried, ["a", "b"]).select("p", "q")), "roots")
+        if not closest:
+            break
+        rounds = rounds - 1 if links.count() * WORTH >= tried.count() else 0
     class_root = placed.filter("cls IS NOT NULL").join(
         roots, placed["cls"] == roots["node"], "left"
     ).select("id", "row", "n", F.coalesce("root", "cls").alias("root"))

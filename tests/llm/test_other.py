@@ -428,3 +428,27 @@ def test_query_equals_its_statement(spark, name):
     columns = [c[0] for c in theirs.description]
     mine = QUERIES[name](spark, sf).select(*columns)
     assert sorted(map(tuple, mine.collect()), key=repr) == sorted(theirs.fetchall(), key=repr)
+
+
+def test_cells_of_the_same_classes_are_one_group(spark):
+    """A passage of 40 shingles that three classes share goes on once, with the largest rooms."""
+    rows = [(cell, cls, (100 << 31) + cell + cls, None) for cell in range(40) for cls in (7, 8, 9)]
+    rows += [(50, 7, (100 << 31) + 99, None), (50, 9, (100 << 31) + 98, None), (51, 8, (100 << 31) + 97, None)]
+    rows += [(60, 7, (100 << 31) + 96, 5)]  # of a signature that is dealt over several cells
+    busy = shingle_join._busy(spark.createDataFrame(rows, "cell long, cls long, sizes long, sig long"))
+    got = sorted((r.cls, r.n, r.room, r.times, r.top.cls) for r in busy.collect())
+    assert got == [(7, 100, 46, 40, 7), (7, 100, 96, 1, 7), (7, 100, 99, 1, 7), (8, 100, 47, 40, 7), (9, 100, 48, 40, 7), (9, 100, 98, 1, 7)]
+
+
+@pytest.mark.parametrize("closest", [True, False])
+def test_found_pairs_leave_in_small_batches(spark, monkeypatch, closest):
+    """All pairs of a group of like texts, none held beyond a bound."""
+    monkeypatch.setattr(shingle_join, "HELD", 40)
+    monkeypatch.setattr(shingle_join, "PAIRS", 30)
+    shingle_join.ship(shingle_join.__name__)
+    open_ = spark.createDataFrame(
+        [(1, cls, 50, 50, cls, 1) for cls in range(30)], "sig long, cls long, n long, room long, root long, size long"
+    )
+    placed = spark.createDataFrame([(cls, [0] * shingle_join.MAP_WORDS) for cls in range(30)], "cls long, map array<long>")
+    got = [(r.a, r.b) for r in shingle_join._across(open_, placed, closest).collect()]
+    assert sorted(got) == [(a, b) for a in range(30) for b in range(a + 1, 30)]
