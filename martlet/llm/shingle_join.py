@@ -18,8 +18,10 @@ still in different components are compared in blocks of their groups.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martlet.llm.common import components, ship, small_side, text_of
@@ -56,6 +58,8 @@ FINE_WORDS = 64
 #: Signatures are cut to 48 bits, which shuffle smaller; two that become equal only share
 #: a group, and lose nothing.
 SHORT = np.uint64((1 << 48) - 1)
+#: Rows, most of them with texts, that go to a Python task and back at once.
+BATCH = 1000
 #: Letters of a word whose values are looked up.
 TABLED = 64
 
@@ -617,9 +621,27 @@ def _merged(roots: DataFrame, joined: DataFrame) -> DataFrame:
     return roots.join(moved, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
 
 
+@contextmanager
+def _small_batches(spark: SparkSession):
+    """Spark's 10,000 rows of texts take tens of MB, several times on either side of a task."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), BATCH) if int(before) > 0 else BATCH))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _grouped(docs: DataFrame) -> DataFrame:
-    """``row``, id, n and component_id of every row of ``docs`` (id, row, text)."""
+    """``row``, id, n and component_id of every row of ``docs`` (id, row, text). All Python
+    tasks run in here; the frame that is returned only joins what they wrote."""
     ship(__name__)
+    with _small_batches(docs.sparkSession):
+        return _linked(docs)
+
+
+def _linked(docs: DataFrame) -> DataFrame:
     placed, counts = sketch(docs)
     busy = written(_busy(_signature_rows(docs, counts)), "busy")
     nodes = written(busy.select(F.col("cls").alias("node")).distinct(), "nodes")

@@ -452,3 +452,13 @@ def test_found_pairs_leave_in_small_batches(spark, monkeypatch, closest):
     placed = spark.createDataFrame([(cls, [0] * shingle_join.MAP_WORDS) for cls in range(30)], "cls long, map array<long>")
     got = [(r.a, r.b) for r in shingle_join._across(open_, placed, closest).collect()]
     assert sorted(got) == [(a, b) for a in range(30) for b in range(a + 1, 30)]
+
+
+def test_join_gives_the_batch_size_back(spark, monkeypatch):
+    """Python tasks of the join get few rows at once; the session keeps its own setting."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, seen = spark.conf.get(name), []
+    plain = shingle_join._linked
+    monkeypatch.setattr(shingle_join, "_linked", lambda docs: (seen.append(spark.conf.get(name)), plain(docs))[1])
+    check_join(spark.createDataFrame([(1, "a b c d e f"), (2, "A b c d e f"), (3, "x")], "doc_id long, text string"))
+    assert seen == [str(shingle_join.BATCH)] and spark.conf.get(name) == before
