@@ -422,7 +422,7 @@ def test_query_equals_its_statement(spark, name):
 
     con = duckdb.connect()
     sf = "/root/testdata/sf0.01"
-    for t in ("documents", "embeddings", "pages", "labels"):
+    for t in ("documents", "embeddings", "pages", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     theirs = con.execute(SQL[name])
     columns = [c[0] for c in theirs.description]
