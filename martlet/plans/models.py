@@ -1,6 +1,7 @@
 """Customer value, churn and sales forecast models on ``pyspark.ml``.
 
-Feature frames are written once before fitting, since a fit reads them many times.
+Feature frames are written once before fitting, since a fit reads them many times; large
+ones in equal parts, one for each core, since every pass of a fit waits for its largest.
 Fitting and scoring run on the executors; only metrics reach the driver.
 """
 
@@ -22,6 +23,7 @@ from martlet.session import fresh_path, written
 from martlet.sources.mart import Mart
 
 SEED = 42
+PART_ROWS = 5000  # fewer rows a core are not worth dealing anew
 CLV_FEATURES = [
     "total_orders", "avg_order_value", "customer_lifespan_days", "categories_purchased",
     "days_since_last_order", "order_frequency", "annual_income", "customer_type_encoded",
@@ -59,6 +61,19 @@ def _numbers(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c in columns})
 
 
+def _dealt(rows: DataFrame, key: str) -> DataFrame:
+    """Written rows in one equal part for each core, if there are enough of them.
+
+    Files follow the joins before, and readers pack several into one task: a few more
+    tasks than cores, or fewer, make every pass of a fit last up to twice as long. Parts
+    are sorted, since a forest's draws follow the order of the rows.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if rows.count() < cores * PART_ROWS:
+        return rows
+    return written(rows.repartition(cores, key).sortWithinPartitions(*rows.columns), "dealt")
+
+
 def _forest(columns: list[str], label: str, scale: bool, trees: int) -> Pipeline:
     stages = [VectorAssembler(inputCols=columns, outputCol="raw_features")]
     if scale:
@@ -69,6 +84,9 @@ def _forest(columns: list[str], label: str, scale: bool, trees: int) -> Pipeline
         RandomForestRegressor(
             featuresCol="features" if scale else "raw_features", labelCol=label,
             numTrees=trees, maxDepth=10, seed=SEED,
+            # Each row's place in each tree is kept, so a level does not walk the trees
+            # from their roots again; ten levels are too short a lineage to write down.
+            cacheNodeIds=True, checkpointInterval=-1,
         )
     )
     return Pipeline(stages=stages)
@@ -87,7 +105,7 @@ def _regression(
 
 def train_clv(clv: DataFrame, trees: int = 100) -> Trained:
     """Forest that predicts total spend from the other lifetime-value features."""
-    rows = written(_numbers(clv, [*CLV_FEATURES, "total_spent"]), "clv")
+    rows = _dealt(written(_numbers(clv, [*CLV_FEATURES, "total_spent"]), "clv"), "customer_id")
     train, test = features.random_split(rows, "customer_id")
     return _regression(train, test, CLV_FEATURES, "total_spent", True, trees)
 

@@ -2,8 +2,8 @@
 
 import __spark_entry__ as entry
 from martlet.llm import warc
-from martlet.plans import synth
-from martlet.session import small_tasks
+from martlet.plans import features, models, synth
+from martlet.session import small_tasks, written
 
 
 def test_retail_jobs_ask_for_small_tasks(spark, sf_dir):
@@ -52,3 +52,39 @@ def test_record_bytes_are_moved_once(spark):
     for file in range(3):
         inside = [r for r in got if r.file == file]
         assert [r.offset for r in inside] == [sum(len(x.data) for x in inside[:i]) for i in range(len(inside))]
+
+
+def test_large_training_rows_are_dealt_evenly(spark, monkeypatch):
+    rows = spark.range(2000).selectExpr("id AS customer_id", "id % 7 AS x")
+    one, many = written(rows.coalesce(1), "one"), written(rows.repartition(13, "x"), "many")
+    assert models._dealt(one, "customer_id") is one
+
+    monkeypatch.setattr(models, "PART_ROWS", 50)
+    cores = spark.sparkContext.defaultParallelism
+    first, second = (models._dealt(df, "customer_id").rdd.glom().collect() for df in (one, many))
+    assert first == second and len(first) == cores
+    assert max(map(len, first)) < 2 * min(map(len, first))
+    assert sorted(r.customer_id for part in first for r in part) == list(range(2000))
+
+
+def test_value_forest_learns_from_dealt_rows(mart, monkeypatch):
+    clv, labels = written(features.clv_features(mart), "clv"), []
+    keep = models.written
+    monkeypatch.setattr(models, "written", lambda df, label: labels.append(label) or keep(df, label))
+    monkeypatch.setattr(models, "PART_ROWS", 1)
+    got = models.train_clv(clv, trees=3)
+    assert labels == ["clv", "dealt"]
+    assert got.metrics["train_samples"] + got.metrics["test_samples"] == clv.count()
+    assert got.model.stages[-1].getCacheNodeIds()
+
+
+def test_value_features_write_only_what_they_read(mart, monkeypatch):
+    seen, keep = {}, features.written
+    monkeypatch.setattr(features, "written", lambda df, label: seen.setdefault(label, keep(df, label)))
+    features.clv_features(mart)
+    assert not {"units", "cost_c", "profit_c", "square_c", "active_months"} & {*seen["clv-base"].columns}
+
+
+def test_lines_meet_their_orders_without_category_names(mart):
+    plan = features._categories(mart)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join Inner, (product_key") < plan.index("Join Inner, (order_id")
